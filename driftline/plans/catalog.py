@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from driftline.plans import problems
+from driftline.plans import changes, problems
 
-QUERIES = {**problems.QUERIES}
-ORACLES = {**problems.ORACLES}
+_MODULES = (problems, changes)
+QUERIES = {k: q for m in _MODULES for k, q in m.QUERIES.items()}
+ORACLES = {k: s for m in _MODULES for k, s in m.ORACLES.items()}
