@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from driftline.plans import changes, problems, quality
+from driftline.plans import changes, comments, problems, quality
 
-_MODULES = (problems, changes, quality)
+_MODULES = (problems, changes, quality, comments)
 QUERIES = {k: q for m in _MODULES for k, q in m.QUERIES.items()}
 ORACLES = {k: s for m in _MODULES for k, s in m.ORACLES.items()}

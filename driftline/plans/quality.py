@@ -97,11 +97,6 @@ def gap_stats(spark, d):
     return Q.gap_stats(e, "user_id", "us", ["us", "event_id"])
 
 
-def multi_home(spark, d):
-    c = table(spark, d, "webhook_captures").select(norm_id("page_id").alias("page"), F.explode("comments").alias("c"))
-    return Q.several_homes(c.select(norm_id("c.discussion_id").alias("thread"), "page"), "thread", "page")
-
-
 def run_report(spark, d):
     """One row of counters a run outcome, worst first by what failed."""
     r = table(spark, d, "sweep_runs").withColumn("secs", F.unix_seconds("ended_at") - F.unix_seconds("started_at"))
@@ -138,7 +133,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         spread_breaches, spread_baseline, ref_absent, ref_census, ref_absent_excluded, referenced_floor, blind_spots, endpoint_counts, row_floor, probe_policy, gap_stats,
-        multi_home, run_report, event_routing, path_classes, set_containment, covered_drop,
+        run_report, event_routing, path_classes, set_containment, covered_drop,
     )
 }
 
@@ -174,8 +169,6 @@ ORACLES = {
     "probe_policy": f"""WITH {force_sql("n")}, t AS (SELECT {_ID.format("parent_id")} AS db, count(*) AS total, count(*) FILTER (page_id IN (SELECT {_ID.format("page_id")} FROM webhook_captures)) AS rich FROM n GROUP BY 1)
       SELECT *, CASE WHEN total >= 100 AND rich * 100 < total * 5 THEN 'some' ELSE 'all' END AS mode FROM t""",
     "gap_stats": """SELECT user_id, count(*) AS n, max(gap) AS max_gap_us FROM (SELECT user_id, epoch_us(ts) - lag(epoch_us(ts)) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS gap FROM events) GROUP BY 1""",
-    "multi_home": f"""SELECT thread, count(DISTINCT page) AS homes, min(page) AS first_home FROM (SELECT {_ID.format("page_id")} AS page, {_ID.format("unnest(comments).discussion_id")} AS thread FROM webhook_captures)
-      WHERE thread IS NOT NULL GROUP BY 1 HAVING count(DISTINCT page) > 1""",
     "run_report": """SELECT outcome, count(*) AS runs, max(epoch_us(date_trunc('second', ended_at)) // 1000000 - epoch_us(date_trunc('second', started_at)) // 1000000) AS longest_s,
       count(*) FILTER (ended_at IS NULL) AS no_end FROM sweep_runs GROUP BY 1""",
     "event_routing": """SELECT CASE WHEN event_type = 'error' THEN 'dead_letter' WHEN CAST(json_extract_string(props, '$.k') AS INT) >= 50 THEN 'priority' ELSE 'normal' END AS queue, event_type, count(*) AS events
