@@ -12,6 +12,20 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+#: A bucket is hot from this many rows on, or from a thousandth of all rows if that is more: so there are at most a thousand.
+HOT_ROWS = 10_000
+
+
+def hot_buckets(df: DataFrame, key: list[str], bucket: str) -> DataFrame:
+    """key, bucket, parts: buckets with more rows than a task should sort, and into how many parts to cut them.
+
+    At most a thousand rows, whatever the size of the data, so they can go to every task.
+    """
+    limit = max(HOT_ROWS, df.count() // 1000)
+    counted = df.groupBy(*key, bucket).agg(F.count("*").alias("n")).filter(F.col("n") > limit)
+    return counted.select(*key, bucket, F.ceil(F.col("n") / limit).cast("int").alias("parts"))
+
+
 def carried_rows(df: DataFrame, key: list[str], bucket: str, folds: dict[str, Column], merge: dict[str, callable]) -> DataFrame:
     """One row per (key, bucket) that has something to inherit: the fold over all earlier buckets of the key.
 

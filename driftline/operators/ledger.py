@@ -222,7 +222,7 @@ def process_increments(records: DataFrame, sweep_runs: DataFrame, root: str, tra
     spark = records.sparkSession
     runs = [
         (r.run_no, r.s, r.e, r.outcome)
-        for r in sweep_runs.filter("started_at IS NOT NULL")
+        for r in sweep_runs.filter("started_at IS NOT NULL AND run_no IS NOT NULL")
         .select("run_no", micros("started_at").alias("s"), micros("ended_at").alias("e"), "outcome")
         .toLocalIterator()
     ]

@@ -29,8 +29,8 @@ RUN_SCHEMA = "prefix int, entries binary"
 def message_digest(entity: str = "entity_id", captured: str = "captured_at", comments: str = "comments") -> Column:
     """16 bytes that equal messages share: entity, capture instant (or the literal), set of non-null comment ids.
 
-    A null entity, a null capture time and a null list of comments are values of their own; times that
-    cannot be read are compared as text.  Lengths are part of what is hashed, so no two contents run together.
+    A null entity and a null capture time are values of their own, a null list of comments has the empty
+    set; times that cannot be read are compared as text.  Lengths are part of what is hashed, so no two contents run together.
     """
     when = F.coalesce(F.unix_micros(instant(captured)).cast("string"), F.concat(F.lit("="), F.col(captured)), F.lit("null"))
     ids = F.array_sort(F.array_distinct(F.filter(F.transform(F.col(comments), lambda c: norm_id(c["id"])), lambda i: i.isNotNull())))
@@ -167,6 +167,10 @@ def surplus_copies(captures: DataFrame, root: str, rounds: int = 4, prefix_bits:
 
 
 def kept_messages(captures: DataFrame, root: str, rounds: int = 4) -> DataFrame:
-    """The deliveries without their surplus copies: exactly one of each message, all columns as they are."""
+    """The deliveries without their surplus copies: exactly one of each message, all columns as they are.
+
+    A row that repeats a number is the same delivery again; rows without a number cannot be told apart and all stay.
+    """
     gone = surplus_copies(captures, root, rounds).select(F.col("copy_no").alias("delivery_no"))
-    return captures.join(gone, "delivery_no", "left_anti")
+    kept = captures.filter("delivery_no IS NOT NULL").join(gone, "delivery_no", "left_anti").dropDuplicates(["delivery_no"])
+    return kept.unionByName(captures.filter("delivery_no IS NULL").select(*kept.columns))

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from driftline.core.scan import carried_rows
+from driftline.core.scan import carried_rows, hot_buckets
 from driftline.core.store import cut
 from driftline.functions.keys import micros, norm_id
 from driftline.operators.versions import presence_flips
@@ -102,9 +102,10 @@ def orphan_references(deltas: DataFrame) -> DataFrame:
 
     Existence deltas of an instant count before its references.  A reference without a time precedes
     everything, so it is an orphan without a period.  A key with a third of all references is cut
-    into hours, each a task's share; the running sums are carried over the hours.
+    into hours, and a hot hour into parts; the running sums are carried over the hours.
     """
-    rows = deltas.withColumn("bucket", F.floor(F.col("at_us") / F.lit(HOUR_US)))
+    start = F.lit(-(2**40))  # the bucket of references without a time
+    rows = deltas.withColumn("bucket", F.coalesce(F.floor(F.col("at_us") / F.lit(HOUR_US)), start))
     sums = {c: F.sum(c) for c in COUNTS}
     carry = carried_rows(rows, ["key"], "bucket", sums, {c: F.sum for c in COUNTS}).filter("db_delta <> 0 OR page_delta <> 0")
     carry = carry.select(
@@ -118,12 +119,18 @@ def orphan_references(deltas: DataFrame) -> DataFrame:
         F.lit(0).alias("rank"),
     )
     own = rows.select("key", "bucket", "at_us", *[F.col(c).cast("bigint") for c in COUNTS], "ref_no", "target_table", "needs_database", F.when(F.col("ref_no").isNull(), 1).otherwise(2).alias("rank"))
+    # an hour with very many references of one key is dealt to parts, each with all existence deltas of the hour
+    hot = F.broadcast(hot_buckets(rows.filter("ref_no IS NOT NULL").select("key", "bucket"), ["key"], "bucket"))
+    parts = F.coalesce("parts", F.lit(1))
+    mine = F.array(F.pmod(F.xxhash64("ref_no"), parts).cast("int"))
+    dealt = own.unionByName(carry).join(hot, ["key", "bucket"], "left")
+    dealt = dealt.withColumn("part", F.explode(F.when(F.col("ref_no").isNotNull(), mine).otherwise(F.sequence(F.lit(0), parts - 1))))
     running = (
-        Window.partitionBy("key", "bucket")
+        Window.partitionBy("key", "bucket", "part")
         .orderBy(F.col("at_us").asc_nulls_first(), "rank")
         .rowsBetween(Window.unboundedPreceding, 0)
     )
-    state = own.unionByName(carry).select(
+    state = dealt.select(
         "ref_no", "target_table", "needs_database", "at_us", "ref_delta",
         F.sum("db_delta").over(running).alias("databases"),
         F.sum("page_delta").over(running).alias("pages"),
