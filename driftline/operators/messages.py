@@ -73,11 +73,12 @@ def _pack(group: pd.DataFrame) -> pd.DataFrame:
 
 def _merge(group: pd.DataFrame) -> pd.DataFrame:
     """Several sorted arrays of a prefix into one; of an identifier in two of them the smaller number stays."""
+    # joining arrays brings them to the machine's byte order; the result goes back to the stored one
     all_ = np.concatenate([np.frombuffer(b, dtype=ENTRY) for b in group["entries"]])
     all_ = all_[np.lexsort((all_["no"], all_["lo"], all_["hi"]))]
     first = np.ones(len(all_), dtype=bool)
     first[1:] = (all_["hi"][1:] != all_["hi"][:-1]) | (all_["lo"][1:] != all_["lo"][:-1])
-    return pd.DataFrame({"prefix": [int(group["prefix"].iloc[0])], "entries": [all_[first].tobytes()]})
+    return pd.DataFrame({"prefix": [int(group["prefix"].iloc[0])], "entries": [all_[first].astype(ENTRY).tobytes()]})
 
 
 class MessageIndex:
