@@ -179,7 +179,7 @@ def training_rows(documents: DataFrame, per_label: int = PER_LABEL) -> list[tupl
     """Lines of about ``per_label`` labelled documents a language, the same on every run: the documents of the smallest hashes.
 
     The number of documents of a label sets its share of the hash range.  Lines of more than MAX_LINE characters
-    are no training rows; what is collected is bounded by LINES_PER_LABEL rows of that size a language, twice over.
+    are no training rows; what is collected is bounded by LINES_PER_LABEL rows of that size a language, four times over.
     """
     labelled = documents.select("doc_id", "text", label_code(F.col("lang")).alias("code")).filter("code IS NOT NULL AND text IS NOT NULL")
     counts = {r.code: r.n for r in labelled.groupBy("code").agg(F.count("*").alias("n")).collect()}
@@ -190,7 +190,7 @@ def training_rows(documents: DataFrame, per_label: int = PER_LABEL) -> list[tupl
     picked = labelled.filter(place < share[F.col("code")])
     lines = picked.select("doc_id", "code", F.posexplode(F.split("text", r"\r?\n")).alias("line_no", "line"))
     lines = lines.filter(F.length(F.trim("line")).between(12, MAX_LINE))
-    rows = lines.limit(2 * LINES_PER_LABEL * len(LANGUAGES)).collect()
+    rows = lines.limit(4 * LINES_PER_LABEL * len(LANGUAGES)).collect()
     return [(r.line, r.code) for r in sorted(rows, key=lambda r: (r.doc_id, r.line_no))]
 
 
