@@ -332,7 +332,8 @@ def render(record: dict, depth: int = 200) -> str:
                 continue
             if b.get("type") == "paragraph":
                 own = [("\\" + x if _LEAD.match(x) else x) for x in own]
-                if lines and lines[-1].strip() and not _LEAD.match(lines[-1][len(prefix) :]):
+                before = lines[-1][len(prefix) :] if lines else ""
+                if before.strip() and not _LEAD.match(before):
                     lines.append(prefix.rstrip())
             quoted = b.get("type") in ("quote", "callout")
             lines.extend(prefix + (x if i == 0 or not quoted else "> " + x) for i, x in enumerate(own))

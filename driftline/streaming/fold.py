@@ -17,9 +17,12 @@ STATE = "key string, at_us bigint, serial bigint, value string, deleted boolean"
 
 def fold_batch(state: DataFrame, batch: DataFrame) -> DataFrame:
     """Latest value per key by (at_us, serial); a tombstone is final and unordered.  Folding a batch twice changes nothing."""
-    both = state.unionByName(batch.select("key", "at_us", "serial", "value", F.coalesce("deleted", F.lit(False)).alias("deleted")))
-    live = F.struct(F.col("at_us"), F.col("serial"), F.col("value"))
-    folded = both.groupBy("key").agg(F.max(F.when(~F.col("deleted"), live)).alias("r"), F.max("deleted").alias("deleted"))
+    # a tombstone brings no value of its own; a deleted key of the state keeps the last one it had
+    old = state.withColumn("live", F.col("at_us").isNotNull())
+    new = batch.select("key", "at_us", "serial", "value", F.coalesce("deleted", F.lit(False)).alias("deleted"))
+    both = old.unionByName(new.withColumn("live", ~F.col("deleted")))
+    rec = F.struct(F.col("at_us"), F.col("serial"), F.col("value"))
+    folded = both.groupBy("key").agg(F.max(F.when(F.col("live"), rec)).alias("r"), F.max("deleted").alias("deleted"))
     return folded.select("key", F.col("r.at_us").alias("at_us"), F.col("r.serial").alias("serial"), F.col("r.value").alias("value"), "deleted")
 
 
