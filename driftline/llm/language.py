@@ -22,6 +22,7 @@ import unicodedata
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -45,6 +46,7 @@ SWITCH = 0.9
 #: Least advantage of several languages over the best single one, in units of decoding loss, for a document to count as mixed.
 MIXED = 0.5
 _WORD = re.compile(r"[^\W\d_]{1,40}")
+_NOISY = re.compile(r"[`/@(0-9]")
 _NOISE = re.compile(r"`[^`]*`|https?://\S+|\S+@\S+|\[\[?[^\]]*\]\(([^)]*)\)|[0-9a-f]{8,}")
 
 
@@ -73,12 +75,13 @@ def codewords() -> np.ndarray:
 def line_words(line: str) -> list[str]:
     """The words that tell the language of a line: small letters, without code, links and ids."""
     line = line.lower()
-    if "`" in line or "/" in line or "@" in line or "(" in line or any(c.isdigit() for c in line):
+    if _NOISY.search(line):
         line = _NOISE.sub(" ", line)
     return _WORD.findall(line)
 
 
-def word_features(word: str) -> list[int]:
+@lru_cache(maxsize=200_000)
+def word_features(word: str) -> np.ndarray:
     """Hashed n-grams (1 to 4 letters, with marks of the word's ends) and the word itself.
 
     Accents are kept and also left out, since they are not always typed.
@@ -92,7 +95,7 @@ def word_features(word: str) -> list[int]:
         w = f"<{form}>"
         grams = [w] + [w[i : i + n] for n in (1, 2, 3, 4) for i in range(len(w) - n + 1)]
         out += [zlib.crc32(g.encode("utf-8")) % FEATURES for g in grams]
-    return out
+    return np.array(out)
 
 
 @dataclass
@@ -155,7 +158,7 @@ def train(rows: list[tuple[str, str]]) -> Model:
                 y.append(k)
     if not lines:
         raise ValueError("no labelled text to learn from")
-    x, y = [np.array([f for w in ws for f in word_features(w)]) for ws in lines], np.array(y)
+    x, y = [np.concatenate([word_features(w) for w in ws]) for ws in lines], np.array(y)
     held = np.arange(len(y)) % 5 == 0
     keep = ~held
     even = np.full((len(code), BITS), 1 / BITS)
@@ -205,8 +208,6 @@ class Decoder:
     def _word(self, w: str) -> int:
         k = self._rows.get(w)
         if k is None:
-            if len(self._rows) >= 200_000:
-                self._rows.clear()
             k = self._rows[w] = len(self._rows)
             if k >= len(self._table):
                 self._table = np.vstack([self._table, np.zeros_like(self._table)])
@@ -218,15 +219,15 @@ class Decoder:
     def lines(self, text: str) -> tuple[list[str], np.ndarray, np.ndarray]:
         """Non-blank lines, their number of words, and their losses per language (0 for a line without words)."""
         lines = [x for x in text.splitlines() if x.strip()]
-        n = np.zeros(len(lines), np.int64)
+        words = [line_words(x) for x in lines]
+        n = np.array([len(w) for w in words], np.int64)
         margins = np.zeros((len(lines), BITS), np.float32)
-        for i, line in enumerate(lines):
-            ws = line_words(line)
-            if ws:
-                n[i] = len(ws)
-                idx = [self._word(w) for w in ws]
-                total = self._table[idx].sum(axis=0)
-                margins[i] = total[:BITS] * (SCALE / total[BITS]) + self.model.bias
+        some = np.nonzero(n)[0]
+        if len(some):
+            idx = np.array([self._word(w) for ws in words for w in ws])
+            starts = np.concatenate([[0], np.cumsum(n[some])[:-1]])
+            total = np.add.reduceat(self._table[idx], starts, axis=0)
+            margins[some] = total[:, :BITS] * (SCALE / total[:, BITS:]) + self.model.bias
         loss = self.model.loss(margins)
         loss[n == 0] = 0
         return lines, n, loss
@@ -235,6 +236,8 @@ class Decoder:
         """(language, confidence, lines): the index of the language or -1; per non-blank line (language, confidence), empty unless mixed."""
         if not text or not text.strip():
             return -1, 0.0, []
+        if len(self._rows) > 200_000:
+            self._rows.clear()
         lines, n, loss = self.lines(text)
         if not n.sum():
             return -1, 0.0, []
@@ -245,7 +248,8 @@ class Decoder:
         cost = loss * weight[:, None]
         total = cost.sum(axis=0)
         best = int(total.argmin())
-        path, changed = self._path(cost)
+        # where every line that says anything says the same, there is nothing to choose
+        path, changed = self._path(cost) if (cost.argmin(axis=1)[weight > 0] != best).any() else ([best], 0.0)
         if len(set(path)) > 1 and total[best] - changed >= MIXED:
             chars: dict[int, int] = {}
             for x, k in zip(lines, path, strict=True):
