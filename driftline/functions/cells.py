@@ -9,7 +9,7 @@ from __future__ import annotations
 import json
 
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
@@ -63,11 +63,14 @@ def nested_cell(raw: pd.Series) -> pd.Series:
     return raw.map(one, na_action="ignore")
 
 
-def cell(prop: Column | str) -> Column:
-    """The cell text of one property; empty for null values, the raw text for what cannot be read."""
+def cell(prop: Column | str, kind: Column | str | None = None) -> Column:
+    """The cell text of one property; empty for null values, the raw text for what cannot be read.
+
+    ``kind`` is the property's type where a projection before this one has taken it already.
+    """
     p = _col(prop)
     at = lambda path: F.get_json_object(p, path)
-    kind = at("$.type")
+    kind = at("$.type") if kind is None else _col(kind)
     raw = lambda *names: F.coalesce(*[at(f"$.{n}") for n in names], F.lit(""))
     value = F.coalesce(*[F.when(kind == k, at(f"$.{k}")) for k in ("title", "rich_text", "multi_select", "people", "files", "relation")])
     texts = F.array_join(F.transform(_list(value, "struct<plain_text:string>"), lambda x: F.coalesce(x["plain_text"], F.lit(""))), "")
@@ -99,8 +102,18 @@ def cell(prop: Column | str) -> Column:
     )
 
 
-def full_cell(prop: Column | str) -> Column:
+def full_cell(prop: Column | str, kind: Column | str | None = None) -> Column:
     """As ``cell``, with formulas and rollups."""
     p = _col(prop)
-    nested = F.get_json_object(p, "$.type").isin("formula", "rollup")
-    return F.when(nested, nested_cell(F.when(nested, p))).otherwise(cell(p))
+    nested = (F.get_json_object(p, "$.type") if kind is None else _col(kind)).isin("formula", "rollup")
+    return F.when(nested, nested_cell(F.when(nested, p))).otherwise(cell(p, kind))
+
+
+def flatten_cells(rows: DataFrame, keep: list[str], props: dict[str, Column], nested: set[str] = frozenset()) -> DataFrame:
+    """``keep`` and one cell per property.  Types are read once, in a projection of their own.
+
+    Properties that may be formulas or rollups are named in ``nested``.
+    """
+    first = rows.select(*keep, *[c.alias(f"_p_{k}") for k, c in props.items()])
+    typed = first.select("*", *[F.get_json_object(f"_p_{k}", "$.type").alias(f"_t_{k}") for k in props])
+    return typed.select(*keep, *[(full_cell if k in nested else cell)(f"_p_{k}", f"_t_{k}").alias(k) for k in props])

@@ -118,7 +118,7 @@ def inline(runs: list[dict]) -> str:
     return escape("".join(r[0] for r in want))
 
 
-_TOKEN = re.compile(r"\\(.)|(`+)|(\*\*|~~|_)|\$((?:\\.|[^$\\])+)\$|(\[)|(\]\()|([^\\`*~_$\[\]]+|.)", re.S)
+_PLAIN = re.compile(r"[^\\`*~_$\[]+")
 
 
 def parse_inline(text: str) -> list[dict]:
@@ -160,7 +160,10 @@ def parse_inline(text: str) -> list[dict]:
 
         while i < len(s):
             c = s[i]
-            if c == "\\" and i + 1 < len(s):
+            if m := _PLAIN.match(s, i):
+                plain.append(m[0])
+                i = m.end()
+            elif c == "\\" and i + 1 < len(s):
                 plain.append(s[i + 1])
                 i += 2
             elif c == "`":

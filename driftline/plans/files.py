@@ -30,7 +30,7 @@ def cell_flatten(spark, d):
         "tags": prop("multi_select", F.array(named("parent_type"), named("icon"))), "no": prop("unique_id", F.struct(F.lit("REC").alias("prefix"), F.col("delivery_no").alias("number"))),
         "author": prop("created_by", F.struct(F.col("created_by").alias("name"), F.col("id"))), "sum": prop("formula", F.struct(F.lit("boolean").alias("type"), F.col("has_cover").alias("boolean"))),
     }
-    return p.select("delivery_no", *[(cells.full_cell(v) if k == "sum" else cells.cell(v)).alias(k) for k, v in made.items()])
+    return cells.flatten_cells(p, ["delivery_no"], made, {"sum"})
 
 
 def table_render(spark, d):
