@@ -80,7 +80,7 @@ def line_words(line: str) -> list[str]:
     return _WORD.findall(line)
 
 
-@lru_cache(maxsize=200_000)
+@lru_cache(maxsize=20_000)
 def word_features(word: str) -> np.ndarray:
     """Hashed n-grams (1 to 4 letters, with marks of the word's ends) and the word itself.
 

@@ -1,14 +1,14 @@
 """Mixing sources to target weights.
 
 Sizes are tokens of a public tokenizer.  A source's quota is its target share of the budget, at most
-``max_repeats`` times what it has.  Records are hashed into BLOCKS permuted blocks a source; a quota is
+``max_repeats`` times what it has.  Records are hashed into permuted blocks a source (BLOCKS or more); a quota is
 that many whole passes over all blocks and one pass over a prefix of the permuted blocks, whose last
 block is cut record by record.  A splitting tree divides the exact numbers of block draws of all sources
 among the output shards: each node draws its left half's numbers from the multivariate hypergeometric
 distribution.  Each source's draws are then permuted and dealt to the shards as disjoint runs, and
 within a shard the records are shuffled by a hash.
 
-The driver holds numbers of blocks only (sources x BLOCKS x repeats), never records.
+The driver holds numbers of blocks only (sources x blocks x repeats), never records.
 
 Edge cases: records without a source, or of a source without a target, are not selected; null or empty
 texts have no tokens and are selected with their block; a share of zero or a source without tokens
@@ -30,6 +30,7 @@ from driftline.core.store import cut
 TOKENIZER = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 #: How the byte-level tokenizer cuts a text into pieces before merging.
 PIECES = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+#: Least number of blocks of a source (four a shard if that is more), and sub-blocks of a block that is cut.
 BLOCKS, SUB_BLOCKS = 256, 1024
 #: Sources named by the targets go to every task and, with their blocks, to the driver.
 MAX_SOURCES = 10_000
@@ -102,14 +103,15 @@ def mix(documents: DataFrame, mix_targets: DataFrame, shards: int = 16, budget:
     if not targets:
         return empty
     names = sorted(targets)
+    blocks = max(BLOCKS, 4 * shards)
     hashed = F.xxhash64(F.col("doc_id"), F.lit(seed))
-    block = F.pmod(hashed, F.lit(BLOCKS)).cast("int")
+    block = F.pmod(hashed, F.lit(blocks)).cast("int")
     sub = F.pmod(F.shiftrightunsigned(hashed, 20), F.lit(SUB_BLOCKS)).cast("int")
     rows = cut(
         token_counts(documents.filter(source_name(F.col("source")).isin(names)), tokenizer).withColumns({"block": block, "sub": sub, "place": hashed}), "token-counts"
     )
     size = {(r.source, r.block): r.t for r in rows.groupBy("source", "block").agg(F.sum("n_tokens").alias("t")).collect()}
-    have = {s: sum(size.get((s, b), 0) for b in range(BLOCKS)) for s in names}
+    have = {s: sum(size.get((s, b), 0) for b in range(blocks)) for s in names}
     total = budget if budget is not None else sum(have.values())
     rng = np.random.default_rng(seed)
     draws: dict[str, list[tuple[int, int]]] = {}
@@ -118,7 +120,7 @@ def mix(documents: DataFrame, mix_targets: DataFrame, shards: int = 16, budget:
         share, cap = targets[s]
         quota = int(min(share * total, cap * have[s])) if have[s] else 0
         whole, rest = divmod(quota, have[s]) if have[s] else (0, 0)
-        order = rng.permutation(BLOCKS).tolist()
+        order = rng.permutation(blocks).tolist()
         draws[s] = [(b, p) for p in range(whole) for b in order]
         for b in order:
             n = size.get((s, b), 0)

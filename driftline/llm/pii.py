@@ -206,6 +206,8 @@ class Detector:
         """(kind, start, end) in source offsets, ascending and disjoint."""
         if not text:
             return []
+        if len(text) > 2000:
+            return self._find(text)
         known = self._seen.get(text)
         if known is None:
             if len(self._seen) > 20_000:
