@@ -115,3 +115,22 @@ def endpoint_class(path: Column | str) -> Column:
     for name, pattern in reversed(ENDPOINTS):
         out = F.when(_col(path).rlike(pattern), name).otherwise(out)
     return out
+
+
+def parse_ids(c: Column | str) -> Column:
+    """Ids of a list separated by commas or blanks, dashes removed; one that is no id fails the query."""
+    parts = F.filter(F.split(F.trim(_col(c)), r"[,\s]+"), lambda p: p != "")
+    bare = F.transform(parts, lambda p: F.lower(F.replace(p, F.lit("-"), F.lit(""))))
+    bad = F.filter(bare, lambda p: ~p.rlike("^[0-9a-f]{32}$"))
+    return F.when(F.size(bad) > 0, F.raise_error(F.concat(F.lit("no valid id: "), bad[0])).cast("array<string>")).otherwise(bare)
+
+
+def signature_matches(body: Column | str, signature: Column | str, secret: str) -> Column:
+    """Whether ``sha256=...`` is the keyed digest of a body, from two nested built-in digests of padded keys."""
+    import hashlib
+
+    key = secret.encode("utf-8")
+    key = (hashlib.sha256(key).digest() if len(key) > 64 else key).ljust(64, b"\x00")
+    inner, outer = (F.unhex(F.lit(bytes(b ^ pad for b in key).hex())) for pad in (0x36, 0x5C))
+    digest = F.sha2(F.concat(outer, F.unhex(F.sha2(F.concat(inner, _col(body).cast("binary")), 256))), 256)
+    return F.coalesce(_col(signature) == F.concat(F.lit("sha256="), digest), F.lit(False))

@@ -170,3 +170,12 @@ def fuzzy_pairs(legacy: DataFrame, ided: DataFrame, block: list[str]) -> DataFra
     met = a.join(b, [*block, "_head", "_tail"]).filter(F.regexp_like("l_text", F.col("pattern")) & (F.col("legacy_no") != F.col("ided_no")))
     first = met.groupBy("legacy_no").agg(F.min("ided_no").alias("ided_no"))
     return first.groupBy("ided_no").agg(F.min("legacy_no").alias("legacy_no"))
+
+
+def reconcile(rows: DataFrame, order: list[str], block: list[str]) -> DataFrame:
+    """Stored comments (no, cid, text, ...) without repeats of an id and without id-less ones that an id-bearing one repeats."""
+    first = keep_first(rows, "cid", order)
+    twins = fuzzy_pairs(first.filter("cid IS NULL").select("no", "text", *block), first.filter("cid IS NOT NULL").select("no", "text", *block), block)
+    same = first.filter("cid IS NULL").alias("a").join(first.filter("cid IS NOT NULL").select("text", *block).distinct().alias("b"), [*block, "text"], "left_semi").select("no")
+    gone = twins.select(F.col("legacy_no").alias("no")).unionByName(same)
+    return first.join(gone, "no", "left_anti")

@@ -399,7 +399,10 @@ def parse_blocks(text: str) -> list[dict]:
             kind, extra, runs = "image", {"url": m[13]}, parse_inline(m[12])
         elif m:
             rest = body[m.end() :]
-            if m[1]:
+            out_of_here = standin(body.rstrip(), bool(stack))
+            if out_of_here:
+                kind, extra, rest = out_of_here.pop("type"), out_of_here, ""
+            elif m[1]:
                 kind, extra = "to_do", {"checked": m[2] == "x"}
             elif m[3]:
                 kind = "toggle"
@@ -421,6 +424,82 @@ def parse_blocks(text: str) -> list[dict]:
     return out
 
 
+_STANDIN = re.compile(r"^- (?:📄 \*\*(?P<page>.*)\*\* — sub-page|🗄️ \*\*(?P<table>.*)\*\* — database|🔗 link to) `(?P<id>[^`]*)`(?P<rest>.*)$|^- (?:🔖|🖼️|👁️) \[(?P<label>.*)\]\((?P<url>[^)]*)\)$")
+
+
+def standin(line: str, nested: bool = False) -> dict | None:
+    """What a line that stands for something outside the document is to become; None for other lines.
+
+    ``rebuilt``: a block can be made (links, bookmarks).  ``kept``: the target is a document of its own, which is
+    not made anew from a line.  ``refused``, with a reason: no valid id, text behind it, no URL, or a
+    sub-document inside another block, where it cannot be moved to.
+    """
+    m = _STANDIN.match(line)
+    if not m:
+        return None
+    if m["url"] is not None:
+        kind = {"🔖": "bookmark", "👁": "link_preview"}.get(line[2], "embed")
+        ok = re.match(r"https?://", m["url"])
+        return {"type": kind, "state": "rebuilt" if ok else "refused", "reason": "" if ok else "no URL", "url": m["url"]}
+    kind = "child_page" if m["page"] is not None else "child_database" if m["table"] is not None else "link_to_page"
+    reason = ""
+    if not re.fullmatch(r"[0-9a-f]{32}", m["id"]):
+        reason = "no valid id"
+    elif m["rest"].strip():
+        reason = "text behind it"
+    elif nested and kind != "link_to_page":
+        reason = "inside another block"
+    state = "refused" if reason else "rebuilt" if kind == "link_to_page" else "kept"
+    return {"type": kind, "state": state, "reason": reason, "id": m["id"], "title": m["page"] or m["table"] or ""}
+
+
+_PROMOTE = re.compile(r"https?://[^\s)>\]]+|(?<![0-9a-f])[0-9a-f]{32}(?![0-9a-f])")
+
+
+def promote_links(items: list[dict]) -> list[dict]:
+    """Neighbouring plain runs joined, and the URLs and ids inside the joined text made links and mentions."""
+    out: list[dict] = []
+    for plain, group in groupby(items, key=lambda r: r.get("type", "text") == "text" and not r.get("href") and not any((r.get("annotations") or {}).values())):
+        if not plain:
+            out.extend(group)
+            continue
+        text, at = "".join(r.get("plain_text") or "" for r in group), 0
+        for m in _PROMOTE.finditer(text):
+            if m.start() > at:
+                out.append({"type": "text", "plain_text": text[at : m.start()]})
+            url = m[0].startswith("http")
+            out.append({"type": "text", "plain_text": m[0], "href": m[0]} if url else {"type": "mention", "plain_text": m[0], "mention": {"page": {"id": m[0]}}})
+            at = m.end()
+        if at < len(text):
+            out.append({"type": "text", "plain_text": text[at:]})
+    return out
+
+
+def trim_payload(value, text_cap: int, list_cap: int):
+    """A payload with its texts and lists cut to a size, at any depth; for fixtures and messages, never for stored data."""
+    if isinstance(value, str):
+        return value[:text_cap]
+    if isinstance(value, list):
+        return [trim_payload(v, text_cap, list_cap) for v in value[:list_cap]]
+    if isinstance(value, dict):
+        return {k: trim_payload(v, text_cap, list_cap) for k, v in value.items()}
+    return value
+
+
+def table_width(record: dict) -> int:
+    """Cells of the widest table row of a record."""
+    width, todo = 0, [record]
+    while todo:
+        x = todo.pop()
+        if isinstance(x, dict):
+            cells = (x.get("table_row") or {}).get("cells") if isinstance(x.get("table_row"), dict) else None
+            width = max(width, len(cells) if isinstance(cells, list) else 0)
+            todo.extend(x.values())
+        elif isinstance(x, list):
+            todo.extend(x)
+    return width
+
+
 def rendered(trees: DataFrame, key: str = "tree_no", body: str = "body") -> DataFrame:
     """key, markdown of each record; null where the body is no JSON object."""
 

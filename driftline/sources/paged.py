@@ -53,6 +53,35 @@ def pages(query: Callable[[str | None], tuple[list, str | None]]) -> Iterator:
             return
 
 
+class StaleCursor(Exception):
+    """The server no longer knows the cursor it gave."""
+
+
+def sweep(query: Callable[[str | None], tuple[list, str | None]]) -> Iterator:
+    """A cursor-paged listing that begins once more from the top if the server refuses its own cursor.
+
+    Rows may come twice then; whoever takes them de-duplicates by id.
+    """
+    try:
+        yield from pages(query)
+    except StaleCursor:
+        yield from pages(query)
+
+
+def in_batches(ids: Iterator, lookup: Callable[[list], dict], size: int = 90) -> Iterator[tuple]:
+    """(id, record or None) of every id, looked up ``size`` at a time."""
+    batch: list = []
+    for i in ids:
+        batch.append(i)
+        if len(batch) == size:
+            found = lookup(batch)
+            yield from ((b, found.get(b)) for b in batch)
+            batch = []
+    if batch:
+        found = lookup(batch)
+        yield from ((b, found.get(b)) for b in batch)
+
+
 def complete_scan(query: Callable[[object], list], cap: int, key: Callable, at: Callable) -> Iterator:
     """All rows of a listing that returns at most ``cap`` rows from a time on, in order of time."""
     since, edge = None, set()

@@ -26,12 +26,13 @@ def fold_batch(state: DataFrame, batch: DataFrame) -> DataFrame:
     return folded.select("key", F.col("r.at_us").alias("at_us"), F.col("r.serial").alias("serial"), F.col("r.value").alias("value"), "deleted")
 
 
-def fold_stream(spark: SparkSession, log: str, root: str, per_trigger: int = 4) -> DataFrame:
+def fold_stream(spark: SparkSession, log: str, root: str, per_trigger: int = 4, archive: str | None = None) -> DataFrame:
     """Fold a folder of JSON lines (key, at_us, serial, value, deleted) up to now and return the state.
 
     The stream's checkpoint holds how far the log is read, the state table's version is the batch number:
     a batch that is run again after a crash finds its version written and leaves it.  Lines that are no
-    JSON, or name no key, go to ``root/dead`` and never hold up the rest.
+    JSON, or name no key, go to ``root/dead`` and never hold up the rest.  With ``archive`` log files are moved
+    there once a later batch has committed what they held, which rotates the log without losing a line.
     """
     table = VersionedTable(spark, f"{root}/state")
 
@@ -42,7 +43,10 @@ def fold_stream(spark: SparkSession, log: str, root: str, per_trigger: int = 4)
         # versions start from 1
         table.write(fold_batch(table.read(STATE, min(table.version(), batch_id)), rows.filter(good).select("e.*")), batch_id + 1)
 
-    stream = spark.readStream.option("maxFilesPerTrigger", per_trigger).text(log)
+    source = spark.readStream.option("maxFilesPerTrigger", per_trigger)
+    if archive is not None:
+        source = source.option("cleanSource", "archive").option("sourceArchiveDir", archive)
+    stream = source.text(log)
     query = stream.writeStream.foreachBatch(step).option("checkpointLocation", f"{root}/checkpoint").trigger(availableNow=True).start()
     query.awaitTermination()
     return table.read(STATE)

@@ -85,3 +85,8 @@ def test_threads_and_bullets(spark):
     body = rows.select("k", M.bullet(F.col("text"), F.col("who"), F.col("day"), F.col("cid"), F.col("on")).alias("l")).groupBy("k").agg(F.array_join(F.sort_array(F.collect_list("l")), "\n").alias("body"))
     got = sorted(map(tuple, M.parse_bullets(body, "k", "body").collect()))
     assert got == [("s", 0, "Ann", "2026-01-01", "one\ntwo", "ab12"), ("s", 1, "Bo", "2026-01-02", "x", None)]
+
+
+def test_reconcile(spark):
+    rows = spark.createDataFrame([(1, "a", "hi @Ann Lee ok", "u"), (2, "a", "hi @Ann Lee ok", "u"), (3, None, "hi Ann Lee ok", "u"), (4, None, "same", "u"), (5, "b", "same", "u"), (6, None, "alone", "u"), (7, None, "alone", "u")], "no int, cid string, text string, who string")
+    assert sorted(r.no for r in M.reconcile(rows, ["no"], ["who"]).collect()) == [1, 5, 6, 7]

@@ -246,3 +246,43 @@ def test_streamed_throttle_and_queue(spark):
     assert tries.failed("x") is False
     fold.route(spark.createDataFrame([("comment.new", dt.date(2026, 1, 1)), ("page.x", None)], "type string, d date"), [("comments", "type like 'comment.%'")], root + "/q", 0)
     assert {r.queue for r in spark.read.parquet(root + "/q/batch=0").collect()} == {"comments", "unrouted"}
+
+
+def test_standins_links_and_trimming():
+    i = "a" * 32
+    line = lambda s, n=False: (lambda r: r and (r["type"], r["state"]))(MD.standin(s, n))
+    assert line(f"- 📄 **T** — sub-page `{i}`") == ("child_page", "kept") and line(f"- 🗄️ **D** — database `{i}`", True) == ("child_database", "refused")
+    assert line(f"- 🔗 link to `{i}`", True) == ("link_to_page", "rebuilt") and line("- 🔗 link to `short`") == ("link_to_page", "refused")
+    assert line("- 🔖 [x](https://h/p)") == ("bookmark", "rebuilt") and line("- 🔖 [x](ftp)") == ("bookmark", "refused") and line("- plain") is None
+    assert [b["type"] for b in MD.parse_blocks(f"- 🔗 link to `{i}`\n- a")] == ["link_to_page", "bulleted_list_item"]
+    runs = MD.promote_links([{"type": "text", "plain_text": "see https://h/a"}, {"type": "text", "plain_text": f"b and {i}."}, {"type": "text", "plain_text": "x", "href": "u"}])
+    assert [r["plain_text"] for r in runs] == ["see ", "https://h/ab", " and ", i, ".", "x"]
+    assert MD.trim_payload({"a": ["xyz", ["1", "2", "3"]], "b": 5}, 2, 2) == {"a": ["xy", ["1", "2"]], "b": 5}
+    assert MD.table_width({"blocks": [{"table_row": {"cells": [1, 2, 3]}}, {"table_row": None}]}) == 3
+
+
+def test_paged_restart_and_batches():
+    calls = []
+
+    def query(cursor):
+        calls.append(cursor)
+        if cursor == "x" and calls.count("x") == 1:
+            raise paged.StaleCursor
+        return ([1, 2], "x") if cursor is None else ([3], None)
+
+    assert list(paged.sweep(query)) == [1, 2, 1, 2, 3]
+    assert list(paged.in_batches(iter(range(5)), lambda ids: {i: i * 2 for i in ids if i != 3}, 2)) == [(0, 0), (1, 2), (2, 4), (3, None), (4, 8)]
+
+
+def test_ids_and_signatures(spark):
+    import hashlib
+    import hmac
+
+    one = lambda c: spark.range(1).select(c.alias("x")).first().x
+    assert one(X.parse_ids(F.lit(f" {'A' * 32}, {'b' * 8}-{'b' * 24}\n"))) == ["a" * 32, "b" * 32]
+    with pytest.raises(Exception, match="no valid id"):
+        one(X.parse_ids(F.lit("abc")))
+    for secret in ("s", "k" * 100):
+        good = "sha256=" + hmac.new(secret.encode(), "bödy".encode(), hashlib.sha256).hexdigest()
+        assert one(X.signature_matches(F.lit("bödy"), F.lit(good), secret)) is True
+        assert one(X.signature_matches(F.lit("body"), F.lit(good), secret)) is False and one(X.signature_matches(F.lit("x"), F.lit(None).cast("string"), secret)) is False
