@@ -50,13 +50,17 @@ def _no_store(spark):
     return spark.createDataFrame([], "cid string, home string, text string, resolved_on date")
 
 
+def _dated(folded):
+    return folded.withColumn("resolved_on", F.date_format("resolved_on", "yyyy-MM-dd"))
+
+
 def fold_log(spark, d):
-    return M.fold_captures(_no_store(spark), _rows(spark, d), _scans(spark, d), TODAY)
+    return _dated(M.fold_captures(_no_store(spark), _rows(spark, d), _scans(spark, d), TODAY))
 
 
 def fold_twice(spark, d):
     once = M.fold_captures(_no_store(spark), _rows(spark, d).filter("cid IS NOT NULL"), _scans(spark, d), TODAY)
-    return M.fold_captures(once, _rows(spark, d).filter("cid IS NOT NULL"), _scans(spark, d), TODAY)
+    return _dated(M.fold_captures(once, _rows(spark, d).filter("cid IS NOT NULL"), _scans(spark, d), TODAY))
 
 
 def append_only_merge(spark, d):
@@ -178,14 +182,14 @@ _ROWS = f"""rows AS (SELECT delivery_no, pos, home, seen, anchor, {_ID.format("c
   early AS (SELECT * FROM rows WHERE seen < TIMESTAMPTZ '{EARLIER}+00'), late AS (SELECT * FROM rows WHERE seen >= TIMESTAMPTZ '{EARLIER}+00'),
   scans AS (SELECT {_ID.format("page_id")} AS home, max(fetched_at) AS scan_at FROM block_trees GROUP BY 1)"""
 _FOLD = f"""WITH {_ROWS}, latest AS (SELECT cid, r.* FROM (SELECT cid, arg_max({{'home': home, 'text': text, 'seen': seen}}, row(coalesce(epoch_us(seen), -9000000000000000000), delivery_no, pos)) AS r FROM rows WHERE cid IS NOT NULL GROUP BY 1)),
-  folded AS (SELECT cid, l.home, text, CASE WHEN seen > scan_at OR (scan_at IS NULL AND seen IS NOT NULL) THEN NULL ELSE coalesce(CAST(scan_at AS DATE), DATE '{TODAY}') END AS resolved_on FROM latest l LEFT JOIN scans s ON s.home = l.home),
+  folded AS (SELECT cid, l.home, text, CASE WHEN seen > scan_at OR (scan_at IS NULL AND seen IS NOT NULL) THEN NULL ELSE coalesce(strftime(scan_at AT TIME ZONE 'UTC', '%Y-%m-%d'), '{TODAY}') END AS resolved_on FROM latest l LEFT JOIN scans s ON s.home = l.home),
   bare AS (SELECT home, {_KEY.format("text")} AS k, arg_max({{'text': text, 'seen': seen}}, row(coalesce(epoch_us(seen), -9000000000000000000), delivery_no, pos)) AS r FROM rows WHERE cid IS NULL GROUP BY 1, 2)"""
 ORACLES = {
     "latest_wins": f"""WITH {_ROWS} SELECT cid, r.* FROM (SELECT cid, arg_max({{'text': text, 'delivery_no': delivery_no}}, row(coalesce(epoch_us(seen), -9000000000000000000), delivery_no, pos)) AS r FROM rows WHERE cid IS NOT NULL GROUP BY 1)""",
     "keep_first_dedup": f"""WITH {_ROWS} SELECT cid, delivery_no, pos, text FROM (SELECT *, row_number() OVER (PARTITION BY cid ORDER BY delivery_no, pos) AS n FROM rows) WHERE cid IS NULL OR n = 1""",
     "capture_asof": f"""WITH {_ROWS} SELECT CASE WHEN seen IS NULL THEN 'no_time' WHEN scan_at IS NULL THEN 'no_scan' WHEN seen > scan_at THEN 'newer' ELSE 'older' END AS "order", count(*) AS comments, count(DISTINCT rows.home) AS homes
       FROM rows LEFT JOIN scans USING (home) GROUP BY 1""",
-    "fold_log": f"""{_FOLD} SELECT * FROM folded UNION ALL SELECT NULL, b.home, b.r.text, CASE WHEN b.r.seen > scan_at OR (scan_at IS NULL AND b.r.seen IS NOT NULL) THEN NULL ELSE coalesce(CAST(scan_at AS DATE), DATE '{TODAY}') END
+    "fold_log": f"""{_FOLD} SELECT * FROM folded UNION ALL SELECT NULL, b.home, b.r.text, CASE WHEN b.r.seen > scan_at OR (scan_at IS NULL AND b.r.seen IS NOT NULL) THEN NULL ELSE coalesce(strftime(scan_at AT TIME ZONE 'UTC', '%Y-%m-%d'), '{TODAY}') END
       FROM bare b LEFT JOIN scans s ON s.home = b.home WHERE NOT EXISTS (SELECT 1 FROM folded f WHERE f.home = b.home AND {_KEY.format("f.text")} = b.k)""",
     "fold_twice": f"{_FOLD} SELECT * FROM folded",
     "append_only_merge": f"""WITH {_ROWS}, o AS (SELECT DISTINCT cid FROM early WHERE cid IS NOT NULL), n AS (SELECT DISTINCT cid FROM late WHERE cid IS NOT NULL)

@@ -185,8 +185,8 @@ ORACLES = {
     "throttle": "SELECT user_id, epoch_us(min(ts)) AS sent_us, count(*) - 1 AS suppressed FROM events WHERE event_type = 'error' GROUP BY user_id, date_trunc('hour', ts)",
     "staleness": "SELECT user_id, epoch_us(max(ts)) AS last_us FROM events WHERE event_type = 'view' GROUP BY 1 HAVING (SELECT max(ts) FROM events) - max(ts) >= INTERVAL 6 HOUR",
     "audit_queue_dedup": f"SELECT {_ID.format('entity_id')} AS entity, min(delivery_no) AS first_no, count(*) AS asked FROM webhook_captures GROUP BY 1",
-    "run_islands": """SELECT user_id, event_type, island, count(*) AS n FROM (SELECT *, sum(s) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS island FROM (SELECT *, CASE WHEN lag(event_type) OVER (PARTITION BY user_id ORDER BY ts, event_id) = event_type THEN 0 ELSE 1 END AS s FROM events)) GROUP BY ALL""",
-    "outcome_islands": """SELECT 'nightly' AS job, outcome, island, count(*) AS n FROM (SELECT *, sum(s) OVER (ORDER BY run_no) AS island FROM (SELECT *, CASE WHEN lag(outcome) OVER (ORDER BY run_no) = outcome THEN 0 ELSE 1 END AS s FROM sweep_runs)) GROUP BY ALL""",
+    "run_islands": """SELECT user_id, event_type, island, count(*) AS n FROM (SELECT *, CAST(sum(s) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS BIGINT) AS island FROM (SELECT *, CASE WHEN lag(event_type) OVER (PARTITION BY user_id ORDER BY ts, event_id) = event_type THEN 0 ELSE 1 END AS s FROM events)) GROUP BY ALL""",
+    "outcome_islands": """SELECT 'nightly' AS job, outcome, island, count(*) AS n FROM (SELECT *, CAST(sum(s) OVER (ORDER BY run_no) AS BIGINT) AS island FROM (SELECT *, CASE WHEN lag(outcome) OVER (ORDER BY run_no) = outcome THEN 0 ELSE 1 END AS s FROM sweep_runs)) GROUP BY ALL""",
     "ancestor_climb": f"WITH RECURSIVE {_GOAL}, {_nodes_sql('n')}, {_climb_sql('n')} SELECT * FROM nr",
     "retry_unplaced": f"""WITH RECURSIVE {_GOAL}, {_nodes_sql("n")}, {_climb_sql("n")}, {_nodes_sql("m", EARLIER)}, {_climb_sql("m")}
       SELECT nr.id, nr.ancestor FROM nr JOIN mr ON mr.id = nr.id WHERE mr.ancestor IS NULL AND nr.ancestor IS NOT NULL""",
