@@ -72,9 +72,9 @@ def throttle(spark, d):
 
 def staleness(spark, d):
     e = table(spark, d, "events").select("user_id", "event_type", micros("ts").alias("us"))
-    now = e.agg(F.max("us").alias("now"))  # one row
+    now = e.agg(F.max("us")).first()[0]  # null for an empty log, of which no one is stale
     last = e.filter("event_type = 'view'").groupBy("user_id").agg(F.max("us").alias("last_us"))
-    return last.join(F.broadcast(now), F.col("now") - F.col("last_us") >= 6 * 3_600_000_000).select("user_id", "last_us")
+    return last.filter(F.lit(now).cast("bigint") - F.col("last_us") >= 6 * 3_600_000_000)
 
 
 def audit_queue_dedup(spark, d):

@@ -286,3 +286,24 @@ def test_ids_and_signatures(spark):
         good = "sha256=" + hmac.new(secret.encode(), "bödy".encode(), hashlib.sha256).hexdigest()
         assert one(X.signature_matches(F.lit("bödy"), F.lit(good), secret)) is True
         assert one(X.signature_matches(F.lit("body"), F.lit(good), secret)) is False and one(X.signature_matches(F.lit("x"), F.lit(None).cast("string"), secret)) is False
+
+
+def test_corpus_lines_metadata_sinks_and_index(spark):
+    import os
+
+    root = work_dir(spark, "corpus")
+    plain = root.removeprefix("file://")
+    for name, text in (("a/x.md", "one\ntwo"), ("b.partial/y.md", "no"), ("z.txt", "no")):
+        os.makedirs(os.path.dirname(f"{plain}/{name}"), exist_ok=True)
+        with open(f"{plain}/{name}", "w") as f:
+            f.write(text)
+    assert sorted((r.line_no, r.text) for r in files.corpus_lines(spark, root).collect()) == [(1, "one"), (2, "two")]
+    meta = spark.createDataFrame([("b", "page"), ("a", "row"), ("c", "page")], "id string, kind string")
+    sinks.write_metadata(meta, root + "/meta", [F.col("id")], F.col("kind") == "page", ["id"])
+    assert [(r.line_no, r.id) for r in spark.read.json(root + "/meta/meta_jsonl").orderBy("line_no").collect()] == [(0, "a"), (1, "b"), (2, "c")]
+    assert sorted(r.id for r in spark.read.csv(root + "/meta/content_tsv", sep="\t", header=True).collect()) == ["b", "c"]
+    i = "a" * 32
+    paths = spark.createDataFrame([(f"t {i}.csv",), (f"w/p {i}.md",), (f"_schema {i}.md",), (f"x.partial/{i}",), (f"folder {i}",), ("none.md",)], "path string")
+    assert sorted(r.kind for r in files.artifact_index(paths).collect()) == ["document", "folder", "table"]
+    got = S.failures_since_success(spark.createDataFrame([("j", 1, "ok"), ("j", 2, "bad"), ("j", 3, "bad"), ("k", 1, "bad"), ("m", 5, "ok")], "k string, t int, o string"), ["k"], "t", F.col("o") == "ok", F.col("o") == "bad")
+    assert {r.k: (r.last_ok, r.failures) for r in got.collect()} == {"j": (1, 2), "k": (None, 1), "m": (5, 0)}
