@@ -148,7 +148,7 @@ _L, _R = r"(?<![\w.,:/+-])", r"(?!\w|[-./:,]\d)"
 _ID = re.compile(
     _L
     + r"(?:\d{3}-\d{2}-\d{4}|\d{3} \d{2} \d{4}(?! \d)|\d{8}-\d{4}|\d{8}-?[A-Z]|[XYZ]-?\d{7}-?[A-Z]|[A-Z]{1,2}\d{7,9}"
-    + r"|[A-Z]{2} ?\d{2} ?\d{2} ?\d{2} ?[A-D]|[A-Z]{2}-\d{3}-\d{4}|\d{2} \d{3} \d{3} \d{3}|[1-9] \d{2} \d{2} \d{2} \d{3} \d{3}(?: \d{2})?)"
+    + r"|[A-Z]{2} ?\d{2} ?\d{2} ?\d{2}(?: ?[A-Z])?|[A-Z]{2}-\d{3}-\d{4}|\d{2} \d{3} \d{3} \d{3}|[1-9] \d{2} \d{2} \d{2} \d{3} \d{3}(?: \d{2})?)"
     + _R
 )
 _ID_WORD = re.compile(
@@ -164,14 +164,15 @@ _PHONE = re.compile(
     + r"|0[1-9](?:[ .]\d{2}){4}|00\d{4,7} \d{4,8}|00\d{9,13}|0[1-9]\d{8,9}|1[2-9]\d{9}|[2-9]\d{2}[2-9]\d{6})"
     + r"(?!\w|[-./:]\d)(?: ?(?:ext\.?|x|Durchwahl|poste) ?\d{1,5}\b)?"
 )
-_CITY = r"(?:,?[ \n](?:\d{4,5} )?[^\W\d_][\w'-]+(?: [A-Z][\w'-]+)?(?: \d{4,5})?)?"
 _UP = r"[^\W\d_a-zà-öø-ÿ][\w'’-]*\.?"
+# fixed values: first words of place names of two words
+_PLACE = r"(?:(?:Port|Nether|Upper|Lower|Great|Little|New|Old|North|South|East|West|Saint|St\.?|San|Santa|Los|Las|El|La|Le|Les|Bad|Mount|Fort|Lake|Cape) )?" + _UP
 _ADDRESS = re.compile(
     # number, name, kind of street
     r"(?<![\w.,:/+-])\d{1,5} ?[A-Za-z]? (?:" + _UP + r" ){1,4}(?:(?i:street|st\.|road|rd\.?|avenue|ave\.?|lane|drive|dr\.|row|court|ct|crescent|boulevard|blvd\.?|terrace|place|square|way|hill|close|walk|gardens|mews|parade|quay))(?!\w)"
-    r"(?:,? (?:Apt|Flat|Unit|Suite|apt|APT)\.? ?\w{1,6})?(?:,[ \n]| ?\n)?(?:(?<=[,\n ])(?:" + _UP + r")(?: " + _UP + r")?(?: \d{4,6})?)?"
+    r"(?:,? (?:Apt|Flat|Unit|Suite|apt|APT)\.? ?\w{1,6})?(?:,[ \n]| ?\n)?(?:(?<=[,\n ])" + _PLACE + r"(?: \d{4,6})?)?"
     # number, kind of street, name
-    r"|(?<![\w.,:/+-])\d{1,4}(?: ?(?:bis|ter|quater))?,? (?i:rue|avenue|av\.|impasse|chemin|boulevard|bd|place|allée|quai|route|cours|passage|sentier|square|via|viale|piazza) (?:(?:de la|de l'|des|du|de|d'|la|le|les|l'|della|del|di) ?)*" + _UP + r"(?: " + _UP + r"){0,3}(?:, \d{5} " + _UP + r"(?: " + _UP + r")?)?"
+    r"|(?<![\w.,:/+-])\d{1,4}(?: ?(?:bis|ter|quater))?,? (?i:rue|avenue|av\.|impasse|chemin|boulevard|bd|place|allée|quai|route|cours|passage|sentier|square|via|viale|piazza) (?:(?:de la|de l'|des|du|de|d'|la|le|les|l'|della|del|di) ?)*" + _UP + r"(?: " + _UP + r"){0,3}(?:, \d{5} " + _PLACE + r")?"
     # kind of street, name, number
     r"|(?<!\w)(?i:calle|c/|avda\.|avenida|camino|plaza|paseo|ronda|travesía|carretera|rua|largo|praça) (?:(?:de las|de los|de la|del|de|das|dos|da|do|la|el) )?" + _UP + r"(?: " + _UP + r"){0,3},? (?:n\.?º ?)?\d{1,4}[a-z]?(?:, \d{1,2}\.?º ?(?:[A-Z]\b)?)?(?:, \d{4,5} " + _UP + r")?"
     r"|(?<!\w)(?:" + _UP + r" )?[^\W\d_]*(?i:straße|strasse|str\.|weg|allee|gasse|platz|ring|damm|ufer|steig|chaussee|graben|markt|laan|straat|gatan|vägen|gracht) \d{1,4} ?[a-z]?\b(?:, \d{4,5} " + _UP + r")?"
@@ -256,7 +257,7 @@ class Detector:
     def _names(self, t: str, taken: list[tuple[int, int]], take) -> None:
         words = [(x.start(), x.end()) for x in _NAME_WORD.finditer(t) if x[0].lower() in self.parts]
         for x in _TITLED.finditer(t):
-            words.append((x.start(1), x.end()))
+            words.append((x.start(1), x.end(1) if x[1].lower() in self.parts else x.end()))
         for x in _MENTION.finditer(t):
             words.append((x.start(1), x.end()))
         words = sorted(w for w in words if _free(taken, *w))
@@ -271,7 +272,8 @@ class Detector:
                 spans.append([a, b])
         for a, b in spans:
             lead = _AROUND.search(t, max(0, a - 20), a)
-            take("name", lead.start() if lead and lead.start() < a else a, b)
+            # a title or initial that ends another finding stays there
+            take("name", lead.start() if lead and lead.start() < a and _free(taken, lead.start(), b) else a, b)
 
     def redact(self, text: str | None) -> str | None:
         """The text with each finding replaced by a placeholder of its kind, such as ``[PHONE]``."""

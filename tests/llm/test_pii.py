@@ -31,6 +31,9 @@ D = Detector(["tirza", "escarow", "pelline", "o'dannick", "carlo-benn", "lothan"
         ("Escarow, Tirza and lothan marrish?", "[NAME] and [NAME]?"),
         ("as Frau Unbekannt said, @New Person too", "as [NAME] said, [NAME] too"),
         ("add Pelline, lothan.marrish@x.example, to it", "add [NAME], [EMAIL], to it"),
+        ("NINO QQ 14 51 81 Z in a", "NINO [ID_NUMBER] in a"),
+        ("29 Pewter Hill Drive, Port Hesper Solo, Valcombe", "[ADDRESS] Solo, Valcombe"),
+        ("52 bis impasse des Tilleuls Bas, 00709 Valcombe Frau Escarow left, Mr Marrish Bitte", "[ADDRESS] [NAME] left, [NAME] Bitte"),
         ("", None),
         ("привет мир", None),
     ],
