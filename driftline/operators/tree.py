@@ -1,4 +1,4 @@
-"""Trees and graphs held as parent pointers and edges: climbs, walks, closures.  Depths are bounded."""
+"""Trees and graphs held as parent pointers and edges: climbs, walks, closures.  Climbs and walks are bounded in depth, closures are not."""
 
 from __future__ import annotations
 
@@ -45,18 +45,19 @@ def tree_paths(nodes: DataFrame, key: list[str], order: Column, depth: int = 8)
     return out
 
 
-def reachable(edges: DataFrame, start: DataFrame, depth: int = 10) -> DataFrame:
+def reachable(edges: DataFrame, start: DataFrame) -> DataFrame:
     """id, level: what can be reached from ``start`` (id) over edges (src, dst), at the least number of steps.
 
-    Each round expands only what is new, until nothing is or the depth is reached.
+    Each round expands only what is new, until nothing is; cycles end as what was seen is never expanded again.
     """
     e = cut(edges.filter("src IS NOT NULL AND dst IS NOT NULL").select("src", "dst").distinct(), "edges")
     seen = cut(start.select("id").distinct().withColumn("level", F.lit(0)), "seen")
-    frontier = seen
-    for k in range(1, depth + 1):
+    frontier, k = seen, 0
+    while not frontier.isEmpty():
+        k += 1
         step = e.join(frontier.select(F.col("id").alias("src")), "src").select(F.col("dst").alias("id")).distinct()
         frontier = cut(step.join(seen.select("id"), "id", "left_anti").withColumn("level", F.lit(k)), "frontier")
-        if frontier.isEmpty():
-            break
         seen = seen.unionByName(frontier)
+        if k % 16 == 0:  # a long chain must not make a long plan
+            seen = cut(seen, "seen")
     return seen

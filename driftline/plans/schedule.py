@@ -133,7 +133,7 @@ def reference_closure(spark, d):
     edges = p.select(norm_id("parent_id").alias("src"), F.col("page_id").alias("dst"))
     b = table(spark, d, "blocks").filter("block_type = 'link_to_page'").select(norm_id("page_id").alias("src"), norm_id(F.get_json_object("payload", "$.page_id")).alias("dst"))
     start = p.filter("parent_type = 'workspace'").select(F.col("page_id").alias("id"))
-    return T.reachable(edges.unionByName(b), start, 6)
+    return T.reachable(edges.unionByName(b), start)
 
 
 def tree_overview(spark, d):

@@ -85,6 +85,12 @@ def test_climb_walk_and_reach_survive_cycles(spark):
     assert {r.id: r.level for r in T.reachable(edges, spark.createDataFrame([("a",)], "id string")).collect()} == {"a": 0, "b": 1, "c": 2}
 
 
+def test_reach_has_no_last_level(spark):
+    chain = spark.createDataFrame([(f"n{i}", f"n{i + 1}") for i in range(20)] + [("n20", "n3")], "src string, dst string")
+    got = {r.id: r.level for r in T.reachable(chain, spark.createDataFrame([("n0",)], "id string")).collect()}
+    assert got == {f"n{i}": i for i in range(21)}
+
+
 def test_inline_markdown_round_trip():
     for seed in range(400):
         r = random.Random(seed)
