@@ -34,8 +34,8 @@ def cell_flatten(spark, d):
 
 
 def table_render(spark, d):
-    """Pages per parent type and month as a pipe table."""
-    p = table(spark, d, "pages_metadata")
+    """Records per parent type as a pipe table, archived and live; a null ``archived`` is read as false."""
+    p = table(spark, d, "pages_metadata").withColumn("archived", F.coalesce("archived", F.lit(False)))
     n = p.groupBy("parent_type").pivot("archived", ["true", "false"]).count().na.fill(0)
     row = F.concat(F.lit("| "), F.coalesce("parent_type", F.lit("")), F.lit(" | "), F.col("true").cast("string"), F.lit(" | "), F.col("false").cast("string"), F.lit(" |"))
     lines = n.agg(F.array_join(F.sort_array(F.collect_list(row)), "\n").alias("body"))  # one row per parent type
