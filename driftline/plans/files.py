@@ -81,11 +81,21 @@ def url_clean(spark, d):
 
 
 def link_rewrite(spark, d):
-    """Link blocks with the path of their target where the mirror has it, else with the bare id."""
+    """Link blocks with the path of their target where the mirror has it, else with the bare id.
+
+    The target is a page, database or comment; a database's folder lies below ``_databases``, a deleted database is not
+    in the mirror.  Whichever field holds the id, a database is looked for first.  Blocks that name no id have no row.
+    """
     pages = C.in_force(table(spark, d, "pages_metadata"), None, ["title"]).select(F.col("page_id").alias("target"), X.file_name("title").alias("name"))
-    b = table(spark, d, "blocks").filter("block_type = 'link_to_page'").select("block_no", norm_id(F.get_json_object("payload", "$.page_id")).alias("target")).filter("target IS NOT NULL")
-    path = F.when(F.col("name").isNotNull(), F.concat(F.lit("workspace/"), "name", F.lit(" "), "target", F.lit(".md"))).otherwise(F.col("target"))
-    return b.join(pages, "target", "left").select("block_no", path.alias("link"))
+    dbs = table(spark, d, "databases").filter("deleted_at IS NULL").groupBy(norm_id("db_id").alias("target")).agg(F.min(X.file_name("title")).alias("db_name"))
+    ids = [F.nullif(norm_id(F.get_json_object("payload", f"$.{k}")), F.lit("")) for k in ("page_id", "database_id", "comment_id")]
+    b = table(spark, d, "blocks").filter("block_type = 'link_to_page'").select("block_no", F.coalesce(*ids).alias("target")).filter("target IS NOT NULL")
+    path = (
+        F.when(F.col("db_name").isNotNull(), F.concat(F.lit("workspace/_databases/"), "db_name", F.lit(" "), "target"))
+        .when(F.col("name").isNotNull(), F.concat(F.lit("workspace/"), "name", F.lit(" "), "target", F.lit(".md")))
+        .otherwise(F.col("target"))
+    )
+    return b.join(dbs, "target", "left").join(pages, "target", "left").select("block_no", path.alias("link"))
 
 
 def page_document(spark, d):

@@ -1,5 +1,7 @@
 """Registered queries over small tables made here."""
 
+import datetime as dt
+
 from driftline.plans import files
 
 
@@ -12,3 +14,17 @@ def tables(spark, folder, **made):
 def test_table_render_reads_a_null_as_live(spark, tmp_path):
     d = tables(spark, tmp_path, pages_metadata=([("page_id", True), ("page_id", None), ("page_id", False), ("workspace", None)], "parent_type string, archived boolean"))
     assert files.table_render(spark, d).first().markdown.split("\n")[2:] == ["| page_id | 1 | 2 |", "| workspace | 0 | 1 |"]
+
+
+def test_link_rewrite_takes_every_kind_of_target(spark, tmp_path):
+    t = dt.datetime(2025, 1, 1)
+    payloads = ['{"page_id": "p1"}', '{"database_id": "D-1"}', '{"page_id": "d1"}', '{"database_id": "p1"}', '{"comment_id": "c-1"}', '{"database_id": "d2"}', '{"page_id": null}', '{"page_id": "", "database_id": "d9"}']
+    d = tables(
+        spark, tmp_path,
+        pages_metadata=([("P-1", "Plan", "2025-01-01T00:00:00Z", t, 1)], "id string, title string, last_edited_time string, swept_at timestamp, delivery_no bigint"),
+        databases=([("d1", "Tasks", None), ("d2", "Old", t)], "db_id string, title string, deleted_at timestamp"),
+        blocks=([(i, "link_to_page", p) for i, p in enumerate(payloads)], "block_no bigint, block_type string, payload string"),
+    )
+    got = {r.block_no: r.link for r in files.link_rewrite(spark, d).collect()}
+    tasks, plan = "workspace/_databases/Tasks d1", "workspace/Plan p1.md"
+    assert got == {0: plan, 1: tasks, 2: tasks, 3: plan, 4: "c1", 5: "d2", 7: "d9"}
