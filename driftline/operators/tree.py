@@ -1,4 +1,4 @@
-"""Trees and graphs held as parent pointers and edges: climbs, walks, closures.  Climbs and walks are bounded in depth, closures are not."""
+"""Trees and graphs held as parent pointers and edges: climbs, walks, closures.  Climbs are bounded in depth, walks and closures are not."""
 
 from __future__ import annotations
 
@@ -28,20 +28,22 @@ def climb(nodes: DataFrame, goal: DataFrame, depth: int = 5) -> DataFrame:
     return done.unionByName(none)
 
 
-def tree_paths(nodes: DataFrame, key: list[str], order: Column, depth: int = 8) -> DataFrame:
+def tree_paths(nodes: DataFrame, key: list[str], order: Column) -> DataFrame:
     """Nodes (key, id, parent) reachable from a root (null parent) with ``level`` and a ``path`` that sorts depth-first.
 
-    ``order`` is the sort text of a node among its siblings.  One join a level; deeper than ``depth`` is cut.
+    ``order`` is the sort text of a node among its siblings.  One join a level, until a level is empty.  A node of a key is
+    in one row: it has one parent, so no walk from a root meets a cycle.
     """
-    n = nodes.select(*key, "id", "parent", order.alias("_o"))
+    n = cut(nodes.select(*key, "id", "parent", order.alias("_o")), "nodes")
     level = n.filter("parent IS NULL").select(*key, "id", F.lit(0).alias("level"), F.col("_o").alias("path"))
-    out = level
-    for k in range(1, depth + 1):
+    out, k = level, 0
+    while not level.isEmpty():
+        k += 1
         up = level.select(*key, F.col("id").alias("parent"), F.col("path").alias("_p"))
         level = cut(n.join(up, [*key, "parent"]).select(*key, "id", F.lit(k).alias("level"), F.concat("_p", F.lit("/"), "_o").alias("path")), "level")
-        if level.isEmpty():
-            break
         out = out.unionByName(level)
+        if k % 16 == 0:  # a deep tree must not make a long plan
+            out = cut(out, "levels")
     return out
 
 

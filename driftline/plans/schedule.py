@@ -115,7 +115,7 @@ def _blocks(spark, d):
 
 
 def tree_order(spark, d):
-    return T.tree_paths(_blocks(spark, d), ["page_id"], F.concat_ws(".", F.lpad(F.coalesce(F.col("pos"), F.lit(0)).cast("string"), 6, "0"), F.col("id")), 6).select("page_id", "id", "level", "path")
+    return T.tree_paths(_blocks(spark, d), ["page_id"], F.concat_ws(".", F.lpad(F.coalesce(F.col("pos"), F.lit(0)).cast("string"), 6, "0"), F.col("id"))).select("page_id", "id", "level", "path")
 
 
 def ownership(spark, d):

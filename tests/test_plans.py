@@ -2,7 +2,7 @@
 
 import datetime as dt
 
-from driftline.plans import files
+from driftline.plans import files, schedule
 
 
 def tables(spark, folder, **made):
@@ -28,3 +28,11 @@ def test_link_rewrite_takes_every_kind_of_target(spark, tmp_path):
     got = {r.block_no: r.link for r in files.link_rewrite(spark, d).collect()}
     tasks, plan = "workspace/_databases/Tasks d1", "workspace/Plan p1.md"
     assert got == {0: plan, 1: tasks, 2: tasks, 3: plan, 4: "c1", 5: "d2", 7: "d9"}
+
+
+def test_blocks_nested_twenty_levels_deep_are_owned(spark, tmp_path):
+    rows = [("p", f"b{i}", f"b{i - 1}" if i else None, 0, i) for i in range(20)] + [("p", "x", "y", 0, 20), ("p", "y", "x", 0, 21), ("p", "z", "gone", 0, 22)]
+    d = tables(spark, tmp_path, blocks=(rows, "page_id string, block_id string, parent_id string, pos int, block_no bigint"))
+    assert {r.id: r.level for r in schedule.tree_order(spark, d).collect()} == {f"b{i}": i for i in range(20)}
+    assert {r.owned: r.blocks for r in schedule.ownership(spark, d).collect()} == {True: 20, False: 3}
+    assert [tuple(r) for r in schedule.nesting_depth(spark, d).collect()] == [("p", 19, 20)]
