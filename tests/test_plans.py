@@ -2,6 +2,7 @@
 
 import datetime as dt
 
+from driftline.operators import markdown as MD
 from driftline.plans import files, schedule
 
 
@@ -36,3 +37,9 @@ def test_blocks_nested_twenty_levels_deep_are_owned(spark, tmp_path):
     assert {r.id: r.level for r in schedule.tree_order(spark, d).collect()} == {f"b{i}": i for i in range(20)}
     assert {r.owned: r.blocks for r in schedule.ownership(spark, d).collect()} == {True: 20, False: 3}
     assert [tuple(r) for r in schedule.nesting_depth(spark, d).collect()] == [("p", 19, 20)]
+
+
+def test_a_marked_run_with_a_blank_at_its_edge_keeps_its_marks():
+    runs = [{"plain_text": "hello ", "annotations": {"bold": True}}, {"plain_text": "world", "href": "https://x.org"}]
+    assert MD.inline(runs) == "**hello** [world](https://x.org)"
+    assert MD.visible(MD.parse_inline(MD.inline(runs))) == MD.visible(runs) != MD.visible([{"plain_text": "hello world"}])
