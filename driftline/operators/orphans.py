@@ -1,25 +1,28 @@
 """References to records that do not exist.
 
-Everything is a stream of signed deltas per key: a reference counts +1 (or -1 when withdrawn), a
-record that comes into being counts +1 for its kind, one that goes -1.  Keys with a positive
-reference count and an existence count of zero are the current orphans (``fold_deltas`` keeps the
-counts, ``orphan_keys`` reports); the running sums of the same deltas say for every single reference
-whether its key existed at that instant (``orphan_references``).
+Everything is a stream of signed deltas per key: a reference counts +1, and -1 when a later listing of
+its block withdraws it; a record that comes into being counts +1 for its kind, one that goes -1.
+``OrphanCounts`` keeps the counts per key between runs and takes what changed; keys with a positive
+reference count and an existence count of zero are the current orphans (``orphan_keys``).  The counts of a
+key as they stood at each reference's own instant say whether it was an orphan then
+(``orphan_references``): the counts a bucket of time inherits are folded first, those within it run on.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+import json
+import uuid
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from driftline.core.scan import carried_rows, hot_buckets
-from driftline.core.store import cut
+from driftline.core.scan import bucket_folds, time_buckets
+from driftline.core.store import ControlFiles, cut
 from driftline.functions.keys import micros, norm_id
-from driftline.operators.versions import presence_flips
+from driftline.operators.versions import precedence, presence_flips
 
 DELTA_COLUMNS = ["key", "at_us", "ref_delta", "db_delta", "page_delta", "ref_no", "target_table", "needs_database"]
-COUNTS = ["ref_delta", "db_delta", "page_delta"]
-HOUR_US = 3_600_000_000
+EXISTENCE = ["db_delta", "page_delta"]
 
 
 def _delta(df: DataFrame, **columns: Column) -> DataFrame:
@@ -49,10 +52,13 @@ def database_deltas(databases: DataFrame) -> DataFrame:
     return _delta(spans, key=F.col("key"), at_us=F.col("e.at_us"), db_delta=F.col("e.delta"))
 
 
+def _present() -> Column:
+    return ~(F.coalesce(F.col("archived"), F.lit(False)) | F.coalesce(F.col("in_trash"), F.lit(False)))
+
+
 def page_deltas(pages: DataFrame) -> DataFrame:
     """+1 / -1 whenever the record in force of a page becomes present or stops being so."""
-    present = ~(F.coalesce(F.col("archived"), F.lit(False)) | F.coalesce(F.col("in_trash"), F.lit(False)))
-    flips = presence_flips(pages.select("id", "swept_at", "last_edited_time", "delivery_no", "archived", "in_trash"), present)
+    flips = presence_flips(pages.select("id", "swept_at", "last_edited_time", "delivery_no", "archived", "in_trash"), _present())
     return _delta(flips, key=F.col("key"), at_us=F.col("at_us"), page_delta=F.col("delta"))
 
 
@@ -102,43 +108,34 @@ def orphan_references(deltas: DataFrame) -> DataFrame:
 
     Existence deltas of an instant count before its references.  A reference without a time precedes
     everything, so it is an orphan without a period.  A key with a third of all references is cut
-    into hours, and a hot hour into parts; the running sums are carried over the hours.
+    into buckets of time (see core.scan); the references of a hot instant all meet the same counts, which are joined to them.
     """
-    start = F.lit(-(2**40))  # the bucket of references without a time
-    rows = deltas.withColumn("bucket", F.coalesce(F.floor(F.col("at_us") / F.lit(HOUR_US)), start))
-    sums = {c: F.sum(c) for c in COUNTS}
-    carry = carried_rows(rows, ["key"], "bucket", sums, {c: F.sum for c in COUNTS}).filter("db_delta <> 0 OR page_delta <> 0")
-    carry = carry.select(
-        "key",
-        "bucket",
-        F.lit(None).cast("bigint").alias("at_us"),
-        *[F.col(c).cast("bigint") for c in COUNTS],
-        F.lit(None).cast("bigint").alias("ref_no"),
-        F.lit(None).cast("string").alias("target_table"),
-        F.lit(None).cast("boolean").alias("needs_database"),
-        F.lit(0).alias("rank"),
-    )
-    own = rows.select("key", "bucket", "at_us", *[F.col(c).cast("bigint") for c in COUNTS], "ref_no", "target_table", "needs_database", F.when(F.col("ref_no").isNull(), 1).otherwise(2).alias("rank"))
-    # an hour with very many references of one key is dealt to parts, each with all existence deltas of the hour
-    hot = F.broadcast(hot_buckets(rows.filter("ref_no IS NOT NULL").select("key", "bucket"), ["key"], "bucket"))
-    parts = F.coalesce("parts", F.lit(1))
-    mine = F.array(F.pmod(F.xxhash64("ref_no"), parts).cast("int"))
-    dealt = own.unionByName(carry).join(hot, ["key", "bucket"], "left")
-    dealt = dealt.withColumn("part", F.explode(F.when(F.col("ref_no").isNotNull(), mine).otherwise(F.sequence(F.lit(0), parts - 1))))
-    running = (
-        Window.partitionBy("key", "bucket", "part")
-        .orderBy(F.col("at_us").asc_nulls_first(), "rank")
-        .rowsBetween(Window.unboundedPreceding, 0)
-    )
-    state = dealt.select(
+    wanted = F.col("ref_no").isNotNull() & (F.col("ref_delta") > 0)
+    missing = (F.col("databases") <= 0) & (F.col("needs_database") | (F.col("pages") <= 0))
+    untimed = deltas.filter(wanted & F.col("at_us").isNull()).select("ref_no", "target_table", F.lit(None).cast("string").alias("period"))
+    rows = deltas.filter("at_us IS NOT NULL").select("key", "at_us", *[F.col(c).cast("bigint") for c in EXISTENCE], "ref_no", "ref_delta", "target_table", "needs_database")
+    rows, hot, refined = time_buckets(rows, "key", "at_us")
+    counts = bucket_folds(rows, "key", {c: F.sum(c) for c in EXISTENCE}, {c: F.sum for c in EXISTENCE}, refined)
+    own = rows.select("key", "bucket", "at_us", *EXISTENCE, "ref_no", "ref_delta", "target_table", "needs_database", F.when(F.col("ref_no").isNull(), 1).otherwise(2).alias("rank"))
+    carry = counts.filter("before_db_delta <> 0 OR before_page_delta <> 0")
+    carry = carry.select("key", "bucket", F.lit(None).cast("bigint").alias("at_us"), *[F.col(f"before_{c}").alias(c) for c in EXISTENCE], F.lit(0).alias("rank"))
+    at_once = None
+    if hot is not None:
+        own = own.join(hot, ["key", "bucket"], "left")
+        total = lambda c: F.coalesce(F.col(f"before_{c}"), F.lit(0)) + F.col(c)
+        here = counts.join(hot, ["key", "bucket"], "left_semi").select("key", "bucket", total("db_delta").alias("databases"), total("page_delta").alias("pages"))
+        at_once = own.filter(F.col("_hot") & wanted).join(here, ["key", "bucket"]).select("ref_no", "target_table", "needs_database", "at_us", "databases", "pages")
+        own = own.filter("_hot IS NULL").drop("_hot")
+        carry = carry.join(hot, ["key", "bucket"], "left_anti")
+    running = Window.partitionBy("key", "bucket").orderBy(F.col("at_us").asc_nulls_first(), "rank").rowsBetween(Window.unboundedPreceding, 0)
+    state = own.unionByName(carry, allowMissingColumns=True).select(
         "ref_no", "target_table", "needs_database", "at_us", "ref_delta",
         F.sum("db_delta").over(running).alias("databases"),
         F.sum("page_delta").over(running).alias("pages"),
-    )
-    missing = (F.col("databases") <= 0) & (F.col("needs_database") | (F.col("pages") <= 0))
-    return state.filter((F.col("ref_no").isNotNull()) & (F.col("ref_delta") > 0) & missing).select(
-        "ref_no", "target_table", F.date_format(F.timestamp_micros("at_us"), "yyyy-MM").alias("period")
-    )
+    ).filter(wanted).drop("ref_delta")
+    if at_once is not None:
+        state = state.unionByName(at_once)
+    return state.filter(missing).select("ref_no", "target_table", F.date_format(F.timestamp_micros("at_us"), "yyyy-MM").alias("period")).unionByName(untimed)
 
 
 def fold_deltas(deltas: DataFrame, state: DataFrame | None = None) -> DataFrame:
@@ -168,6 +165,99 @@ def orphan_keys(state: DataFrame) -> DataFrame:
     return refs.join(exists, "key", "left").filter(gone).groupBy("key", "target_table").agg(F.sum("refs").alias("refs"))
 
 
+REFS_DDL = "page string, block string, listed_us bigint, block_no bigint, refs array<struct<key:string,target_table:string,needs_database:boolean>>"
+PAGES_DDL = "key string, edit_us bigint, arrival_us bigint, serial bigint, present int"
+COUNTS_DDL = "key string, target_table string, needs_database boolean, refs bigint, databases bigint, pages bigint"
+
+
+class OrphanCounts:
+    """Signed counts per key kept between runs at a path of the shared folder, with the listing in force of
+    every block and the record in force of every page, which say what a new one withdraws.
+
+    ``apply`` takes blocks, page records and database events that are new since the last run.  A version is
+    written beside the last one and becomes the state when its control file is created; a batch that
+    fails before leaves the state as it was, and a batch number that was taken before changes nothing.
+    """
+
+    def __init__(self, spark: SparkSession, root: str):
+        self.spark, self.root = spark, root.rstrip("/")
+        self.files = ControlFiles(spark, f"{self.root}/versions")
+
+    def _state(self) -> dict | None:
+        names = self.files.names()
+        return json.loads(self.files.read(names[-1])) if names else None
+
+    def _read(self, name: str, ddl: str) -> DataFrame:
+        state = self._state()
+        return self.spark.read.schema(ddl).parquet(f"{state['path']}/{name}") if state else self.spark.createDataFrame([], ddl)
+
+    def counts(self) -> DataFrame:
+        """key, target_table, needs_database, refs, databases, pages."""
+        return self._read("counts", COUNTS_DDL)
+
+    def apply(self, batch_no: int, blocks: DataFrame, pages: DataFrame, database_events: DataFrame) -> None:
+        """Fold one batch: listings of blocks, page records, and deltas as ``database_deltas`` gives them."""
+        state = self._state()
+        if state and state["batch"] >= batch_no:
+            return
+        path = f"{self.root}/state/batch={batch_no}-{uuid.uuid4().hex[:8]}"
+        # of a block's listings, in the batch or before it, the latest is in force
+        refs = reference_deltas(blocks).groupBy("ref_no").agg(F.collect_set(F.struct("key", "target_table", "needs_database")).alias("refs"))  # at most two a block
+        block = F.coalesce(norm_id("block_id"), F.concat(F.lit("#"), F.col("block_no").cast("string")))
+        kinds = blocks.filter("block_no IS NOT NULL AND block_type IN ('child_database', 'link_to_page')")
+        listed = kinds.select(F.coalesce(norm_id("page_id"), F.lit("")).alias("page"), block.alias("block"), F.coalesce(micros("listed_at"), F.lit(-(2**63))).alias("listed_us"), "block_no")
+        listed = listed.join(refs, listed["block_no"] == refs["ref_no"], "left").drop("ref_no").withColumn("refs", F.coalesce("refs", F.array().cast("array<struct<key:string,target_table:string,needs_database:boolean>>")))
+        self._fold(listed, "refs", REFS_DDL, ["page", "block"], ["listed_us", "block_no", "refs"], path)
+        known = pages.filter("swept_at IS NOT NULL AND id IS NOT NULL").select(norm_id("id").alias("key"), *precedence(), _present().cast("int").alias("present"))
+        self._fold(known, "pages", PAGES_DDL, ["key"], ["edit_us", "arrival_us", "serial", "present"], path)
+        new_refs = self.spark.read.parquet(f"{path}/refs-changes")
+        one = lambda rows, sign: rows.select(F.explode("refs").alias("r"), F.lit(sign).alias("refs")).select("r.*", "refs")
+        deltas = one(new_refs.select("refs"), 1).unionByName(one(new_refs.select(F.col("old.refs").alias("refs")), -1))
+        moved = self.spark.read.parquet(f"{path}/pages-changes").select("key", (F.col("present") - F.coalesce(F.col("old.present"), F.lit(0))).alias("pages")).filter("pages <> 0")
+        events = database_events.select("key", F.col("db_delta").alias("databases"))
+        every = deltas.unionByName(moved, allowMissingColumns=True).unionByName(events, allowMissingColumns=True).na.fill(0, ["refs", "pages", "databases"])
+        names = ("refs", "databases", "pages")
+        total = every.select("key", "target_table", "needs_database", *[F.col(c).cast("bigint") for c in names]).unionByName(self.counts())
+        total = total.groupBy("key", "target_table", "needs_database").agg(*[F.sum(c).alias(c) for c in names]).filter("refs <> 0 OR databases <> 0 OR pages <> 0")
+        total.write.mode("overwrite").parquet(f"{path}/counts")
+        if not self.files.create(f"b{batch_no:09d}.json", json.dumps({"batch": batch_no, "path": path})):
+            ControlFiles(self.spark, self.root).delete(path[len(self.root) + 1 :])  # another run took this batch; its version stands
+            return
+        store = ControlFiles(self.spark, self.root)
+        for name in ("refs-changes", "pages-changes"):
+            store.delete(f"{path[len(self.root) + 1:]}/{name}")
+        if state:
+            store.delete(state["path"][len(self.root) + 1 :])
+
+    def _fold(self, rows: DataFrame, name: str, ddl: str, key: list[str], record: list[str], path: str) -> None:
+        """Write the greatest record of each key over the state and ``rows``, and those that are new, with the ``old`` one they replace."""
+        best = rows.groupBy(*key).agg(F.max(F.struct(*record)).alias("new"))
+        old = self._read(name, ddl).select(*key, F.struct(*record).alias("old"))
+        both = best.join(old, key, "full_outer").withColumn("won", F.col("new").isNotNull() & (F.col("old").isNull() | (F.col("new") > F.col("old"))))
+        both = cut(both, f"{name}-fold")
+        both.select(*key, *[F.when(F.col("won"), F.col(f"new.{c}")).otherwise(F.col(f"old.{c}")).alias(c) for c in record]).write.mode("overwrite").parquet(f"{path}/{name}")
+        both.filter("won").select(*key, *[F.col(f"new.{c}").alias(c) for c in record], "old").write.mode("overwrite").parquet(f"{path}/{name}-changes")
+
+
+def current_orphans(blocks: DataFrame, pages: DataFrame, databases: DataFrame, root: str, stops: list[str]) -> DataFrame:
+    """key, target_table, refs: orphans when all is known, from counts kept at ``root`` over the batches that the instants ``stops`` part.
+
+    Rows without a time of their own belong to the first batch.
+    """
+    counts, bounds = OrphanCounts(blocks.sparkSession, root), [None, *stops, None]
+    events = database_deltas(databases)
+    for k in range(len(bounds) - 1):
+        low, high = (F.lit(x).cast("timestamp") if x else None for x in bounds[k : k + 2])
+
+        def part(df: DataFrame, at: Column, low=low, high=high) -> DataFrame:
+            if high is not None:
+                df = df.filter(F.coalesce(at < high, F.lit(True)) if low is None else at < high)
+            return df if low is None else df.filter(at >= low)
+
+        counts.apply(k, part(blocks, F.col("listed_at")), part(pages, F.col("swept_at")), part(events, F.timestamp_micros("at_us")))
+    return orphan_keys(counts.counts())
+
+
 def orphan_report(deltas: DataFrame) -> DataFrame:
     """Orphan references per referenced table and month of listing."""
     found = orphan_references(deltas)

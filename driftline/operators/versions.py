@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from driftline.core.scan import carried_rows, hot_buckets
+from driftline.core.scan import bucket_folds, time_buckets
 from driftline.functions.keys import instant, micros, norm_id
 
 #: An edit instant that is unknown counts as earlier than any other.
@@ -30,21 +30,20 @@ def presence_flips(records: DataFrame, present: Column) -> DataFrame:
 
     Input columns: id, swept_at, last_edited_time, delivery_no and what ``present`` reads.  Records
     without an arrival or an id never come into force.  Repeated records flip nothing.
-    Output: key, at_us, delta.  Pages are cut into hours of
-    arrival (see core.scan), and an hour in which one page has very many records into seconds.
+    Output: key, at_us, delta.  Pages are cut into buckets of arrival (see core.scan); of very many records
+    of a page at one instant only the greatest can be in force, so those are folded into one.
     """
     rows = records.filter("swept_at IS NOT NULL AND id IS NOT NULL").select(
-        norm_id("id").alias("key"),
-        F.floor(micros("swept_at") / F.lit(3_600_000_000)).alias("hour"),
-        F.struct(*precedence(), present.cast("int").alias("present")).alias("rec"),
+        norm_id("id").alias("key"), micros("swept_at").alias("at_us"), F.struct(*precedence(), present.cast("int").alias("present")).alias("rec")
     )
-    hot = hot_buckets(rows.select("key", "hour"), ["key"], "hour")
-    second = F.pmod(F.floor(F.col("rec.arrival_us") / F.lit(1_000_000)), F.lit(3600))
-    rows = rows.join(F.broadcast(hot), ["key", "hour"], "left").select(
-        "key", (F.col("hour") * 3600 + F.when(F.col("parts").isNotNull(), second).otherwise(0)).alias("bucket"), "rec"
-    )
-    carry = carried_rows(rows, ["key"], "bucket", {"rec": F.max("rec")}, {"rec": F.max})
-    both = rows.withColumn("own", F.lit(1)).unionByName(carry.withColumn("own", F.lit(0)))
+    rows, hot, refined = time_buckets(rows, "key", "at_us")
+    if hot is not None:
+        marked = rows.join(hot, ["key", "bucket"], "left")
+        one = marked.filter("_hot").groupBy("key", "bucket").agg(F.max("at_us").alias("at_us"), F.max("rec").alias("rec"))
+        rows = marked.filter("_hot IS NULL").drop("_hot").unionByName(one)
+    rows = rows.select("key", "bucket", "rec")
+    carry = bucket_folds(rows, "key", {"rec": F.max("rec")}, {"rec": F.max}, refined).filter("before_rec IS NOT NULL")
+    both = rows.withColumn("own", F.lit(1)).unionByName(carry.select("key", "bucket", F.col("before_rec").alias("rec"), F.lit(0).alias("own")))
     # the inherited record leads its bucket
     order = [F.col("own"), F.col("rec.arrival_us"), F.col("rec.serial")]
     within = Window.partitionBy("key", "bucket").orderBy(*order)

@@ -26,7 +26,9 @@ def p1_report(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p1_current(spark: SparkSession, d: str) -> DataFrame:
-    return orphans.orphan_keys(orphans.fold_deltas(_deltas(spark, d)))
+    """Today's orphans from counts that are kept over three runs; of a block listed again the latest listing counts."""
+    tables = [table(spark, d, t) for t in ("blocks", "pages_metadata", "databases")]
+    return orphans.current_orphans(*tables, work_dir(spark, "orphan-counts"), ["2025-12-01 00:00:00", "2026-06-01 00:00:00"])
 
 
 def tracked_fields() -> list:
@@ -94,7 +96,9 @@ _P1_CURRENT = f"""WITH {_REFS}, pages AS (
   SELECT key, arg_max(gone, row(coalesce(epoch_us(edit), -9000000000000000000), swept_at, delivery_no)) AS gone FROM recs GROUP BY key
 ), dbs AS (SELECT DISTINCT lower(replace(db_id, '-', '')) AS key FROM databases WHERE captured_at IS NOT NULL AND deleted_at IS NULL)
 SELECT r.key, r.target_table, count(*) AS refs FROM refs r LEFT JOIN pages p USING (key) LEFT JOIN dbs d USING (key)
-WHERE d.key IS NULL AND (r.needs_db OR p.key IS NULL OR p.gone) GROUP BY ALL"""
+WHERE d.key IS NULL AND (r.needs_db OR p.key IS NULL OR p.gone) AND r.block_no IN (
+  SELECT block_no FROM (SELECT block_no, block_id, row_number() OVER (PARTITION BY lower(replace(page_id, '-', '')), lower(replace(block_id, '-', '')) ORDER BY listed_at DESC NULLS LAST, block_no DESC) AS n
+    FROM blocks WHERE block_type IN ('child_database', 'link_to_page')) WHERE block_id IS NULL OR n = 1) GROUP BY ALL"""
 _P2 = f"""WITH {_REFS}, ok AS (
   SELECT run_no, started_at, lag(started_at) OVER (ORDER BY started_at) AS since FROM sweep_runs WHERE outcome = 'ok'
 ), best AS (

@@ -6,7 +6,7 @@ from driftline.operators import orphans
 
 PAGES = "delivery_no bigint, swept_at timestamp, id string, last_edited_time string, archived boolean, in_trash boolean, key string, bucket int"
 DBS = "db_id string, captured_at timestamp, deleted_at timestamp, rec int"
-BLOCKS = "block_no bigint, block_id string, block_type string, payload string, listed_at timestamp, parts int"
+BLOCKS = "block_no bigint, block_id string, block_type string, payload string, listed_at timestamp, bucket int"
 T0 = dt.datetime(2026, 1, 1)
 
 
@@ -97,3 +97,48 @@ def test_folding_in_parts_equals_folding_at_once(spark):
     early, late = d.filter("coalesce(at_us, 0) % 2 = 0"), d.filter("coalesce(at_us, 0) % 2 <> 0")
     parts = orphans.fold_deltas(late, orphans.fold_deltas(early))
     assert sorted(map(str, whole.collect())) == sorted(map(str, parts.collect()))
+
+
+def test_a_hot_instant_and_hot_seconds(spark, monkeypatch):
+    monkeypatch.setattr(scan, "HOT_ROWS", 4)
+    pages, dbs, blocks = random_case(11, 40)
+    hot = "%032x" % 2
+    one = lambda k, us: at(90) + dt.timedelta(microseconds=us * (k % 3))
+    for us in (0, 1, 250_000):
+        more = [(5000 + k, one(k, us), hot, iso(k % 4), k % 2 == 0, False, "x", 1) for k in range(30)]
+        refs = [(5000 + k, None, "link_to_page", '{"page_id": "%s"}' % hot, one(k, us), 1) for k in range(30)]
+        got, _ = run(spark, pages + more, dbs, blocks + refs)
+        assert got == brute(pages + more, dbs, blocks + refs)
+
+
+def current(pages, dbs, blocks):
+    """Orphans when everything is known: latest listings against what exists at the end."""
+    end = dt.datetime(2100, 1, 1)
+    last = {}
+    for b in blocks:
+        if b[2] in ("child_database", "link_to_page"):
+            k = ("#", b[0]) if b[1] is None else b[1].replace("-", "").lower()
+            rank = (b[4] is not None, b[4] or T0, b[0])
+            if k not in last or rank > last[k][0]:
+                last[k] = (rank, b)
+    out = {}
+    import json
+
+    for no, target, _ in brute(pages, dbs, [(*b[:4], end, 1) for _, b in last.values()]):
+        b = next(x for x in blocks if x[0] == no)
+        ref = b[1] if b[2] == "child_database" else json.loads(b[3])["page_id" if target == "pages_metadata" else "database_id"]
+        k = (ref.replace("-", "").lower(), target)
+        out[k] = out.get(k, 0) + 1
+    return out
+
+
+def test_kept_counts_withdraw_what_is_listed_again(spark, tmp_path):
+    pages, dbs, blocks = random_case(6, 200)
+    b = spark.createDataFrame([(*x, "p") for x in blocks], BLOCKS + ", page_id string")
+    p, d = spark.createDataFrame(pages, PAGES), spark.createDataFrame(dbs, DBS)
+    for stops in ([], ["2026-01-02 00:00:00"], ["2026-01-01 12:00:00", "2026-01-02 06:00:00"]):
+        root = f"file://{tmp_path}/{len(stops)}"
+        got = {(r.key, r.target_table): r.refs for r in orphans.current_orphans(b, p, d, root, stops).collect()}
+        assert got == current(pages, dbs, blocks)
+        again = {(r.key, r.target_table): r.refs for r in orphans.current_orphans(b, p, d, root, stops).collect()}
+        assert again == got  # batches that were taken change nothing
