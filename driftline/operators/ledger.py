@@ -1,10 +1,11 @@
 """Processing only new or changed records: a ledger of work items with leases and fencing tokens.
 
 A work item is a span of arrival times.  It is ``pending``, ``leased`` or ``done``.  A worker leases
-all pending items, does them in one Spark job, writes the result to a path that depends on the items
-alone, and marks them done with the token it was given.  A lease that runs out returns its items to
-``pending``; a worker whose token is no longer the current one of an item is refused.  A retry writes
-to the same path again, so whatever a failed attempt left behind is replaced, never added to.
+all pending items, does them in one Spark job, writes the result to ``out/token=T/run_no=N``, and marks the
+items done with its token T: only then is the folder published, for readers take the folders of tokens
+that have done items.  A lease that runs out returns its items to ``pending``; a worker whose token is no
+longer the current one of an item is refused, and what it wrote stays unpublished.  The path is fixed by
+item and token, so a write that is repeated under a token replaces its own rows and no one else's.
 
 The ledger itself is control data, bounded by the number of runs: one JSON document per version,
 version N+1 is created only if no one else created it, so every transition is a compare-and-swap.
@@ -31,6 +32,10 @@ class StaleToken(Exception):
     """The writer's lease is not the current one of the item."""
 
 
+class Busy(Exception):
+    """Items are leased by another worker, so the result is not whole yet."""
+
+
 @dataclass
 class Item:
     item: int
@@ -50,11 +55,17 @@ class Ledger:
     def _load(self) -> tuple[int, int, dict[int, Item]]:
         if self.files is None:
             return 0, *self._memory
-        names = [n for n in self.files.names() if n.startswith("v")]
-        if not names:
-            return 0, 0, {}
-        doc = json.loads(self.files.read(names[-1]))
-        return int(names[-1][1:-5]), doc["token"], {int(k): Item(**v) for k, v in doc["items"].items()}
+        while True:
+            names = [n for n in self.files.names() if n.startswith("v")]
+            if not names:
+                return 0, 0, {}
+            try:
+                doc = json.loads(self.files.read(names[-1]))
+            except Exception:
+                if self.files.exists(names[-1]):
+                    raise
+                continue  # a later version was written and this one removed since the listing
+            return int(names[-1][1:-5]), doc["token"], {int(k): Item(**v) for k, v in doc["items"].items()}
 
     def _change(self, step: Callable[[int, dict[int, Item]], tuple[int, object]]) -> object:
         while True:
@@ -211,13 +222,14 @@ def changed_pages(records: DataFrame, spans: list[tuple[int, int]], tracked: lis
     )
 
 
-def process_increments(records: DataFrame, sweep_runs: DataFrame, root: str, tracked: list, ttl_s: int = 6 * 3600) -> DataFrame:
-    """Everything each successful run had to process, published through the ledgers at ``root``.
+def process_increments(records: DataFrame, sweep_runs: DataFrame, root: str, tracked: list, ttl_s: int = 6 * 3600, worker: int = 0) -> DataFrame:
+    """Everything each successful run had to process, published through the ledger at ``root``.
 
     Runs are control data (one row per nightly attempt).  The history of attempts decides which run
-    owns which span; then this call leases the runs that are not published yet, writes each to
-    ``root/out/run_no=N`` and marks them done with its token.  After a crash a later call with the same
-    root takes over what was not done, and writing a run again replaces just its folder.
+    owns which span; then this call leases the runs that are not published yet, writes them below
+    ``root/out/token=T`` and marks them done with that token.  After a crash a later call with the same root
+    takes over what was not done.  Raises Busy if another worker holds runs that are still to be done, and
+    StaleToken if this worker's own lease ran out while it wrote.
     """
     spark = records.sparkSession
     runs = [
@@ -229,16 +241,41 @@ def process_increments(records: DataFrame, sweep_runs: DataFrame, root: str, tra
     runs.sort(key=lambda r: (r[1], r[0]))
     owner = replay_runs(Ledger(), runs)
     spans = run_spans(owner, [r[1] for r in runs])
-    ledger, out = Ledger(spark, f"{root}/ledger"), f"{root}/out"
-    ledger.enqueue([run for _, run in spans])
-    now = int(time.time())
-    token, leased = ledger.lease(0, now, ttl_s)
+    ledger, out = Ledger(spark, f"{root}/ledger"), ControlFiles(spark, f"{root}/out")
+    wanted = {run for _, run in spans}
+    ledger.enqueue(sorted(wanted))
+    token, leased = ledger.lease(worker, int(time.time()), ttl_s, only=wanted)
     if leased:
-        found = changed_pages(records, spans, tracked)
-        if len(leased) < len(spans):
-            found = found.filter(F.col("run_no").isin(leased))
-        found.hint("rebalance", "run_no").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("run_no").parquet(out)
+        try:
+            found = changed_pages(records, spans, tracked)
+            if len(leased) < len(spans):
+                found = found.filter(F.col("run_no").isin(leased))
+            found.hint("rebalance", "run_no").write.mode("overwrite").partitionBy("run_no").parquet(f"{out.root}/token={token}")
+        except Exception:
+            ledger.release(token)
+            raise
         ledger.complete(token, leased)
-    if not ControlFiles(spark, out).names():
+    return published(spark, ledger, out, wanted)
+
+
+def published(spark: SparkSession, ledger: Ledger, out: ControlFiles, wanted: set[int]) -> DataFrame:
+    """run_no, page_id of all ``wanted`` runs, from the folders of their tokens; leftovers of refused and crashed writers are removed."""
+    items = ledger.items()
+    open_ = sorted(r for r in wanted if items[r].state != DONE)
+    if open_:
+        raise Busy(f"{len(open_)} runs are not done, the first is {open_[0]} under token {items[open_[0]].token}")
+    tokens = {items[r].token for r in wanted}
+    alive = {x.token for x in items.values() if x.state in (LEASED, DONE)}
+    folders = {n: int(n[6:]) for n in out.names() if n.startswith("token=")}
+    for name, token in folders.items():
+        if token not in alive:
+            out.delete(name)
+    paths = [f"{out.root}/{n}" for n, t in folders.items() if t in tokens]
+    if not paths:
         return spark.createDataFrame([], "run_no int, page_id string")
-    return spark.read.schema("page_id string, run_no int").parquet(out).select("run_no", "page_id")
+    # each folder alone: partition columns are found from where reading begins
+    parts = [spark.read.schema("page_id string, run_no int").parquet(p).select("run_no", "page_id") for p in paths]
+    rows = parts[0]
+    for part in parts[1:]:
+        rows = rows.unionByName(part)
+    return rows.filter(F.col("run_no").isin(sorted(wanted))) if len(items) > len(wanted) else rows

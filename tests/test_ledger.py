@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from driftline.core.store import work_dir
-from driftline.operators.ledger import DONE, LEASED, PENDING, Ledger, StaleToken, process_increments, replay_runs, run_spans, span_of
+from driftline.operators.ledger import DONE, LEASED, PENDING, Busy, Ledger, StaleToken, process_increments, replay_runs, run_spans, span_of
 from driftline.plans.problems import tracked_fields
 
 T0 = dt.datetime(2026, 1, 1)
@@ -106,6 +106,57 @@ def test_a_crash_before_completion_is_repeated_without_doubling(spark):
     assert len(rows) == len(set(rows)) and set(rows) == brute(pages, runs)
 
 
+def test_an_expired_writer_changes_nothing(spark, monkeypatch):
+    from driftline.operators import ledger as L
+
+    pages, runs = case(6)
+    p, s, root = spark.createDataFrame(pages, PAGES), spark.createDataFrame(runs, RUNS), work_dir(spark, "stale")
+    whole, slow = brute(pages, runs), L.changed_pages
+
+    def overtaken(records, spans, tracked):
+        # while this writer works its lease runs out, and another does everything
+        monkeypatch.setattr(L, "changed_pages", slow)
+        rows = [tuple(r) for r in process_increments(p, s, root, tracked, worker=2).collect()]
+        assert set(rows) == whole
+        return slow(records.limit(0), spans, tracked)
+
+    monkeypatch.setattr(L, "changed_pages", overtaken)
+    with pytest.raises(StaleToken):
+        process_increments(p, s, root, tracked_fields(), ttl_s=0, worker=1)
+    rows = [tuple(r) for r in process_increments(p, s, root, tracked_fields()).collect()]
+    assert len(rows) == len(whole) and set(rows) == whole
+
+
+def test_a_busy_lease_raises_and_a_failed_writer_gives_its_lease_up(spark, monkeypatch):
+    from driftline.operators import ledger as L
+
+    pages, runs = case(7)
+    p, s, root = spark.createDataFrame(pages, PAGES), spark.createDataFrame(runs, RUNS), work_dir(spark, "busy")
+    led = Ledger(spark, f"{root}/ledger")
+    led.enqueue([r[0] for r in runs])
+    token, _ = led.lease(9, 2**40, 10)
+    with pytest.raises(Busy):
+        process_increments(p, s, root, tracked_fields())
+    led.release(token)
+    good = L.changed_pages
+    monkeypatch.setattr(L, "changed_pages", lambda *a: 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        process_increments(p, s, root, tracked_fields())
+    monkeypatch.setattr(L, "changed_pages", good)
+    # what a crashed writer left under its token is never read, and goes
+    spark.createDataFrame([("left", 1)], "page_id string, run_no int").write.partitionBy("run_no").parquet(f"{root}/out/token=1")
+    assert {tuple(r) for r in process_increments(p, s, root, tracked_fields()).collect()} == brute(pages, runs)
+    assert "token=1" not in L.ControlFiles(spark, f"{root}/out").names()
+
+
+def test_control_files_of_other_stores(spark):
+    files = Ledger(spark, work_dir(spark, "other")).files
+    files._local = False
+    assert files.create("x", "a") and not files.create("x", "b") and files.read("x") == "a"
+    files._renames = True
+    assert files.create("y", "é") and files.read("y") == "é" and files.names() == ["x", "y"]
+
+
 def test_no_rows_and_no_successful_run(spark):
     p, s = spark.createDataFrame([], PAGES), spark.createDataFrame([(1, T0, None, "killed"), (None, T0, None, "ok")], RUNS)
     assert process_increments(p, s, work_dir(spark, "none"), tracked_fields()).count() == 0
