@@ -4,26 +4,37 @@ The index is a list of immutable runs.  A run holds, per hash prefix, one sorted
 (16-byte identifier digest, 8-byte number of the copy that was kept).  Of every incoming batch the
 identifiers are first made unique (map-side combination: a message with a third of all deliveries
 becomes one row), then each prefix's arrays are binary-searched, and identifiers found nowhere become
-a new run.  When there are ``merge_at`` runs they are merged into one.  A manifest names the current runs; a
-batch that fails before its manifest is written leaves no trace, a batch that is repeated finds the
-manifest of its number and takes its stored result.
+a new run.  When there are ``merge_at`` runs they are merged into one.  Prefixes get longer as the index
+grows, so an array stays at about PREFIX_ENTRIES entries; a merge splits the arrays.
+
+A manifest names the current runs.  Every batch writes under a name of its own and counts once its
+manifest is created: one that fails before leaves no trace, one that loses a race takes the winner's
+result, one that is repeated takes its stored result.  Runs that a merge replaced are removed.
 """
 
 from __future__ import annotations
 
 import json
+import math
+import uuid
+from collections.abc import Callable
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from driftline.core import scan
 from driftline.core.store import ControlFiles, cut
 from driftline.functions.keys import instant, norm_id
 
 #: entry of an index array: digest as two big-endian halves (their order is the order of the bytes), kept copy
 ENTRY = np.dtype([("hi", ">u8"), ("lo", ">u8"), ("no", ">i8")])
-RUN_SCHEMA = "prefix int, entries binary"
+RUN_SCHEMA = "prefix bigint, entries binary"
+#: An array is about this long (24 bytes an entry); a prefix has at least MIN_BITS and at most 32 bits.
+PREFIX_ENTRIES, MIN_BITS = 1 << 18, 4
+#: Deliveries a round takes at most, unless that gives fewer than MIN_ROUNDS.
+ROUND_ROWS, MIN_ROUNDS = 1_000_000_000, 4
 
 
 def message_digest(entity: str = "entity_id", captured: str = "captured_at", comments: str = "comments") -> Column:
@@ -39,13 +50,26 @@ def message_digest(entity: str = "entity_id", captured: str = "captured_at", com
     return F.unhex(F.md5(framed.cast("binary")))
 
 
-def _look_up(batch: pd.DataFrame, index: pd.DataFrame) -> pd.DataFrame:
-    """Binary search of a prefix's identifiers in its index arrays; kept_no is null for those found nowhere."""
-    raw = np.frombuffer(b"".join(batch["digest"]), dtype=[("hi", ">u8"), ("lo", ">u8")])
-    hi, lo = raw["hi"].astype(np.uint64), raw["lo"].astype(np.uint64)
-    kept = np.zeros(len(batch), dtype=np.int64)
-    hit = np.zeros(len(batch), dtype=bool)
-    for blob in index["entries"]:
+def prefix_of(digest: str, bits: int) -> Column:
+    """The first ``bits`` bits of a digest as a number."""
+    return F.shiftrightunsigned(F.conv(F.hex(F.substring(digest, 1, 4)), 16, 10).cast("bigint"), 32 - bits)
+
+
+def bits_for(entries: int) -> int:
+    """Bits of the prefix for so many identifiers in all."""
+    return min(32, max(MIN_BITS, math.ceil(math.log2(max(1, entries) / PREFIX_ENTRIES))))
+
+
+def _halves(digests: pd.Series) -> tuple[np.ndarray, np.ndarray]:
+    raw = np.frombuffer(b"".join(digests), dtype=[("hi", ">u8"), ("lo", ">u8")])
+    return raw["hi"].astype(np.uint64), raw["lo"].astype(np.uint64)
+
+
+def _search(digests: pd.Series, blobs: pd.Series) -> tuple[np.ndarray, np.ndarray]:
+    """Binary search of digests in sorted arrays: the number kept for each, and whether it was found."""
+    hi, lo = _halves(digests)
+    kept, hit = np.zeros(len(hi), dtype=np.int64), np.zeros(len(hi), dtype=bool)
+    for blob in blobs:
         run = np.frombuffer(blob, dtype=ENTRY)
         his, los = run["hi"].astype(np.uint64), run["lo"].astype(np.uint64)
         at = np.searchsorted(his, hi)
@@ -60,114 +84,156 @@ def _look_up(batch: pd.DataFrame, index: pd.DataFrame) -> pd.DataFrame:
             if not (same & ~found).any():
                 break
             at = np.where(same & ~found, at + 1, len(run))
-    return batch.assign(kept_no=pd.arrays.IntegerArray(kept, ~hit))
-
-
-def _pack(group: pd.DataFrame) -> pd.DataFrame:
-    raw = np.frombuffer(b"".join(group["digest"]), dtype=[("hi", ">u8"), ("lo", ">u8")])
-    out = np.empty(len(raw), dtype=ENTRY)
-    out["hi"], out["lo"], out["no"] = raw["hi"], raw["lo"], group["delivery_no"].to_numpy()
-    out = out[np.lexsort((out["lo"], out["hi"]))]
-    return pd.DataFrame({"prefix": [int(group["prefix"].iloc[0])], "entries": [out.tobytes()]})
-
-
-def _merge(group: pd.DataFrame) -> pd.DataFrame:
-    """Several sorted arrays of a prefix into one; of an identifier in two of them the smaller number stays."""
-    # joining arrays brings them to the machine's byte order; the result goes back to the stored one
-    all_ = np.concatenate([np.frombuffer(b, dtype=ENTRY) for b in group["entries"]])
-    all_ = all_[np.lexsort((all_["no"], all_["lo"], all_["hi"]))]
-    first = np.ones(len(all_), dtype=bool)
-    first[1:] = (all_["hi"][1:] != all_["hi"][:-1]) | (all_["lo"][1:] != all_["lo"][:-1])
-    return pd.DataFrame({"prefix": [int(group["prefix"].iloc[0])], "entries": [all_[first].astype(ENTRY).tobytes()]})
+    return kept, hit
+
+
+TAKEN = "prefix bigint, digest binary, first_no bigint, n bigint, entries binary"
+
+
+def _take(batch: pd.DataFrame, index: pd.DataFrame) -> pd.DataFrame:
+    """One prefix of a batch against the index: a row per identifier with surplus copies, and one row with the sorted array of the novel ones."""
+    if not len(batch):
+        return pd.DataFrame({"prefix": [], "digest": [], "first_no": [], "n": [], "entries": []})
+    kept, hit = _search(batch["digest"], index["entries"])
+    no, n = batch["delivery_no"].to_numpy(np.int64), batch["n"].to_numpy(np.int64)
+    several = hit | (n > 1)
+    new = np.empty(int((~hit).sum()), dtype=ENTRY)
+    hi, lo = _halves(batch["digest"])
+    new["hi"], new["lo"], new["no"] = hi[~hit], lo[~hit], no[~hit]
+    new = new[np.lexsort((new["lo"], new["hi"]))]
+    prefix = int(batch["prefix"].iloc[0])
+    first = [int(x) for x in np.where(hit, kept, no)[several]]
+    rows = {"prefix": [prefix] * len(first), "digest": list(batch["digest"][several]), "first_no": first, "n": [int(x) for x in n[several]], "entries": [None] * len(first)}
+    if len(new):
+        for column, value in zip(rows, (prefix, None, None, None, new.tobytes()), strict=True):
+            rows[column].append(value)
+    return pd.DataFrame(rows).astype({"first_no": "Int64", "n": "Int64"})
+
+
+def _merge(bits: int) -> Callable[[pd.DataFrame], pd.DataFrame]:
+    """Several sorted arrays of a prefix into one for each longer prefix of ``bits`` bits; of an identifier in two of them the smaller number stays."""
+
+    def merge(group: pd.DataFrame) -> pd.DataFrame:
+        # joining arrays brings them to the machine's byte order; the result goes back to the stored one
+        all_ = np.concatenate([np.frombuffer(b, dtype=ENTRY) for b in group["entries"]])
+        all_ = all_[np.lexsort((all_["no"], all_["lo"], all_["hi"]))]
+        first = np.ones(len(all_), dtype=bool)
+        first[1:] = (all_["hi"][1:] != all_["hi"][:-1]) | (all_["lo"][1:] != all_["lo"][:-1])
+        all_ = all_[first].astype(ENTRY)
+        prefix = all_["hi"].astype(np.uint64) >> np.uint64(64 - bits)
+        starts = np.nonzero(np.concatenate([[True], prefix[1:] != prefix[:-1]]))[0]
+        ends = [*starts[1:], len(all_)]
+        return pd.DataFrame({"prefix": prefix[starts].astype(np.int64), "entries": [all_[a:b].tobytes() for a, b in zip(starts, ends, strict=True)]})
+
+    return merge
 
 
 class MessageIndex:
-    """Identifiers of all messages kept so far, at a path of the shared folder.
-
-    prefix_bits sizes the arrays: an identifier's prefix is uniform, so an array holds about
-    distinct messages / 2**prefix_bits entries of 24 bytes.
-    """
+    """Identifiers of all messages kept so far, at a path of the shared folder."""
 
-    def __init__(self, spark: SparkSession, root: str, prefix_bits: int = 8, merge_at: int = 4):
-        self.spark, self.root, self.bits, self.merge_at = spark, root.rstrip("/"), prefix_bits, merge_at
+    def __init__(self, spark: SparkSession, root: str, merge_at: int = 4):
+        self.spark, self.root, self.merge_at = spark, root.rstrip("/"), merge_at
         self.files = ControlFiles(spark, f"{self.root}/manifest")
 
     def _manifest(self) -> dict:
         names = self.files.names()
-        return json.loads(self.files.read(names[-1])) if names else {"batch": -1, "runs": []}
+        return json.loads(self.files.read(names[-1])) if names else {"batch": -1, "runs": [], "bits": MIN_BITS, "entries": 0}
 
     def _runs(self, runs: list[str]) -> DataFrame:
         if not runs:
             return self.spark.createDataFrame([], RUN_SCHEMA)
-        return self.spark.read.schema(RUN_SCHEMA).parquet(*[f"{self.root}/{r}" for r in runs])
+        return self.spark.read.schema(RUN_SCHEMA).parquet(*[f"{self.root}/{r}" for r in runs]).filter("entries IS NOT NULL")
+
+    def _merged(self, runs: list[str], bits: int, name: str) -> list[str]:
+        """The runs as one, with prefixes of ``bits`` bits."""
+        self._runs(runs).groupBy("prefix").applyInPandas(_merge(bits), RUN_SCHEMA).write.mode("overwrite").parquet(f"{self.root}/{name}")
+        return [name]
 
     def absorb(self, batch_no: int, keyed: DataFrame) -> DataFrame:
         """Take one batch of (digest, delivery_no): surplus copies as (first_no, copy_no), each against the copy that is kept.
 
         Batches come in the order of their numbers; one that was taken before gives its stored result.
         """
-        done, out = f"b{batch_no:06d}.json", f"{self.root}/surplus/batch={batch_no}"
-        stored = self.spark.read.schema("first_no bigint, copy_no bigint")
-        if self.files.exists(done):
-            return stored.parquet(out)
-        state = self._manifest()
-        prefix = F.shiftrightunsigned(F.conv(F.hex(F.substring("digest", 1, 4)), 16, 10).cast("bigint"), 32 - self.bits).cast("int")
-        unique = keyed.groupBy("digest").agg(F.min("delivery_no").alias("delivery_no"), F.count("*").alias("n")).withColumn("prefix", prefix)
-        schema = "digest binary, delivery_no bigint, n bigint, prefix int, kept_no bigint"
-        if state["runs"]:
-            index = self._runs(state["runs"])
-            found = unique.groupBy("prefix").cogroup(index.groupBy("prefix")).applyInPandas(_look_up, schema)
+        done, own = f"b{batch_no:09d}.json", f"{batch_no}-{uuid.uuid4().hex[:8]}"
+        if not self.files.exists(done):
+            self._commit(batch_no, keyed, done, own)
+        doc = json.loads(self.files.read(done))
+        return self.spark.read.schema("first_no bigint, copy_no bigint").parquet(f"{self.root}/{doc['surplus']}")
+
+    def _commit(self, batch_no: int, keyed: DataFrame, done: str, own: str) -> None:
+        state, store = self._manifest(), ControlFiles(self.spark, self.root)
+        runs, bits = state["runs"], max(state["bits"], bits_for(state["entries"] + keyed.count()))
+        if runs and (bits > state["bits"] or len(runs) >= self.merge_at):
+            runs = self._merged(runs, bits, f"runs/merged={own}")
+        unique = keyed.groupBy("digest").agg(F.min("delivery_no").alias("delivery_no"), F.count("*").alias("n")).withColumn("prefix", prefix_of("digest", bits))
+        if runs:
+            taken = unique.groupBy("prefix").cogroup(self._runs(runs).groupBy("prefix")).applyInPandas(_take, TAKEN)
         else:
-            found = unique.withColumn("kept_no", F.lit(None).cast("bigint"))
-        looked = f"{self.root}/looked/batch={batch_no}"
-        found.write.mode("overwrite").parquet(looked)
-        found = self.spark.read.schema(schema).parquet(looked)
-        run = f"runs/batch={batch_no}"
-        novel = found.filter("kept_no IS NULL").select("prefix", "digest", "delivery_no")
-        novel.groupBy("prefix").applyInPandas(_pack, RUN_SCHEMA).write.mode("overwrite").parquet(f"{self.root}/{run}")
-        runs = [*state["runs"], run]
-        self._surplus(keyed, found).write.mode("overwrite").parquet(out)
-        if len(runs) >= self.merge_at:
-            merged = f"runs/merged={batch_no}"
-            self._runs(runs).groupBy("prefix").applyInPandas(_merge, RUN_SCHEMA).write.mode("overwrite").parquet(f"{self.root}/{merged}")
-            runs = [merged]
-        self.files.create(done, json.dumps({"batch": batch_no, "runs": runs}))
-        return stored.parquet(out)
-
-    def _surplus(self, keyed: DataFrame, found: DataFrame) -> DataFrame:
+            nothing = pd.DataFrame({"entries": []})
+            taken = unique.groupBy("prefix").applyInPandas(lambda batch: _take(batch, nothing), TAKEN)
+        run, surplus = f"runs/batch={own}", f"surplus/batch={own}"
+        taken.write.mode("overwrite").parquet(f"{self.root}/{run}")
+        taken = self.spark.read.schema(TAKEN).parquet(f"{self.root}/{run}")
+        novel = taken.filter("entries IS NOT NULL").agg(F.sum(F.length("entries"))).first()[0] or 0
+        self._surplus(keyed, taken.filter("digest IS NOT NULL")).write.mode("overwrite").parquet(f"{self.root}/{surplus}")
+        kept = [*runs, run] if novel else runs
+        doc = {"batch": batch_no, "runs": kept, "bits": bits, "entries": state["entries"] + novel // ENTRY.itemsize, "surplus": surplus}
+        won = self.files.create(done, json.dumps(doc))
+        # the loser's files go, or those that no manifest needs any more
+        gone = {*state["runs"], run} - set(kept) if won else {run, surplus, *runs} - set(state["runs"])
+        for path in gone:
+            store.delete(path)
+
+    def _surplus(self, keyed: DataFrame, wanted: DataFrame) -> DataFrame:
         """Deliveries that are not the kept copy.  Each identifier is on the lookup side once.
 
-        A message with very many deliveries would be one task of a join by identifier; messages with more
-        than a 256th of the batch are fewer than 256, so those rows alone go to every executor.
+        A message with very many deliveries would be one task of a join by identifier; those with more than
+        HOT_ROWS are looked up apart, by a list sent to every task where it is small.
         """
-        limit = keyed.count() // 256
-        wanted = found.filter("n > 1 OR kept_no IS NOT NULL").select("digest", "n", F.coalesce("kept_no", "delivery_no").alias("first_no"))
-        hot = wanted.filter(F.col("n") > limit).drop("n")
-        rest = wanted.filter(F.col("n") <= limit).drop("n")
-        both = keyed.join(F.broadcast(hot), "digest").unionByName(keyed.join(rest, "digest"))
+        wanted = wanted.select("digest", "n", "first_no")
+        hot = wanted.filter(F.col("n") > scan.HOT_ROWS).drop("n")
+        both = keyed.join(wanted.filter(F.col("n") <= scan.HOT_ROWS).drop("n"), "digest")
+        if not hot.isEmpty():
+            both = both.unionByName(keyed.join(scan.small(hot), "digest"))
         return both.filter("delivery_no <> first_no").select("first_no", F.col("delivery_no").alias("copy_no"))
 
 
-def surplus_copies(captures: DataFrame, root: str, rounds: int = 4, prefix_bits: int = 8) -> DataFrame:
-    """Surplus copies of all deliveries, taken in ``rounds`` batches of consecutive delivery numbers.
+def _rounds(keyed: DataFrame, rounds: int | None) -> list[int]:
+    """First delivery numbers of the rounds: consecutive batches together, about equally many rows each, ROUND_ROWS at most."""
+    n, low, with_batch = keyed.agg(F.count("*"), F.min("delivery_no"), F.count("batch_no")).first()
+    if not n:
+        return []
+    k = rounds or max(MIN_ROUNDS, math.ceil(n / ROUND_ROWS))
+    by = "batch_no" if with_batch else "delivery_no"
+    cuts = sorted(set(keyed.agg(F.percentile_approx(by, [i / k for i in range(1, k)], 10_000)).first()[0] or [])) if k > 1 else []
+    starts = keyed.agg(*[F.min(F.when(F.col(by) >= c, F.col("delivery_no"))) for c in cuts]).first() if cuts else []
+    return sorted({low, *(x for x in starts if x is not None)})
+
+
+def surplus_copies(captures: DataFrame, root: str, rounds: int | None = None) -> DataFrame:
+    """Surplus copies of all deliveries, taken in rounds of consecutive batches (``batch_no`` where there is one).
 
     Deliveries are numbered in order of receipt, so the copy an index keeps is the one with the smallest
     number.  Deliveries without a number cannot be named and give no row.
     """
     spark = captures.sparkSession
-    keyed = cut(captures.filter("delivery_no IS NOT NULL").select("delivery_no", message_digest().alias("digest")), "deliveries")
-    low, high = keyed.agg(F.min("delivery_no"), F.max("delivery_no")).first()
-    if low is None:
+    batch = F.col("batch_no") if "batch_no" in captures.columns else F.lit(None)
+    rows = captures.filter("delivery_no IS NOT NULL").select("delivery_no", batch.cast("bigint").alias("batch_no"), message_digest().alias("digest"))
+    keyed = cut(rows, "deliveries")
+    starts = _rounds(keyed, rounds)
+    if not starts:
         return spark.createDataFrame([], "first_no bigint, copy_no bigint")
-    index, out = MessageIndex(spark, root, prefix_bits), None
-    for k in range(rounds):
-        a, b = low + (high - low + 1) * k // rounds, low + (high - low + 1) * (k + 1) // rounds
-        part = index.absorb(k, keyed.filter((F.col("delivery_no") >= a) & (F.col("delivery_no") < b)))
+    index, out = MessageIndex(spark, root), None
+    for k, a in enumerate(starts):
+        mine = keyed.filter(F.col("delivery_no") >= a)
+        if k + 1 < len(starts):
+            mine = mine.filter(F.col("delivery_no") < starts[k + 1])
+        part = index.absorb(k, mine.select("digest", "delivery_no"))
         out = part if out is None else out.unionByName(part)
     return out
 
 
-def kept_messages(captures: DataFrame, root: str, rounds: int = 4) -> DataFrame:
+def kept_messages(captures: DataFrame, root: str, rounds: int | None = None) -> DataFrame:
     """The deliveries without their surplus copies: exactly one of each message, all columns as they are.
 
     A row that repeats a number is the same delivery again; rows without a number cannot be told apart and all stay.

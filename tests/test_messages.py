@@ -43,7 +43,7 @@ def case(seed, n=200):
 def test_equals_brute_force_with_a_hot_message(spark):
     for seed, rounds in ((1, 4), (2, 1), (3, 7)):
         rows = case(seed)
-        got = [tuple(r) for r in M.surplus_copies(spark.createDataFrame(rows, SCHEMA), work_dir(spark, "m"), rounds, 3).collect()]
+        got = [tuple(r) for r in M.surplus_copies(spark.createDataFrame(rows, SCHEMA), work_dir(spark, "m"), rounds).collect()]
         assert len(got) == len(set(got)) and set(got) == surplus(rows)
 
 
@@ -58,18 +58,64 @@ def test_kept_is_one_of_each_and_keeps_columns(spark):
 def test_empty_and_repeated_batch(spark):
     assert M.surplus_copies(spark.createDataFrame([], SCHEMA), work_dir(spark, "e")).count() == 0
     keyed = spark.createDataFrame(case(5), SCHEMA).select("delivery_no", M.message_digest().alias("digest"))
-    index = M.MessageIndex(spark, work_dir(spark, "r"), 2)
+    index = M.MessageIndex(spark, work_dir(spark, "r"))
     once = sorted(map(tuple, index.absorb(0, keyed).collect()))
     assert sorted(map(tuple, index.absorb(0, keyed).collect())) == once
     # every delivery of a later batch that brings nothing new is surplus
     assert index.absorb(1, keyed).filter("first_no <> copy_no").count() == len(once)
 
 
+def entries(n, step=1):
+    out = np.zeros(n, dtype=M.ENTRY)
+    out["hi"], out["lo"], out["no"] = np.arange(n, dtype=np.uint64) << np.uint64(58), np.arange(n) * step, np.arange(n)
+    return out
+
+
 def test_binary_search_of_sorted_arrays_with_equal_halves():
     ids = [bytes(8) + bytes([0] * 7 + [k]) for k in range(0, 20, 2)]
-    run = M._pack(pd.DataFrame({"prefix": [0] * 10, "digest": ids, "delivery_no": range(10)}))
-    asked = pd.DataFrame({"digest": [bytes(8) + bytes([0] * 7 + [k]) for k in range(20)], "delivery_no": range(20), "n": 1, "prefix": 0})
-    got = M._look_up(asked, run)["kept_no"]
-    assert [None if v is pd.NA else int(v) for v in got] == [k // 2 if k % 2 == 0 else None for k in range(20)]
-    both = M._merge(pd.concat([run, run]))
+    none = pd.DataFrame({"entries": []})
+    took = M._take(pd.DataFrame({"prefix": [0] * 10, "digest": ids, "delivery_no": range(10), "n": 1}), none)
+    assert len(took) == 1 and took["digest"].iloc[0] is None
+    kept, hit = M._search(pd.Series([bytes(8) + bytes([0] * 7 + [k]) for k in range(20)]), took["entries"])
+    assert [int(v) if h else None for v, h in zip(kept, hit, strict=True)] == [k // 2 if k % 2 == 0 else None for k in range(20)]
+    both = M._merge(4)(pd.concat([took, took]))
     assert len(np.frombuffer(both["entries"][0], dtype=M.ENTRY)) == 10
+
+
+def test_a_merge_splits_arrays_to_longer_prefixes():
+    run = pd.DataFrame({"prefix": [0], "entries": [entries(8).tobytes()]})
+    split = M._merge(6)(run)
+    assert list(split["prefix"]) == list(range(8)) and [len(b) for b in split["entries"]] == [24] * 8
+    assert M.bits_for(10) == M.MIN_BITS and M.bits_for(10**10) == 16 and M.bits_for(10**13) == 26
+
+
+def test_the_index_grows_its_prefix_and_removes_what_it_replaced(spark, monkeypatch):
+    monkeypatch.setattr(M, "PREFIX_ENTRIES", 4)
+    rows = [(k, f"e{k % 70}", "backfill", [(f"{k % 70}", "a")], "x", 1) for k in range(200)]
+    keyed = spark.createDataFrame(rows, SCHEMA).select("delivery_no", M.message_digest().alias("digest"))
+    index, got = M.MessageIndex(spark, work_dir(spark, "g"), merge_at=2), set()
+    for k in range(5):
+        got |= {tuple(r) for r in index.absorb(k, keyed.filter(f"delivery_no >= {40 * k} and delivery_no < {40 * k + 40}")).collect()}
+    assert got == {(k % 70, k) for k in range(70, 200)}
+    state = index._manifest()
+    assert state["bits"] > M.MIN_BITS and state["entries"] == 70
+    assert sorted(M.ControlFiles(spark, f"{index.root}/runs").names()) == sorted(r[5:] for r in state["runs"])
+
+
+def test_a_hot_message_beyond_the_row_limit_and_rounds_by_batch(spark, monkeypatch):
+    from driftline.core import scan
+
+    monkeypatch.setattr(scan, "HOT_ROWS", 10)
+    rows = [(*r, r[0] // 17) for r in case(8)]
+    df = spark.createDataFrame(rows, SCHEMA + ", batch_no int")
+    got = [tuple(r) for r in M.surplus_copies(df, work_dir(spark, "h"), 5).collect()]
+    assert len(got) == len(set(got)) and set(got) == surplus([r[:6] for r in rows])
+
+
+def test_the_loser_of_a_race_takes_the_winners_result(spark):
+    keyed = spark.createDataFrame(case(5), SCHEMA).select("delivery_no", M.message_digest().alias("digest"))
+    index = M.MessageIndex(spark, work_dir(spark, "race"))
+    first = {tuple(r) for r in index.absorb(0, keyed).collect()}
+    index._commit(0, keyed.limit(3), "b000000000.json", "loser")
+    assert {tuple(r) for r in index.absorb(0, keyed).collect()} == first
+    assert not any("loser" in n for n in M.ControlFiles(spark, f"{index.root}/runs").names())
