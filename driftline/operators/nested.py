@@ -6,15 +6,16 @@ parents or that contains itself gets a table of its own; every other element is
 parent and becomes columns of the table it sits in.  ``shred`` cuts each record accordingly, and every
 row names the row it belongs to.
 
-Elements are known by field name.  The entries of ``blocks`` and of any ``children`` are the element
-``block``, whether listed in an array or in a map from a parent's id.  Other keys that are no plain
-field names are map keys; they all stand for the element ``*``.
+Elements are known by field name, of any length and spelling.  The entries of ``blocks`` and of any
+``children`` are the element ``block``, whether listed in an array or in a map from a parent's id.  An
+element with more than MAP_KEYS distinct fields that hold objects is a map with keys chosen by the data:
+its entries are one element, named after it with ``.*``.  So the schema graph has at most MAP_KEYS fields
+an element, whatever the records hold.
 """
 
 from __future__ import annotations
 
 import json
-import re
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
@@ -22,54 +23,71 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from driftline.core.store import cut
 from driftline.functions.jsontext import clean, parse
 
-ROOT, BLOCK, ANY = "tree", "block", "*"
-_FIELD = re.compile(r"[A-Za-z_][A-Za-z0-9_]{0,39}")
+ROOT, BLOCK = "tree", "block"
 _OF_BLOCKS = ("blocks", "children")
+#: Distinct fields holding objects that an element may have before it counts as a map.
+MAP_KEYS = 1000
 
 
-def element(name: str) -> str:
-    """The element that a field holds."""
+def element(parent: str, name: str, maps: frozenset[str] | set[str] = frozenset()) -> str:
+    """The element that a field of an element holds."""
     if name in _OF_BLOCKS:
         return BLOCK
-    return name if _FIELD.fullmatch(name) and not re.fullmatch(r"[0-9a-fA-F-]{32,36}", name) else ANY
+    return f"{parent}.*" if parent in maps else name
 
 
 @dataclass(frozen=True)
 class Plan:
-    """Elements with a table of their own; all others are columns of their only parent."""
+    """Elements with a table of their own; all others are columns of their only parent.  ``maps``: elements whose keys are data."""
 
     tables: frozenset[str] = field(default_factory=frozenset)
     inlined: frozenset[str] = field(default_factory=frozenset)
+    maps: frozenset[str] = field(default_factory=frozenset)
 
 
-def _edges(value) -> set[tuple[str, str, bool]]:
-    """(parent element, child element, repeated) of one record."""
-    out: set[tuple[str, str, bool]] = set()
-    todo = [(ROOT, value)]
-    while todo:
-        name, obj = todo.pop()
-        if not isinstance(obj, dict):
-            continue
-        for k, v in obj.items():
-            kind = element(k)
-            if isinstance(v, dict):
-                if k == "children":
-                    for blocks in v.values():
-                        if isinstance(blocks, list):
-                            out.add((name, BLOCK, True))
-                            todo.extend((BLOCK, b) for b in blocks)
-                else:
-                    out.add((name, kind, False))
-                    todo.append((kind, v))
-            elif isinstance(v, list) and any(isinstance(x, dict) for x in v):
-                out.add((name, kind, True))
-                todo.extend((kind, x) for x in v)
-    return out
-
-
-def schema_graph(records: DataFrame, body: str = "body") -> DataFrame:
+class _Graph:
+    """Edges (parent element, child element, repeated) of the records of a task."""
+
+    def __init__(self, maps: frozenset[str]):
+        self.maps = set(maps)
+        self.below: dict[str, dict[tuple[str, bool], None]] = {}
+
+    def _add(self, parent: str, child: str, repeated: bool) -> None:
+        fields = self.below.setdefault(parent, {})
+        fields[child, repeated] = None
+        # the twofold leaves room for fields that occur once and repeated
+        if len(fields) > 2 * MAP_KEYS and parent not in self.maps:
+            self.maps.add(parent)
+
+    def take(self, value) -> None:
+        todo = [(ROOT, value)]
+        while todo:
+            name, obj = todo.pop()
+            if not isinstance(obj, dict):
+                continue
+            for k, v in obj.items():
+                kind = element(name, k, self.maps)
+                if isinstance(v, dict):
+                    if k == "children":
+                        for blocks in v.values():
+                            if isinstance(blocks, list):
+                                self._add(name, BLOCK, True)
+                                todo.extend((BLOCK, b) for b in blocks)
+                    else:
+                        self._add(name, kind, False)
+                        todo.append((kind, v))
+                elif isinstance(v, list) and any(isinstance(x, dict) for x in v):
+                    self._add(name, kind, True)
+                    todo.extend((kind, x) for x in v)
+
+    def edges(self) -> list[tuple[str, str, bool]]:
+        return sorted((p, c, many) for p, fields in self.below.items() for c, many in fields)
+
+
+def schema_graph(records: DataFrame, body: str = "body", maps: frozenset[str] = frozenset()) -> DataFrame:
     """The distinct edges of the schema graph over all records: parent, child, repeated.
 
     Each task sends every edge once, so what is shuffled grows with the number of tasks and of element
@@ -77,22 +95,26 @@ def schema_graph(records: DataFrame, body: str = "body") -> DataFrame:
     """
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found: set[tuple[str, str, bool]] = set()
+        graph = _Graph(maps)
         for batch in batches:
             for text in batch.column(0).to_pylist():
                 ok, value = parse(text)
                 if ok:
-                    found |= _edges(value)
-        rows = sorted(found)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([r[0] for r in rows], pa.string()), pa.array([r[1] for r in rows], pa.string()), pa.array([r[2] for r in rows], pa.bool_())],
-            ["parent", "child", "repeated"],
-        )
+                    graph.take(value)
+        rows = graph.edges()
+        safe = lambda i: pa.array([clean(r[i]) for r in rows], pa.string())
+        yield pa.RecordBatch.from_arrays([safe(0), safe(1), pa.array([r[2] for r in rows], pa.bool_())], ["parent", "child", "repeated"])
 
     return records.select(F.col(body).cast("string")).mapInArrow(task, "parent string, child string, repeated boolean").distinct()
 
 
-def plan_tables(edges: list[tuple[str, str, bool]]) -> Plan:
+def map_elements(edges: DataFrame) -> frozenset[str]:
+    """Elements with more than MAP_KEYS distinct fields that hold objects; counted before anything is collected."""
+    wide = edges.groupBy("parent").agg(F.count_distinct("child").alias("n")).filter(F.col("n") > MAP_KEYS)
+    return frozenset(r.parent for r in wide.select("parent").toLocalIterator())
+
+
+def plan_tables(edges: list[tuple[str, str, bool]], maps: frozenset[str] = frozenset()) -> Plan:
     """Shared inlining over the schema graph."""
     below: dict[str, set[str]] = {}
     above: dict[str, set[str]] = {}
@@ -116,7 +138,7 @@ def plan_tables(edges: list[tuple[str, str, bool]]) -> Plan:
     entry = {c for c in recursive if c in repeated or c in shared}
     loops = recursive if not entry else entry
     tables = {ROOT} | repeated | shared | loops
-    return Plan(frozenset(tables), frozenset(set(above) - tables))
+    return Plan(frozenset(tables), frozenset(set(above) - tables), maps)
 
 
 SHREDDED = pa.schema(
@@ -165,11 +187,11 @@ def shred_record(value, plan: Plan, wanted: frozenset[str] | None = None) -> lis
         else:
             if name == BLOCK:
                 block_id, path = _bare(obj.get("id")), ""
-            inner = [("", path, obj)]
+            inner = [("", path, obj, name)]
             while inner:
-                prefix, at, d = inner.pop()
+                prefix, at, d, own = inner.pop()
                 for k, v in d.items():
-                    kind, here = element(k), f"{at}.{k}" if at else k
+                    kind, here = element(own, k, plan.maps), f"{at}.{k}" if at else k
                     if kind == BLOCK and isinstance(v, (list, dict)):
                         # children of this block, or blocks listed under a parent's id
                         listed = v.items() if isinstance(v, dict) else [(block_id if name != ROOT else "", v)]
@@ -180,7 +202,7 @@ def shred_record(value, plan: Plan, wanted: frozenset[str] | None = None) -> lis
                         if kind in plan.tables or kind not in plan.inlined:
                             later.append((kind, v, name, row_no, block_id, parent_id, here, 0))
                         else:
-                            inner.append((f"{prefix}{k}.", here, v))
+                            inner.append((f"{prefix}{k}.", here, v, kind))
                     elif isinstance(v, list) and any(isinstance(x, dict) for x in v):
                         later += [(kind, x, name, row_no, block_id, parent_id, here, i) for i, x in enumerate(v)]
                     else:
@@ -233,16 +255,34 @@ def flat_table(shredded: DataFrame, name: str, columns: list[str]) -> DataFrame:
 
 
 def analysed_plan(records: DataFrame, body: str = "body") -> Plan:
-    """The plan for these records.  The schema graph has an edge per pair of element names, whatever the number of records."""
-    return plan_tables([(r.parent, r.child, r.repeated) for r in schema_graph(records, body).collect()])
+    """The plan for these records.
+
+    The graph is taken again as long as it shows new maps, usually never; what is collected at last has at
+    most MAP_KEYS fields an element.
+    """
+    maps: frozenset[str] = frozenset()
+    while True:
+        edges = cut(schema_graph(records, body, maps), "schema-graph")
+        more = map_elements(edges) - maps
+        if not more:
+            return plan_tables([(r.parent, r.child, r.repeated) for r in edges.collect()], maps)
+        maps |= more
 
 
 def text_runs(records: DataFrame, paths: list[str]) -> DataFrame:
     """Non-empty text runs under the given paths of a block: tree_no, block_id, parent_id, field_path, run_pos."""
     plan = analysed_plan(records)
-    tables = {element(p.rpartition(".")[2]) for p in paths}
+    tables = {element(p.rpartition(".")[0].rpartition(".")[2], p.rpartition(".")[2], plan.maps) for p in paths}
     runs = shred(records, plan, tables)
     text = F.col("columns")["plain_text"]
     return runs.filter(F.col("field_path").isin(paths) & text.isNotNull() & (text != "")).select(
         "tree_no", "block_id", "parent_id", "field_path", F.col("pos").alias("run_pos")
     )
+
+
+def links(shredded: DataFrame) -> DataFrame:
+    """table_name, parent_table, rows, without_parent: how every table hangs below its parents; no row may lack its parent row."""
+    rows = shredded.select("tree_no", "table_name", "row_no", "parent_table", "parent_row")
+    above = rows.select("tree_no", F.col("table_name").alias("parent_table"), F.col("row_no").alias("parent_row"), F.lit(True).alias("_there"))
+    both = rows.filter("parent_table IS NOT NULL").join(above.distinct(), ["tree_no", "parent_table", "parent_row"], "left")
+    return both.groupBy("table_name", "parent_table").agg(F.count("*").alias("rows"), F.count_if(F.col("_there").isNull()).alias("without_parent"))

@@ -66,7 +66,23 @@ def p4_blocks(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_report, p1_current, p2_found, p3_found, p3_kept, p4_found, p4_blocks)}
+def p4_runs(spark: SparkSession, d: str) -> DataFrame:
+    """Text runs of any kind with the row of the table they belong to."""
+    trees = table(spark, d, "block_trees")
+    rows = nested.shred(trees, nested.analysed_plan(trees), {"rich_text", "caption"})
+    return rows.select(
+        "tree_no", "table_name", "row_no", "parent_table", "parent_row", "block_id", "parent_id", "field_path", "pos",
+        F.col("columns")["plain_text"].alias("plain_text"), F.col("columns")["href"].alias("href"),
+    )
+
+
+def p4_links(spark: SparkSession, d: str) -> DataFrame:
+    """Every table of the shredded records with its parent tables, and how many rows have no parent row (none may)."""
+    trees = table(spark, d, "block_trees")
+    return nested.links(nested.shred(trees, nested.analysed_plan(trees)))
+
+
+QUERIES = {f.__name__: f for f in (p1_found, p1_report, p1_current, p2_found, p3_found, p3_kept, p4_found, p4_blocks, p4_runs, p4_links)}
 
 _REFS = """refs AS (
   SELECT block_no, listed_at, target_table, needs_db, lower(replace(ref, '-', '')) AS key FROM (
@@ -115,7 +131,17 @@ _MESSAGES = """messages AS (
     SELECT *, lower(replace(entity_id, '-', '')) AS e, coalesce(CAST(epoch_us(TRY_CAST(captured_at AS TIMESTAMPTZ)) AS VARCHAR), captured_at) AS t,
       list_sort(list_distinct([lower(replace(x.id, '-', '')) for x in comments if x.id IS NOT NULL])) AS c
     FROM webhook_captures))"""
+_BLOCKS = """b AS (SELECT tree_no, CAST(body AS JSON) AS j FROM block_trees WHERE json_valid(body)),
+  listed AS (SELECT tree_no, '' AS parent, j -> '$.blocks' AS blocks FROM b
+    UNION ALL SELECT tree_no, lower(replace(e.key, '-', '')), e.value FROM b, json_each(CASE WHEN json_type(j -> '$.children') = 'OBJECT' THEN j -> '$.children' ELSE '{}' END) AS e),
+  block AS (SELECT tree_no, parent, unnest(from_json(blocks, '["JSON"]')) AS x FROM listed WHERE json_type(blocks) = 'ARRAY'
+    UNION ALL SELECT tree_no, parent, unnest(from_json(kids, '["JSON"]')) FROM (SELECT tree_no, lower(replace(coalesce(x ->> '$.id', ''), '-', '')) AS parent, json_extract(x, '$."' || (x ->> '$.type') || '".children') AS kids FROM block)
+      WHERE json_type(kids) = 'ARRAY')"""
+_P4 = f"""WITH RECURSIVE {_BLOCKS}, runs AS (SELECT tree_no, parent, lower(replace(coalesce(x ->> '$.id', ''), '-', '')) AS id, p, json_extract(x, '$.' || p) AS r FROM block, (VALUES {", ".join(f"('{p}')" for p in RUN_PATHS)}) AS v(p)),
+  each_run AS (SELECT tree_no, parent, id, p, unnest(from_json(r, '["JSON"]')) AS one, generate_subscripts(from_json(r, '["JSON"]'), 1) - 1 AS i FROM runs WHERE json_type(r) = 'ARRAY')
+SELECT tree_no, id AS block_id, parent AS parent_id, p AS field_path, i AS run_pos FROM each_run WHERE coalesce(one ->> '$.plain_text', '') <> ''"""
 ORACLES = {
+    "p4_found": _P4,
     "p1_found": _P1,
     "p1_report": f"SELECT target_table, period, count(*) AS orphans FROM ({_P1}) GROUP BY ALL",
     "p1_current": _P1_CURRENT,

@@ -110,3 +110,26 @@ def test_deep_parser_agrees_with_the_library():
         assert _parse_deep(s) == json.loads(s)
     assert parse("[1,]") == (False, None) and parse("NaN") == (False, None) and parse(None) == (False, None)
     assert clean("a\ud83dz").encode()
+
+
+def test_long_and_odd_field_names_are_elements_of_their_own(spark):
+    long = ["a" * 41, "a" * 40 + "b", "my-field", "my field"]
+    body = {"blocks": [{"id": "1", "type": "x", "x": {n: [{"v": n}] for n in long}}]}
+    df = spark.createDataFrame([(1, json.dumps(body), "p", 1)], SCHEMA)
+    plan = N.analysed_plan(df)
+    assert set(long) <= plan.tables and not plan.maps
+    assert {r.table_name: r["columns"]["v"] for r in N.shred(df, plan, set(long)).collect()} == {n: n for n in long}
+
+
+def test_many_keys_chosen_by_the_data_are_a_map(spark, monkeypatch):
+    monkeypatch.setattr(N, "MAP_KEYS", 10)
+    bodies = [{"blocks": [], "users": {f"user_{3 * k + i}": {"name": [{"n": k}], "tags": {f"t{k}": {"z": 1}}} for i in range(3)}} for k in range(8)]
+    df = spark.createDataFrame([(k, json.dumps(b), "p", 1) for k, b in enumerate(bodies)], SCHEMA)
+    plan = N.analysed_plan(df)
+    assert plan.maps == {"users"} and "users.*" in plan.inlined | plan.tables and not any(t.startswith("user_") for t in plan.tables | plan.inlined)
+    rows = N.shred(df, plan).collect()
+    assert sum(r.table_name == "name" for r in rows) == 24
+    assert [tuple(r) for r in N.links(N.shred(df, plan)).filter("without_parent > 0").collect()] == []
+    deep = N._Graph(frozenset())
+    deep.take({f"k{i}": {"x": {"y": 1}} for i in range(100)})
+    assert deep.maps == {"tree"} and len(deep.below["tree"]) < 40
