@@ -9,9 +9,14 @@ within the radius.  Each candidate is then verified word by word: the weighted s
 along the common diagonal (a shared word weighs 1, an altered one -9) must not be negative over at
 least ``window`` words.
 
-A document window with fewer words from the items' vocabulary than any passage has cannot be a
-candidate and is not fingerprinted; that drops no passage.  Words of no item weigh nothing in the
-fingerprint.
+A passage has a window with at most ALTERED altered words, so at least window - ALTERED of its words are in
+the items' vocabulary and SEED of them in a row are those of an item.  A document window without either
+cannot be a candidate and is not fingerprinted; that drops no passage.  Words of no item weigh nothing in
+the fingerprint.  The windows have the size of the least passage, 15 words, as items leak in part.
+
+One pass over the documents looks for PASS_WORDS words of items.  More items take two steps: one scan of
+the corpus a SCAN_WORDS words of items keeps the documents that share SEED words in a row with any item, and
+the passes run over those alone.
 
 Edge cases: null, empty and very short documents or items have no passage; documents are read whole;
 a document with copies of a passage gives one row per item; equal documents give a row each.
@@ -20,7 +25,8 @@ a document with copies of a passage gives one row per item; equal documents give
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+import zlib
+from collections.abc import Callable, Iterable, Iterator
 from itertools import combinations
 
 import numpy as np
@@ -28,15 +34,18 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from driftline.core.store import cut
 from driftline.llm.words import words
 
 BITS, BLOCKS, SUB_RADIUS = 64, 4, 3
 #: Fingerprints within this many bits are found for certain: more would leave each block over SUB_RADIUS.
 RADIUS = BLOCKS * (SUB_RADIUS + 1) - 1
-#: Words of items held by one pass (the block tables have 2,788 entries of 4 bytes a word); more items are taken in several passes.
-PASS_WORDS = 10_000
+#: Words of items held by one pass (about 100 bytes a word in a worker), and by one scan for suspects (8 bytes a word).
+PASS_WORDS, SCAN_WORDS = 1_000_000, 16_000_000
 #: No passage has more altered words than this in each of its windows: of L // 10 altered words, one of L // window disjoint windows has at most two.
 ALTERED = 2
+#: Unaltered words in a row that a window of 15 words with ALTERED altered ones has: 13 words in three stretches.
+SEED = 5
 _MASKS = np.array([sum(1 << b for b in bits) for k in range(SUB_RADIUS + 1) for bits in combinations(range(16), k)], dtype=np.int32)
 
 
@@ -59,6 +68,23 @@ def _joined(blocks: np.ndarray) -> np.ndarray:
     return out
 
 
+def _grams(codes: np.ndarray) -> np.ndarray:
+    """A 64-bit number for every SEED neighbouring words."""
+    n = max(0, len(codes) - SEED + 1)
+    out = np.zeros(n, np.uint64)
+    for k in range(SEED):
+        out = out * np.uint64(0x9E3779B97F4A7C15) + codes[k : k + n].astype(np.uint64) + np.uint64(1)
+    return out
+
+
+def _among(grams: np.ndarray, table: np.ndarray) -> np.ndarray:
+    """Which of the numbers are in the sorted table."""
+    at = np.searchsorted(table, grams)
+    out = at < len(table)
+    out[out] = table[at[out]] == grams[out]
+    return out
+
+
 class ItemIndex:
     """Fingerprints of all windows of a set of items, by block."""
 
@@ -78,15 +104,14 @@ class ItemIndex:
         self.owner = np.concatenate([np.full(len(c) - window + 1, i) for i, c in enumerate(codes)]) if codes else np.zeros(0, int)
         self.place = np.concatenate([np.arange(len(c) - window + 1) for c in codes]) if codes else np.zeros(0, int)
         self.texts = np.vstack([np.lib.stride_tricks.sliding_window_view(c, window) for c in codes]) if codes else np.zeros((0, window), np.int64)
+        self.seeds = np.unique(np.concatenate([_grams(c) for c in codes])) if codes else np.zeros(0, np.uint64)
         blocks = np.vstack([self.fingerprints(c) for c in codes]) if codes else np.zeros((0, BLOCKS), np.uint16)
         self.prints = _joined(blocks)
         self.tables = []
         for b in range(BLOCKS):
-            # every window stands under all values near its own
-            near = (blocks[:, b].astype(np.int32)[:, None] ^ _MASKS[None, :]).ravel()
-            order = np.argsort(near, kind="stable")
-            starts = np.concatenate([[0], np.cumsum(np.bincount(near, minlength=1 << 16))])
-            self.tables.append(((order // len(_MASKS)).astype(np.int32), starts))
+            # the windows in order of the block's value, and where each value begins
+            order = np.argsort(blocks[:, b], kind="stable").astype(np.int32)
+            self.tables.append((order, np.concatenate([[0], np.cumsum(np.bincount(blocks[:, b], minlength=1 << 16))])))
 
     def codes(self, ws: list[str]) -> np.ndarray:
         none = len(self.vocabulary)
@@ -106,11 +131,14 @@ class ItemIndex:
         """(index of the fingerprint, index of the item window) for all pairs within RADIUS bits."""
         prints, left, right = _joined(blocks), [], []
         for b, (entries, starts) in enumerate(self.tables):
-            value = blocks[:, b].astype(np.int64)
-            n = starts[value + 1] - starts[value]
+            # all values near the block's own, and the windows that stand under them
+            near = (blocks[:, b].astype(np.int32)[:, None] ^ _MASKS[None, :]).ravel()
+            n = starts[near + 1] - starts[near]
+            some = np.nonzero(n)[0]
+            near, n = near[some], n[some]
             first = np.cumsum(n) - n
-            mine = np.repeat(np.arange(len(blocks)), n)
-            hits = entries[np.repeat(starts[value] - first, n) + np.arange(len(mine))]
+            mine = np.repeat(some // len(_MASKS), n)
+            hits = entries[np.repeat(starts[near] - first, n) + np.arange(len(mine))]
             close = np.bitwise_count(prints[mine] ^ self.prints[hits]) <= RADIUS
             left.append(mine[close])
             right.append(hits[close])
@@ -141,12 +169,17 @@ class ItemIndex:
             return []
         codes = self.codes(ws)
         known = np.concatenate([[0], np.cumsum(codes < len(self.vocabulary))])
-        places = np.nonzero(known[self.window :] - known[: -self.window] >= self.window - ALTERED)[0]
+        here = known[self.window :] - known[: -self.window] >= self.window - ALTERED
+        if not here.any():
+            return []
+        seeds = np.concatenate([[0], np.cumsum(_among(_grams(codes), self.seeds))])
+        inner = self.window - SEED + 1
+        places = np.nonzero(here & (seeds[inner:] > seeds[:-inner]))[0]
         if not len(places):
             return []
         near, hit = [], []
-        for k in range(0, len(places), 512):
-            some = places[k : k + 512]
+        for k in range(0, len(places), 64):
+            some = places[k : k + 64]
             a, h = self.candidates(self.fingerprints(codes, some))
             equal = (codes[some[a][:, None] + np.arange(self.window)] == self.texts[h]).sum(axis=1) >= self.window - ALTERED
             near.append(some[a[equal]])
@@ -175,33 +208,63 @@ def _index(items: list[tuple[int, str | None]], window: int) -> ItemIndex:
     return _indexes[key]
 
 
-def leaked_items(documents: DataFrame, items: list[tuple[int, str | None]], window: int = 15) -> DataFrame:
+def _groups(items: Iterable[tuple[int, str | None]], size: int) -> Iterator[list[tuple[int, str | None]]]:
+    """Consecutive items of about ``size`` words together."""
+    part, n = [], 0
+    for item in items:
+        k = len(item[1] or "") // 4
+        if part and n + k > size:
+            yield part
+            part, n = [], 0
+        part.append(item)
+        n += k
+    if part:
+        yield part
+
+
+def _seed_codes(ws: list[str]) -> np.ndarray:
+    return np.fromiter((zlib.crc32(w.encode("utf-8", "surrogatepass")) for w in ws), np.uint64, len(ws))
+
+
+def suspects(documents: DataFrame, items: list[tuple[int, str | None]]) -> DataFrame:
+    """doc_id, text of the documents that share SEED words in a row with any of the items, written: all that can hold a passage of them."""
+    table = np.unique(np.concatenate([np.zeros(0, np.uint64), *(_grams(_seed_codes(words(text))) for _, text in items)]))
+    shared = documents.sparkSession.sparkContext.broadcast(table)  # 8 bytes a word of at most SCAN_WORDS
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep = [bool(_among(_grams(_seed_codes(words(t))), shared.value).any()) for t in batch.column(1).to_pylist()]
+            yield batch.filter(pa.array(keep, pa.bool_()))
+
+    return cut(documents.mapInArrow(task, "doc_id bigint, text string"), "suspects")
+
+
+def leaked_items(documents: DataFrame, items: Iterable[tuple[int, str | None]], window: int = 15) -> DataFrame:
     """doc_id, item_id of all documents that hold a passage of an item.
 
-    One pass over the documents without a shuffle per PASS_WORDS words of items; the items' windows go
-    to every task, which is what bounds a pass.
+    One scan of the corpus without a shuffle for up to SCAN_WORDS words of items; beyond PASS_WORDS the passes run
+    over the suspects of that scan.
     """
-    spark, passes, size = documents.sparkSession, [[]], 0
-    for item in items:
-        n = len(item[1] or "") // 4
-        if passes[-1] and size + n > PASS_WORDS:
-            passes.append([])
-            size = 0
-        passes[-1].append(item)
-        size += n
-    out = None
-    for part in passes:
-
-        def task(batches: Iterator[pa.RecordBatch], part=part) -> Iterator[pa.RecordBatch]:
-            index = _index(part, window)
-            for batch in batches:
-                docs, found = [], []
-                for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                    for item_id in index.leaked(text):
-                        docs.append(doc_id)
-                        found.append(item_id)
-                yield pa.RecordBatch.from_arrays([pa.array(docs, pa.int64()), pa.array(found, pa.int64())], ["doc_id", "item_id"])
-
-        one = documents.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string")).mapInArrow(task, "doc_id bigint, item_id bigint")
-        out = one if out is None else out.unionByName(one)
+    spark, out = documents.sparkSession, None
+    rows = documents.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string"))
+    for group in _groups(items, SCAN_WORDS):
+        parts = list(_groups(group, PASS_WORDS))
+        where = rows if len(parts) == 1 else suspects(rows, group)
+        for part in parts:
+            one = where.mapInArrow(_finder(part, window), "doc_id bigint, item_id bigint")
+            out = one if out is None else out.unionByName(one)
     return out if out is not None else spark.createDataFrame([], "doc_id bigint, item_id bigint")
+
+
+def _finder(part: list[tuple[int, str | None]], window: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        index = _index(part, window)
+        for batch in batches:
+            docs, found = [], []
+            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                for item_id in index.leaked(text):
+                    docs.append(doc_id)
+                    found.append(item_id)
+            yield pa.RecordBatch.from_arrays([pa.array(docs, pa.int64()), pa.array(found, pa.int64())], ["doc_id", "item_id"])
+
+    return task

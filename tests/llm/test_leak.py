@@ -1,5 +1,8 @@
 import random
 
+import pytest
+
+from driftline.llm import leak
 from driftline.llm.leak import RADIUS, ItemIndex, _joined, leaked_items
 from driftline.llm.words import words
 
@@ -79,3 +82,37 @@ def test_random_documents_equal_brute_force(spark):
     assert {tuple(x) for x in leaked_items(df, its).collect()} == want and len(want) > 15
     assert leaked_items(df, []).count() == 0 and leaked_items(df, [(1, None), (2, "too short")]).count() == 0
     assert leaked_items(df.limit(0), its).count() == 0
+
+
+@pytest.mark.parametrize("length", [15, 20, 29, 44])
+def test_recall_against_brute_force_at_the_most_alterations(length):
+    r = random.Random(length)
+    its = items(r, 12)
+    index = ItemIndex(its)
+    found = held = 0
+    for _ in range(400):
+        i = r.randrange(len(its))
+        start = r.randrange(60 - length + 1)
+        w = words(its[i][1])[start : start + length]
+        for k in r.sample(range(1, length - 1), length // 10):
+            w[k] = r.choice(FILL + VOCAB)
+        ws = [r.choice(FILL) for _ in range(10)] + w + [r.choice(FILL) for _ in range(10)]
+        want = {its[j][0] for j in range(len(its)) if any(index._holds(ws, index.words[j], s) for s in range(-60, len(ws)))}
+        got = set(index.leaked(" ".join(ws)))
+        assert got <= want
+        held += len(want)
+        found += len(got)
+    assert held >= 400 and found / held >= 0.99
+
+
+def test_more_items_than_a_pass_holds_scan_the_corpus_once(spark, monkeypatch):
+    r = random.Random(5)
+    its = items(r, 12)
+    docs = [(k, " ".join([r.choice(FILL) for _ in range(15)] + (words(its[k % 12][1])[5:25] if k % 3 else []))) for k in range(60)] + [(99, None)]
+    df = spark.createDataFrame(docs, "doc_id bigint, text string")
+    once = {tuple(x) for x in leaked_items(df, its).collect()}
+    monkeypatch.setattr(leak, "PASS_WORDS", 150)
+    assert {tuple(x) for x in leaked_items(df, iter(its)).collect()} == once and len(once) == 40
+    assert leak.suspects(df, its).count() == 40
+    monkeypatch.setattr(leak, "SCAN_WORDS", 400)
+    assert {tuple(x) for x in leaked_items(df, iter(its)).collect()} == once
