@@ -45,6 +45,30 @@ def test_targets_caps_and_disjoint_use(spark):
     assert abs(shares["big_one"].actual_share - tokens["big_one"] / sum(tokens.values())) < 1e-9 and shares["absent"].tokens == 0
 
 
+def test_every_shard_has_partitions_of_its_own(spark, monkeypatch):
+    df = docs(spark, {"a": 800, "b": 300})
+    targets = spark.createDataFrame([("a", 0.6, 1), ("b", 0.4, 3)], "source string, target_share double, max_repeats int")
+    one = sorted(map(tuple, M.mix(df, targets, shards=5).collect()))
+    for records, cells in ((10_000, 5), (60, 20)):
+        got = M.mix(df, targets, shards=5, part_records=records)
+        parts = [p for p in got.rdd.glom().collect() if p]
+        assert all(len({r.shard for r in p}) == 1 for p in parts) and len(parts) >= cells
+        rows = [r for p in parts for r in p]
+        assert [(r.shard, r.shuffle_key) for r in rows] == sorted((r.shard, r.shuffle_key) for r in rows)
+        assert sorted(map(tuple, rows)) == one
+    # a plan too long to send around is joined, and gives the same
+    monkeypatch.setattr(M.scan, "SMALL_ROWS", 0)
+    assert sorted(map(tuple, M.mix(df, targets, shards=5).collect())) == one
+
+
+def test_shards_follow_the_tokens(spark, monkeypatch):
+    df = docs(spark, {"a": 500})
+    targets = spark.createDataFrame([("a", 1.0, 1)], "source string, target_share double, max_repeats int")
+    monkeypatch.setattr(M, "SHARD_TOKENS", 50)
+    got = M.mix(df, targets)
+    assert got.rdd.getNumPartitions() == -(-sum(r.n_tokens for r in M.token_counts(df.filter("lower(source) in ('a', ' a ')")).collect()) // 50) > M.MIN_SHARDS
+
+
 def test_nothing_to_mix(spark):
     df = docs(spark, {"a": 3})
     t = "source string, target_share double, max_repeats int"
