@@ -7,9 +7,10 @@ that language on held-out rows; the distance to the next codeword gives the conf
 ambiguous.  A document's lines are decoded together: changing the language between lines costs SWITCH,
 so a lone short line does not, a passage does.
 
-The classifiers are fitted on a bounded sample of labelled rows (PER_LABEL documents a language and
-LINES_PER_LABEL lines of them); labels are partly wrong, so rows the first fit disagrees with are left out
-of the second.  Everything else covers all rows: one pass without a shuffle.
+The classifiers are fitted on a bounded sample of labelled rows (of about PER_LABEL documents a language the
+LINES_PER_LABEL lines of the smallest hashes, so the same on every run); labels are partly wrong, so rows the
+first fit disagrees with are left out of the second.  A fitted model is kept in the shared folder for
+other queries over the same files.  Everything else covers all rows: one pass without a shuffle.
 
 Edge cases: a null, blank or wordless document has no language (null, confidence 0) and gives no found
 row unless its label is missing, which it cannot correct; texts are taken whole.
@@ -17,6 +18,9 @@ row unless its label is missing, which it cannot correct; texts are taken whole.
 
 from __future__ import annotations
 
+import base64
+import hashlib
+import json
 import re
 import unicodedata
 import zlib
@@ -26,9 +30,11 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from driftline.core.store import ControlFiles, base_dir
+
 # fixed values: two-letter code, three-letter codes and English name of the languages told apart
 LANGUAGES = {
     "de": ("deu", "ger", "german"), "en": ("eng", "english"), "es": ("spa", "spanish"), "fr": ("fra", "fre", "french"), "it": ("ita", "italian"),
@@ -43,6 +49,8 @@ PER_LABEL = 500
 LINES_PER_LABEL = 2000
 MAX_LINE = 1000
 SWITCH = 0.9
+#: What a line of fewer than four words weighs beside longer ones, so that a run of them can still be a segment.
+SHORT = 0.3
 #: Least advantage of several languages over the best single one, in units of decoding loss, for a document to count as mixed.
 MIXED = 0.5
 _WORD = re.compile(r"[^\W\d_]{1,40}")
@@ -113,14 +121,21 @@ class Model:
         return (np.logaddexp(0, z) * self.trust[None, :, :]).sum(axis=2)
 
 
-def _vectors(features: list[np.ndarray]) -> np.ndarray:
-    x = np.zeros((len(features), FEATURES), np.float32)
+def _counts(features: list[np.ndarray]) -> np.ndarray:
+    """Feature counts of texts, a byte each (what is beyond 255 says nothing more)."""
+    x = np.zeros((len(features), FEATURES), np.uint8)
     for row, idx in zip(x, features, strict=True):
-        row += np.bincount(idx, minlength=FEATURES) * np.float32(SCALE / len(idx))
+        row += np.minimum(np.bincount(idx, minlength=FEATURES), 255).astype(np.uint8)
     return x
 
 
-def _fit(features: list[np.ndarray], y: np.ndarray, code: np.ndarray, epochs: int = 8, size: int = 400) -> tuple[np.ndarray, np.ndarray]:
+def _vectors(counts: np.ndarray) -> np.ndarray:
+    x = counts.astype(np.float32)
+    x *= SCALE / np.maximum(1, x.sum(axis=1, keepdims=True))
+    return x
+
+
+def _fit(counts: np.ndarray, y: np.ndarray, code: np.ndarray, epochs: int = 8, size: int = 400) -> tuple[np.ndarray, np.ndarray]:
     """Logistic classifiers of all bits at once, in small batches; each language weighs the same."""
     rng = np.random.default_rng(8)
     weight = len(y) / (len(np.unique(y)) * np.maximum(1, np.bincount(y, minlength=len(code))))
@@ -130,7 +145,7 @@ def _fit(features: list[np.ndarray], y: np.ndarray, code: np.ndarray, epochs: in
         order = rng.permutation(len(y))
         for k in range(0, len(order), size):
             rows = order[k : k + size]
-            x = _vectors([features[i] for i in rows])
+            x = _vectors(counts[rows])
             g = (1 / (1 + np.exp(-(x @ w + b))) - (code[y[rows]] > 0)) * (weight[y[rows]][:, None] / len(rows))
             g = g.astype(np.float32)
             gw = x.T @ g + 2e-5 * w
@@ -141,8 +156,8 @@ def _fit(features: list[np.ndarray], y: np.ndarray, code: np.ndarray, epochs: in
     return w, b
 
 
-def _margins(features: list[np.ndarray], w: np.ndarray, b: np.ndarray) -> np.ndarray:
-    return np.vstack([_vectors(features[k : k + 1000]) @ w + b for k in range(0, len(features), 1000)])
+def _margins(counts: np.ndarray, w: np.ndarray, b: np.ndarray) -> np.ndarray:
+    return np.vstack([_vectors(counts[k : k + 1000]) @ w + b for k in range(0, len(counts), 1000)])
 
 
 def train(rows: list[tuple[str, str]]) -> Model:
@@ -158,13 +173,13 @@ def train(rows: list[tuple[str, str]]) -> Model:
                 y.append(k)
     if not lines:
         raise ValueError("no labelled text to learn from")
-    x, y = [np.concatenate([word_features(w) for w in ws]) for ws in lines], np.array(y)
+    x, y = _counts([np.concatenate([word_features(w) for w in ws]) for ws in lines]), np.array(y)
     held = np.arange(len(y)) % 5 == 0
     keep = ~held
     even = np.full((len(code), BITS), 1 / BITS)
     for _ in range(2):
         own = np.nonzero(keep)[0]
-        w, b = _fit([x[i] for i in own], y[own], code)
+        w, b = _fit(x[own], y[own], code)
         margins = _margins(x, w, b)
         guess = Model(w, b, code, even).loss(margins).argmin(axis=1)
         keep = ~held & (guess == y)
@@ -178,11 +193,12 @@ def train(rows: list[tuple[str, str]]) -> Model:
     return Model(w, b, code, (trust / trust.sum(axis=1, keepdims=True)).astype(np.float32))
 
 
-def training_rows(documents: DataFrame, per_label: int = PER_LABEL) -> list[tuple[str, str]]:
-    """Lines of about ``per_label`` labelled documents a language, the same on every run: the documents of the smallest hashes.
+def training_rows(documents: DataFrame, per_label: int = PER_LABEL, lines_per_label: int = LINES_PER_LABEL) -> list[tuple[str, str]]:
+    """(line, language): lines of about ``per_label`` labelled documents a language, the same on every run.
 
-    The number of documents of a label sets its share of the hash range.  Lines of more than MAX_LINE characters
-    are no training rows; what is collected is bounded by LINES_PER_LABEL rows of that size a language, four times over.
+    The number of documents of a label sets its share of the hash range; of their lines of 12 to MAX_LINE
+    characters and four words the ``lines_per_label`` of the smallest hashes are taken, each language for itself.
+    A task sends no more than that many lines a language.
     """
     labelled = documents.select("doc_id", "text", label_code(F.col("lang")).alias("code")).filter("code IS NOT NULL AND text IS NOT NULL")
     counts = {r.code: r.n for r in labelled.groupBy("code").agg(F.count("*").alias("n")).collect()}
@@ -192,9 +208,31 @@ def training_rows(documents: DataFrame, per_label: int = PER_LABEL) -> list[tupl
     place = F.pmod(F.xxhash64(F.col("doc_id"), F.lit(8)), F.lit(1_000_003)) / F.lit(1_000_003.0)
     picked = labelled.filter(place < share[F.col("code")])
     lines = picked.select("doc_id", "code", F.posexplode(F.split("text", r"\r?\n")).alias("line_no", "line"))
-    lines = lines.filter(F.length(F.trim("line")).between(12, MAX_LINE))
-    rows = lines.limit(4 * LINES_PER_LABEL * len(LANGUAGES)).collect()
-    return [(r.line, r.code) for r in sorted(rows, key=lambda r: (r.doc_id, r.line_no))]
+    lines = lines.filter(F.length(F.trim("line")).between(12, MAX_LINE) & (F.regexp_count("line", F.lit(r"\pL+")) >= 4))
+    by_hash = Window.partitionBy("code").orderBy(F.xxhash64("doc_id", "line_no", F.lit(9)), "doc_id", "line_no", "line")
+    rows = lines.withColumn("_n", F.row_number().over(by_hash)).filter(F.col("_n") <= lines_per_label).select("code", "_n", "line").collect()
+    return [(r.line, r.code) for r in sorted(rows, key=lambda r: (r.code, r._n))]
+
+
+def trained(documents: DataFrame) -> Model:
+    """The model of these documents; fitted once for the files they are read from, and kept in the shared folder."""
+    spark = documents.sparkSession
+    fs_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    seen = []
+    for name in sorted(documents.inputFiles()):
+        path = fs_path(name)
+        status = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getFileStatus(path)
+        seen.append((name, status.getLen(), status.getModificationTime()))
+    if not seen:  # rows that come from no file
+        return train(training_rows(documents))
+    key = hashlib.sha256(repr((seen, PER_LABEL, LINES_PER_LABEL, FEATURES, BITS)).encode()).hexdigest()[:32]
+    files = ControlFiles(spark, f"{base_dir(spark)}/driftline/{spark.sparkContext.applicationId}/language-models")
+    if not files.exists(key):
+        model = train(training_rows(documents))
+        parts = {n: [str(a.dtype), list(a.shape), base64.b64encode(np.ascontiguousarray(a).tobytes()).decode()] for n, a in vars(model).items()}
+        files.create(key, json.dumps(parts))
+    parts = json.loads(files.read(key))
+    return Model(**{n: np.frombuffer(base64.b64decode(raw), dtype=kind).reshape(shape) for n, (kind, shape, raw) in parts.items()})
 
 
 class Decoder:
@@ -241,10 +279,10 @@ class Decoder:
         lines, n, loss = self.lines(text)
         if not n.sum():
             return -1, 0.0, []
-        # a line says more the longer it is, but not without limit; a few words say nothing beside whole sentences
+        # a line says more the longer it is, but not without limit; a few words say little beside whole sentences
         weight = np.minimum(n, 12) / 4.0
         if (n >= 4).any():
-            weight[n < 4] = 0
+            weight[n < 4] *= SHORT
         cost = loss * weight[:, None]
         total = cost.sum(axis=0)
         best = int(total.argmin())
@@ -255,18 +293,17 @@ class Decoder:
             for x, k in zip(lines, path, strict=True):
                 chars[k] = chars.get(k, 0) + len(x)
             main = max(chars, key=lambda k: (chars[k], -k))
-            return main, self._confidence(loss, weight, [main]), [(k, self._sure(cost[i], k)) for i, k in enumerate(path)]
+            own = np.array(path) == main
+            sure = [(k, self._sure(loss[i] * np.minimum(n[i], 12) / 4.0, k)) for i, k in enumerate(path)]
+            return main, self._sure(cost[own].sum(axis=0) * min(1.0, 12 / max(1.0, weight[own].sum())), main), sure
         return best, self._sure(total * min(1.0, 12 / max(1.0, weight.sum())), best), []
 
     @staticmethod
     def _sure(cost: np.ndarray, k: int) -> float:
+        """Confidence in k from its distance to the other codewords: a half each for two that are equally near."""
         p = np.exp(-(cost - cost.min()) * 2)
         return float(p[k] / p.sum())
 
-    def _confidence(self, loss: np.ndarray, weight: np.ndarray, langs: list[int]) -> float:
-        own = loss.argmin(axis=1) == langs[0]
-        return float((weight * own).sum() / max(weight.sum(), 1e-9))
-
     @staticmethod
     def _path(cost: np.ndarray) -> tuple[list[int], float]:
         """The cheapest language per line when a change costs SWITCH, and its cost."""

@@ -31,7 +31,7 @@ def p7_shares(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _model(spark: SparkSession, d: str) -> language.Model:
-    return language.train(language.training_rows(table(spark, d, "documents")))
+    return language.trained(table(spark, d, "documents"))
 
 
 def p8_found(spark: SparkSession, d: str) -> DataFrame:

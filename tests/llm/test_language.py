@@ -76,3 +76,29 @@ def test_held_out_accuracy(model):
             n += 1
             right += L.CODES[d.document(" ".join(ws[at : at + 9]))[0]] == lang
     assert right / n >= 0.95
+
+
+def test_a_run_of_short_lines_is_a_segment_and_lines_have_margins_of_their_own(model):
+    d = L.Decoder(model)
+    short = ["Общий обзор", "Новые задачи", "Важные решения", "Список участников", "Следующие шаги", "Открытые вопросы", "Главные выводы", "Наши планы"]
+    k, sure, lines = d.document("\n".join([*sentences("en"), *short]))
+    assert L.CODES[k] in ("en", "ru") and [L.CODES[i] for i, _ in lines][-8:] == ["ru"] * 8 and lines[0][0] == L.CODES.index("en")
+    assert sure > 0.9 and all(c > 0.7 for _, c in lines)
+
+
+def test_the_sample_is_the_same_however_rows_are_split(spark):
+    rows = [(i, "\n".join(f"{TEXTS[lang][:60]} number {i} line {k}" for k in range(6)), lang) for i, lang in enumerate(L.CODES * 8)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    one = L.training_rows(df.repartition(1), lines_per_label=20)
+    assert one == L.training_rows(df.repartition(7), lines_per_label=20)
+    assert len(one) == 20 * len(L.CODES)
+
+
+def test_the_model_is_kept_for_the_same_files(spark, tmp_path, monkeypatch):
+    rows = [(i, TEXTS[lang], lang) for i, lang in enumerate(L.CODES * 3)]
+    spark.createDataFrame(rows, "doc_id bigint, text string, lang string").write.parquet(f"{tmp_path}/documents.parquet")
+    df = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    first = L.trained(df)
+    monkeypatch.setattr(L, "train", lambda rows: 1 / 0)
+    again = L.trained(df)
+    assert all((getattr(first, n) == getattr(again, n)).all() for n in vars(first))
