@@ -50,7 +50,7 @@ LINES_PER_LABEL = 2000
 MAX_LINE = 1000
 SWITCH = 0.9
 #: What a line of fewer than four words weighs beside longer ones, so that a run of them can still be a segment.
-SHORT = 0.3
+SHORT = 0.5
 #: Least advantage of several languages over the best single one, in units of decoding loss, for a document to count as mixed.
 MIXED = 0.5
 _WORD = re.compile(r"[^\W\d_]{1,40}")
