@@ -16,12 +16,15 @@ from __future__ import annotations
 
 import re
 import unicodedata
-from collections.abc import Iterable, Iterator
+from bisect import bisect_left
+from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from driftline.core.store import cut
+
 KINDS = ("email", "id_number", "phone", "address", "name")
 
 # fixed values: Cyrillic and Greek letters that look like Latin ones
@@ -83,10 +86,12 @@ _ODD = re.compile(f"[{DASHES}{SPACES}{INVISIBLE}！-～\U0001d400-\U0001d7ff’]
 _CHUNK = re.compile(r"\S+")
 _LOOK = re.compile(f"[{''.join(LOOKALIKE)}]")
 _LATIN = re.compile(r"[A-Za-z@0-9]")
-_AT = re.compile(r"\s{0,3}[(\[{<]\s?(?:at|ät|arobase|arroba)\s?[)\]}>]\s{0,3}|(?<=[\w]) {1,2}@ {1,2}(?=[\w-]+(?:\.|\s?[(\[{]))", re.I)
+_AT = re.compile(r"\s{0,3}[(\[{<]\s?(?:at|ät|arobase|arroba)\s?[)\]}>]\s{0,3}|(?<=[\w]) {1,2}@ {1,2}(?=[\w-]+(?:\.| dot |\s?[(\[{]))", re.I)
 _DOT = re.compile(r"\s{0,3}[(\[{<]\s?(?:dot|punkt|point|punto)\s?[)\]}>]\s{0,3}", re.I)
-_BARE = re.compile(r"(?<=[\w]) (at) (?=[\w-]+(?: dot [\w-]+)+)", re.I)
-_BARE_DOT = re.compile(r"(?<=[\w]) (dot) (?=[A-Za-z][\w-]*)", re.I)
+_BARE = re.compile(r"(?<=[\w]) (at) (?=[\w-]+(?: dot [\w-]+)+(?![\w-]| dot | ?@))", re.I)
+#: An address whose parts are joined by points or by the word: all of it, on both sides of the @.
+_CHAIN = re.compile(r"(?<![\w.+-])[\w+-]+(?:(?:\.| dot )[\w+-]+)*@[\w-]+(?:(?:\.| dot )[A-Za-z][\w-]*)+", re.I)
+_BARE_DOT = re.compile(r" dot ", re.I)
 _SPELLED = re.compile(r"\b(?:(?:" + "|".join(sorted(SPELLED, key=len, reverse=True)) + r"|\d)(?:[ ,.-]{1,2}|\b)){6,}", re.I)
 _WORD_DIGIT = re.compile(r"\w+")
 
@@ -119,24 +124,32 @@ def _separators(m: Mapped) -> Mapped:
     m = m.replaced([(x.start(), x.end(), "@") for x in _BARE.finditer(m.text)])
     if "@" in m.text:
         m = m.replaced([(x.start(), x.end(), ".") for x in _DOT.finditer(m.text)])
-        at = m.text.find("@")
-        m = m.replaced([(x.start(), x.end(), ".") for x in _BARE_DOT.finditer(m.text) if x.start() > at and x.start() - m.text.rfind("@", 0, x.start()) < 80])
+        if " dot " in m.text.lower():
+            m = m.replaced([(c.start() + x.start(), c.start() + x.end(), ".") for c in _CHAIN.finditer(m.text) for x in _BARE_DOT.finditer(c[0])])
     return m
 
 
-def _spelled(m: Mapped) -> Mapped:
-    edits = []
+def _spelled(m: Mapped) -> tuple[Mapped, list[tuple[int, int]]]:
+    """Digits that are spelled as words as digits, and where they stand in the new text."""
+    edits, spans, shift = [], [], 0
     for run in _SPELLED.finditer(m.text):
         words = list(_WORD_DIGIT.finditer(run[0]))
         if sum(not w[0].isdigit() for w in words) < 4:
             continue
         end = run.start() + words[-1].end()
-        edits.append((run.start(), end, "".join(SPELLED.get(w[0].lower(), w[0]) for w in words)))
-    return m.replaced(edits)
+        digits = "".join(SPELLED.get(w[0].lower(), w[0]) for w in words)
+        edits.append((run.start(), end, digits))
+        spans.append((run.start() + shift, run.start() + shift + len(digits)))
+        shift += len(digits) - (end - run.start())
+    return m.replaced(edits), spans
 
 
 def normalise(text: str) -> Mapped:
     """The text with disguises undone, and where each character comes from."""
+    return _normalise(text)[0]
+
+
+def _normalise(text: str) -> tuple[Mapped, list[tuple[int, int]]]:
     m = Mapped(text)
     if not text.isascii():
         m = _lookalikes(_characters(m))
@@ -151,6 +164,9 @@ _ID = re.compile(
     + r"|[A-Z]{2} ?\d{2} ?\d{2} ?\d{2}(?: ?[A-Z])?|[A-Z]{2}-\d{3}-\d{4}|\d{2} \d{3} \d{3} \d{3}|[1-9] \d{2} \d{2} \d{2} \d{3} \d{3}(?: \d{2})?)"
     + _R
 )
+_IBAN = re.compile(r"(?<!\w)[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?!\w)")
+#: Further groups of digits behind an identity number that are part of it.
+_TAIL = re.compile(r"(?:[ -]\d{4,6})+(?: \d{2,3})?(?!\w)")
 _ID_WORD = re.compile(
     r"(?:ssn|social security(?: (?:no|number))?|tax (?:no|id|number)|steuer-?id|passport(?: (?:no|number))?|reisepass|personalausweis|dni|nie|nino"
     r"|national (?:id|insurance)(?: (?:no|number))?|driver'?s? licen[cs]e|sécurité sociale)\b[.:# ]{0,3}(?=[A-Z0-9 -]{6,})([A-Z]{0,3}[- ]?\d(?:[ -]?\d){4,14}(?:-?[A-Z])?)(?!\w)",
@@ -192,15 +208,39 @@ _AROUND = re.compile(r"(?:" + _TITLE + r" )?(?:@)?(?:[A-Z]\. ?){0,2}$")
 _LINK = re.compile(r"(?:https?://|www\.)\S+")
 
 
-def _free(taken: list[tuple[int, int]], a: int, b: int) -> bool:
-    return all(b <= x or a >= y for x, y in taken)
+def _is_iban(text: str) -> bool:
+    """Whether the check digits fit."""
+    bare = text.replace(" ", "")
+    return 15 <= len(bare) <= 34 and int("".join(str(int(c, 36)) for c in bare[4:] + bare[:4])) % 97 == 1
+
+
+class _Spans:
+    """Disjoint spans, kept in order, so that a look at one is a binary search."""
+
+    def __init__(self):
+        self.starts: list[int] = []
+        self.ends: list[int] = []
+
+    def free(self, a: int, b: int) -> bool:
+        """Whether the span meets none of them."""
+        k = bisect_left(self.ends, a + 1)
+        return k == len(self.ends) or self.starts[k] >= b
+
+    def add(self, a: int, b: int) -> None:
+        k = bisect_left(self.starts, a)
+        self.starts.insert(k, a)
+        self.ends.insert(k, b)
 
 
 class Detector:
-    """Finds personal information, given the parts of known names (in small letters)."""
+    """Finds personal information, given the parts of known names (in small letters).
+
+    Parts of two letters (Li, Bo) are also words, so they count only where they are written with a capital
+    letter; a single letter is an initial, which belongs to a name beside it.
+    """
 
     def __init__(self, name_parts: Iterable[str]):
-        self.parts = frozenset(p.lower() for p in name_parts)
+        self.parts = frozenset(p.lower() for p in name_parts if len(p.strip(".")) > 1)
         self._seen: dict[str, list[tuple[str, int, int]]] = {}
 
     def find(self, text: str | None) -> list[tuple[str, int, int]]:
@@ -217,22 +257,27 @@ class Detector:
         return known
 
     def _find(self, text: str) -> list[tuple[str, int, int]]:
-        m = normalise(text)
-        t, found, taken = m.text, [], []
+        m, spelled = _normalise(text)
+        t, found, taken = m.text, [], _Spans()
 
         def take(kind: str, a: int, b: int) -> None:
-            if b > a and _free(taken, a, b):
-                taken.append((a, b))
+            if b > a and taken.free(a, b):
+                taken.add(a, b)
                 found.append((kind, a, b))
 
-        links = [(x.start(), x.end()) for x in _LINK.finditer(t)] if "http" in t or "www." in t else []
-        taken += links
+        if "http" in t or "www." in t:
+            for x in _LINK.finditer(t):
+                taken.add(x.start(), x.end())
         if "@" in t:
             for x in _EMAIL.finditer(t):
                 take("email", x.start(), x.end())
         if any(c.isdigit() for c in t):
+            for x in _IBAN.finditer(t):
+                if _is_iban(x[0]):
+                    take("id_number", x.start(), x.end())
             for x in _ID.finditer(t):
-                take("id_number", x.start(), x.end())
+                more = _TAIL.match(t, x.end())
+                take("id_number", x.start(), more.end() if more else x.end())
             for x in _ID_WORD.finditer(t):
                 take("id_number", x.start(1), x.end(1))
             for x in _ADDRESS.finditer(t):
@@ -241,6 +286,9 @@ class Detector:
             for x in _PHONE.finditer(t):
                 if 8 <= sum(c.isdigit() for c in x[0].split("ext")[0]) <= 15:
                     take("phone", x.start(), x.end())
+            for a, b in spelled:  # a number that someone spelled out is one that was to be hidden
+                if 7 <= b - a <= 15:
+                    take("phone", a, b)
         self._names(t, taken, take)
         return sorted(((k, *m.source(a, b)) for k, a, b in found), key=lambda f: f[1])
 
@@ -254,13 +302,13 @@ class Detector:
             b = a + len(t[a : x.start()].rstrip(" ,\n"))
         return b
 
-    def _names(self, t: str, taken: list[tuple[int, int]], take) -> None:
-        words = [(x.start(), x.end()) for x in _NAME_WORD.finditer(t) if x[0].lower() in self.parts]
+    def _names(self, t: str, taken: _Spans, take) -> None:
+        words = [(x.start(), x.end()) for x in _NAME_WORD.finditer(t) if x[0].lower() in self.parts and (len(x[0]) > 2 or x[0][0].isupper())]
         for x in _TITLED.finditer(t):
             words.append((x.start(1), x.end(1) if x[1].lower() in self.parts else x.end()))
         for x in _MENTION.finditer(t):
             words.append((x.start(1), x.end()))
-        words = sorted(w for w in words if _free(taken, *w))
+        words = sorted(w for w in words if taken.free(*w))
         spans: list[list[int]] = []
         for a, b in words:
             # parts of one name are next to each other, or joined by a comma or middle initials
@@ -273,7 +321,7 @@ class Detector:
         for a, b in spans:
             lead = _AROUND.search(t, max(0, a - 20), a)
             # a title or initial that ends another finding stays there
-            take("name", lead.start() if lead and lead.start() < a and _free(taken, lead.start(), b) else a, b)
+            take("name", lead.start() if lead and lead.start() < a and taken.free(lead.start(), b) else a, b)
 
     def redact(self, text: str | None) -> str | None:
         """The text with each finding replaced by a placeholder of its kind, such as ``[PHONE]``."""
@@ -288,22 +336,14 @@ class Detector:
         return "".join([*out, text[at:]])
 
 
-#: More name parts than this are no directory of persons any more; the list goes to every task.
+#: A directory of at most so many name parts goes to every task; the words of the texts are joined with a longer one.
 MAX_NAME_PARTS = 500_000
 
 
-def name_parts(people: DataFrame) -> list[str]:
-    """Distinct name parts of the persons of a directory, in small letters.  Bots and nulls have none.  Bounded by MAX_NAME_PARTS."""
-    parts = (
-        people.filter("kind = 'person' AND full_name IS NOT NULL")
-        .select(F.explode(F.split(F.lower("full_name"), r"[\s,]+")).alias("part"))
-        .filter("length(part) > 2")
-        .distinct()
-    )
-    got = [r.part for r in parts.limit(MAX_NAME_PARTS + 1).collect()]
-    if len(got) > MAX_NAME_PARTS:
-        raise ValueError(f"the directory has more than {MAX_NAME_PARTS} name parts")
-    return got
+def name_parts(people: DataFrame) -> DataFrame:
+    """part: the distinct name parts of the persons of a directory, in small letters, written.  Bots and nulls have none."""
+    parts = people.filter("kind = 'person' AND full_name IS NOT NULL").select(F.explode(F.split(F.lower("full_name"), r"[\s,]+")).alias("part"))
+    return cut(parts.select(F.regexp_replace("part", r"^\.+|\.+$", "").alias("part")).filter("length(part) > 1").distinct(), "name-parts")
 
 
 def _texts(captures: DataFrame) -> DataFrame:
@@ -311,39 +351,58 @@ def _texts(captures: DataFrame) -> DataFrame:
     return captures.select("delivery_no", F.concat(F.array("anchor"), F.coalesce(F.transform("comments", lambda c: c["text"]), F.array().cast("array<string>"))).alias("texts"))
 
 
-def pii_in_captures(captures: DataFrame, parts: list[str]) -> DataFrame:
-    """delivery_no, comment_pos (-1 for the anchor), pii_kind: one row per text and kind found in it.
+def _with_parts(captures: DataFrame, parts: DataFrame) -> tuple[DataFrame, list[str]]:
+    """delivery_no, texts, parts: the texts with the name parts that occur in them, or with none and the whole directory beside it.
 
-    One pass without a shuffle: every text is looked at where it is read.
+    A directory beyond MAX_NAME_PARTS is joined to the words of the texts: nothing of it is sent around as a whole.
     """
+    texts = _texts(captures)
+    if parts.count() <= MAX_NAME_PARTS:
+        return texts.withColumn("parts", F.array().cast("array<string>")), [r.part for r in parts.collect()]
+    texts = cut(texts.withColumn("row", F.monotonically_increasing_id()), "pii-texts")
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        detector = Detector(parts)
         for batch in batches:
-            nos, poss, kinds = [], [], []
-            for no, texts in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                for i, text in enumerate(texts):
-                    for kind in {f[0] for f in detector.find(text)}:
-                        nos.append(no)
-                        poss.append(i - 1)
-                        kinds.append(kind)
-            yield pa.RecordBatch.from_arrays([pa.array(nos, pa.int64()), pa.array(poss, pa.int32()), pa.array(kinds, pa.string())], ["delivery_no", "comment_pos", "pii_kind"])
+            rows, words = [], []
+            for row, each in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                for w in {x[0].lower() for t in each if t for x in _NAME_WORD.finditer(normalise(t).text)}:
+                    rows.append(row)
+                    words.append(w)
+            yield pa.RecordBatch.from_arrays([pa.array(rows, pa.int64()), pa.array(words, pa.string())], ["row", "part"])
 
-    return _texts(captures).mapInArrow(task, "delivery_no bigint, comment_pos int, pii_kind string")
+    known = texts.select("row", "texts").mapInArrow(task, "row bigint, part string").join(parts, "part").groupBy("row").agg(F.collect_set("part").alias("parts"))
+    both = texts.join(known, "row", "left")
+    return both.select("delivery_no", "texts", F.coalesce("parts", F.array().cast("array<string>")).alias("parts")), []
 
 
-def redacted_captures(captures: DataFrame, parts: list[str]) -> DataFrame:
-    """delivery_no, comment_pos, text with placeholders; texts that are null stay null."""
+def _detected(captures: DataFrame, parts: DataFrame, one: Callable[[Detector, str | None], Iterable[str | None]], column: str) -> DataFrame:
+    """delivery_no, comment_pos (-1 for the anchor) and what ``one`` gives for each text."""
+    rows, directory = _with_parts(captures, parts)
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        detector = Detector(parts)
+        shared = Detector(directory)
         for batch in batches:
             nos, poss, out = [], [], []
-            for no, texts in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            for no, texts, own in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                detector = Detector(own) if own else shared
                 for i, text in enumerate(texts):
-                    nos.append(no)
-                    poss.append(i - 1)
-                    out.append(detector.redact(text))
-            yield pa.RecordBatch.from_arrays([pa.array(nos, pa.int64()), pa.array(poss, pa.int32()), pa.array(out, pa.string())], ["delivery_no", "comment_pos", "text"])
+                    for x in one(detector, text):
+                        nos.append(no)
+                        poss.append(i - 1)
+                        out.append(x)
+            yield pa.RecordBatch.from_arrays([pa.array(nos, pa.int64()), pa.array(poss, pa.int32()), pa.array(out, pa.string())], ["delivery_no", "comment_pos", column])
+
+    return rows.mapInArrow(task, f"delivery_no bigint, comment_pos int, {column} string")
 
-    return _texts(captures).mapInArrow(task, "delivery_no bigint, comment_pos int, text string")
+
+def pii_in_captures(captures: DataFrame, parts: DataFrame) -> DataFrame:
+    """delivery_no, comment_pos (-1 for the anchor), pii_kind: one row per text and kind found in it.
+
+    One pass without a shuffle: every text is looked at where it is read (see _with_parts for very long directories).
+    """
+    return _detected(captures, parts, lambda detector, text: sorted({f[0] for f in detector.find(text)}), "pii_kind")
+
+
+def redacted_captures(captures: DataFrame, parts: DataFrame) -> DataFrame:
+    """delivery_no, comment_pos, text with placeholders; texts that are null stay null."""
+    return _detected(captures, parts, lambda detector, text: [detector.redact(text)], "text")
