@@ -11,21 +11,23 @@ from driftline.core.store import cut
 def climb(nodes: DataFrame, goal: DataFrame, depth: int = 5) -> DataFrame:
     """id, ancestor, steps: the nearest ancestor of each node (id, parent) among ``goal`` (id); null if none within ``depth`` steps.
 
-    One join a step over the nodes still on their way; a cycle ends at the depth.
+    Pointers are doubled: after round k a node points to its nearest goal within 2**k steps, or to its
+    ancestor that many steps up, so depth 5 takes three self-joins.  A node's id is unique; a cycle ends at the depth.
     """
     goal = goal.select(F.col("id").alias("_goal")).distinct()
-    up = nodes.select(F.col("id").alias("_id"), F.col("parent").alias("_up"))
-    open_ = nodes.select("id", F.col("parent").alias("at"))
-    done = None
-    for step in range(1, depth + 1):
-        hit = open_.join(goal, open_["at"] == goal["_goal"], "left")
-        here = hit.filter("_goal IS NOT NULL").select("id", F.col("_goal").alias("ancestor"), F.lit(step).alias("steps"))
-        done = here if done is None else done.unionByName(here)
-        left = hit.filter("_goal IS NULL").select("id", "at")
-        if step < depth:
-            open_ = cut(left.filter("at IS NOT NULL").join(up, left["at"] == up["_id"]).select("id", F.col("_up").alias("at")), "climb")
-    none = nodes.select("id").join(done.select("id"), "id", "left_anti").select("id", F.lit(None).cast("string").alias("ancestor"), F.lit(None).cast("int").alias("steps"))
-    return done.unionByName(none)
+    met = nodes.join(goal, nodes["parent"] == goal["_goal"], "left")
+    at = met.select("id", F.col("parent").alias("at"), F.lit(1).alias("steps"), F.col("_goal").isNotNull().alias("hit"))
+    reach = 1
+    while reach < depth:
+        at = cut(at, "climb")
+        up = at.select(F.col("id").alias("_id"), F.col("at").alias("_at"), F.col("steps").alias("_steps"), F.col("hit").alias("_hit"))
+        # what has arrived has nothing to look up
+        on = at.join(up, F.when(~F.col("hit"), F.col("at")) == F.col("_id"), "left")
+        moved = lambda old, new: F.when(F.col("hit"), F.col(old)).otherwise(F.col(new))
+        at = on.select("id", moved("at", "_at").alias("at"), F.when(F.col("hit"), F.col("steps")).otherwise(F.col("steps") + F.col("_steps")).alias("steps"), F.coalesce(moved("hit", "_hit"), F.lit(False)).alias("hit"))
+        reach *= 2
+    there = F.col("hit") & (F.col("steps") <= depth)
+    return at.select("id", F.when(there, F.col("at")).alias("ancestor"), F.when(there, F.col("steps")).alias("steps"))
 
 
 def tree_paths(nodes: DataFrame, key: list[str], order: Column) -> DataFrame:

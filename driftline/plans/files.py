@@ -51,8 +51,14 @@ def md_parse(spark, d):
 
 
 def md_headings(spark, d):
-    """Headings and to-dos found by the parser."""
-    return md_parse(spark, d).filter("type IN ('heading_1', 'heading_2', 'heading_3', 'to_do', 'divider')").groupBy("type").agg(F.count("*").alias("blocks"), F.countDistinct("doc_id").alias("docs"))
+    """Blocks of each type that a document begins with a sign: what the lines say without their text being read."""
+    lines = table(spark, d, "documents").select("doc_id", F.explode(F.split("text", "\n")).alias("line"))
+    t = F.trim("line")
+    kind = (
+        F.when(t.rlike(r"^#( |$)"), "heading_1").when(t.rlike(r"^##( |$)"), "heading_2").when(t.rlike(r"^#{3,6}( |$)"), "heading_3")
+        .when(t.rlike(r"^- \[[ xX]\]( |$)"), "to_do").when(t == "---", "divider").when(t.rlike(r"^-( |$)"), "bulleted_list_item").when(t.rlike(r"^\d+\.( |$)"), "numbered_list_item")
+    )
+    return lines.withColumn("type", kind).filter("type IS NOT NULL").groupBy("type").agg(F.count("*").alias("blocks"), F.countDistinct("doc_id").alias("docs"))
 
 
 def roundtrip(spark, d):
@@ -99,13 +105,13 @@ def link_rewrite(spark, d):
 
 
 def page_document(spark, d):
-    """Title, property table and body of each page with a block tree."""
+    """Title, property table and body of each page with a block tree; only the last fetch of a page in the mirror is rendered."""
     pages = C.in_force(table(spark, d, "pages_metadata"), None, ["title", "parent_type", "url"])
     t = table(spark, d, "block_trees")
     last = t.groupBy(norm_id("page_id").alias("page_id")).agg(F.max(F.struct("fetched_at", "tree_no")).getField("tree_no").alias("tree_no"))
-    body = MD.rendered(t).join(last, "tree_no")
-    both = pages.join(body, "page_id")
-    return sinks.row_documents(both, "page_id", "title", ["parent_type", "url"], F.col("markdown"))
+    wanted = last.join(pages, "page_id")
+    body = MD.rendered(t.join(wanted.select("tree_no"), "tree_no", "left_semi"))
+    return sinks.row_documents(wanted.join(body, "tree_no"), "page_id", "title", ["parent_type", "url"], F.col("markdown"))
 
 
 def schema_rows(spark, d):
@@ -189,7 +195,11 @@ ORACLES = {
       coalesce(nullif(last_edited_by, ''), id) AS editor, CASE WHEN has_cover THEN 'true' ELSE 'false' END AS cover, coalesce(url, '') AS url, coalesce(parent_id, '') AS parent,
       concat_ws(', ', parent_type, icon) AS tags, 'REC-' || delivery_no AS no, coalesce(nullif(created_by, ''), id) AS author, CASE WHEN has_cover THEN 'True' WHEN NOT has_cover THEN 'False' ELSE 'None' END AS sum FROM pages_metadata""",
     "table_render": """SELECT '| parent | archived | live |' || chr(10) || '|---|---|---|' || chr(10) || string_agg(l, chr(10) ORDER BY l) AS markdown FROM (
-      SELECT concat('| ', parent_type, ' | ', count(*) FILTER (archived), ' | ', count(*) FILTER (NOT archived), ' |') AS l FROM pages_metadata GROUP BY parent_type)""",
+      SELECT concat('| ', parent_type, ' | ', count(*) FILTER (coalesce(archived, false)), ' | ', count(*) FILTER (NOT coalesce(archived, false)), ' |') AS l FROM pages_metadata GROUP BY parent_type)""",
+    "md_headings": r"""WITH l AS (SELECT doc_id, trim(l, ' ') AS t FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS l FROM documents)),
+      k AS (SELECT doc_id, CASE WHEN regexp_matches(t, '^#( |$)') THEN 'heading_1' WHEN regexp_matches(t, '^##( |$)') THEN 'heading_2' WHEN regexp_matches(t, '^#{3,6}( |$)') THEN 'heading_3'
+        WHEN regexp_matches(t, '^- \[[ xX]\]( |$)') THEN 'to_do' WHEN t = '---' THEN 'divider' WHEN regexp_matches(t, '^-( |$)') THEN 'bulleted_list_item' WHEN regexp_matches(t, '^\d+\.( |$)') THEN 'numbered_list_item' END AS type FROM l)
+      SELECT type, count(*) AS blocks, count(DISTINCT doc_id) AS docs FROM k WHERE type IS NOT NULL GROUP BY 1""",
     "text_scalars": f"""SELECT doc_id, left(regexp_replace(regexp_replace(lower({_FIRST}), '[^a-z0-9]+', '-', 'g'), '^-+|-+$', '', 'g'), 50) AS slug, replace(replace({_FIRST}, chr(13), ''), '|', '\\|') AS cell,
       regexp_matches({_FIRST}, '^\\s*(?:#{{1,6}} |[-*+] |\\d+[.)] |>|```|\\||---\\s*$|\\$\\$)') AS starts, regexp_replace({_FIRST}, '([\\\\`*_\\[\\]<>~])', '\\\\\\1', 'g') AS escaped, true AS same,
       length(regexp_replace(text, '\\d{{4}}-\\d{{2}}-\\d{{2}}(?:[T ]\\d{{2}}:\\d{{2}}(?::\\d{{2}}(?:\\.\\d+)?)?(?:Z|[+-]\\d{{2}}:?\\d{{2}})?)?', '<stamp>', 'g')) AS masked_len,
@@ -197,8 +207,10 @@ ORACLES = {
     "plain_runs": """SELECT delivery_no, pos, array_to_string([x.plain_text for x in c.rich_text], '') = c.text AS agrees, len(c.rich_text) AS runs FROM (
       SELECT delivery_no, unnest(comments) AS c, generate_subscripts(comments, 1) - 1 AS pos FROM webhook_captures) WHERE c.rich_text IS NOT NULL""",
     "url_clean": "SELECT delivery_no, concat(url, '?v=', delivery_no, '&p=2#top') AS url FROM pages_metadata WHERE url IS NOT NULL",
-    "link_rewrite": f"""WITH {_FORCE}, l AS (SELECT block_no, {_ID.format("json_extract_string(payload, '$.page_id')")} AS t FROM blocks WHERE block_type = 'link_to_page')
-      SELECT block_no, CASE WHEN page_id IS NULL THEN t ELSE concat('workspace/', {_NAME.format("r.title")}, ' ', t, '.md') END AS link FROM l LEFT JOIN n ON n.page_id = l.t WHERE t IS NOT NULL""",
+    "link_rewrite": f"""WITH {_FORCE}, l AS (SELECT block_no, coalesce({", ".join(f"nullif({_ID.format(f'json_extract_string(payload, {chr(39)}$.{k}{chr(39)})')}, '')" for k in ("page_id", "database_id", "comment_id"))}) AS t
+      FROM blocks WHERE block_type = 'link_to_page'), dbs AS (SELECT {_ID.format("db_id")} AS id, min({_NAME.format("title")}) AS name FROM databases WHERE deleted_at IS NULL GROUP BY 1)
+      SELECT block_no, CASE WHEN dbs.id IS NOT NULL THEN concat('workspace/_databases/', dbs.name, ' ', t) WHEN page_id IS NOT NULL THEN concat('workspace/', {_NAME.format("r.title")}, ' ', t, '.md') ELSE t END AS link
+      FROM l LEFT JOIN dbs ON dbs.id = l.t LEFT JOIN n ON n.page_id = l.t WHERE t IS NOT NULL""",
     "schema_rows": " UNION ALL ".join(f"SELECT '{t}' AS table_name, row_number() OVER () - 1 AS pos, column_name FROM (DESCRIBE SELECT * FROM {t})" for t in ("pages_metadata", "blocks", "databases", "documents")),
     "csv_roundtrip": "SELECT '' AS _row_id, '' AS text, '' AS source, '' AS side WHERE false",
     "jsonl_last_wins": f"""SELECT id, max(line_no) AS line_no, arg_max({{'t': title}}, line_no).t AS title, min(line_no) AS first_line FROM (SELECT {_ID.format("id")} AS id, delivery_no AS line_no, title FROM pages_metadata) GROUP BY 1""",

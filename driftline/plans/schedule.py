@@ -115,7 +115,9 @@ def _blocks(spark, d):
 
 
 def tree_order(spark, d):
-    return T.tree_paths(_blocks(spark, d), ["page_id"], F.concat_ws(".", F.lpad(F.coalesce(F.col("pos"), F.lit(0)).cast("string"), 6, "0"), F.col("id"))).select("page_id", "id", "level", "path")
+    """Blocks in depth-first order of their page; any position, also a negative one, keeps its order as text."""
+    pos = F.lpad((F.coalesce(F.col("pos"), F.lit(0)).cast("bigint") + F.lit(2**31)).cast("string"), 10, "0")
+    return T.tree_paths(_blocks(spark, d), ["page_id"], F.concat_ws(".", pos, F.col("id"))).select("page_id", "id", "level", "path")
 
 
 def ownership(spark, d):
@@ -167,8 +169,8 @@ def _climb_sql(name: str) -> str:
 
 _GOAL = f"goal AS (SELECT DISTINCT {_ID.format('db_id')} AS id FROM databases)"
 _TREE = f"""b AS (SELECT page_id, id, f.parent, f.pos FROM (SELECT page_id, {_ID.format("block_id")} AS id, arg_min({{'parent': {_ID.format("parent_id")}, 'pos': pos}}, block_no) AS f FROM blocks WHERE block_id IS NOT NULL GROUP BY 1, 2)),
-  o AS (SELECT *, concat(lpad(CAST(coalesce(pos, 0) AS VARCHAR), 6, '0'), '.', id) AS k FROM b),
-  t AS (SELECT page_id, id, 0 AS level, k AS path FROM o WHERE parent IS NULL UNION ALL SELECT o.page_id, o.id, level + 1, t.path || '/' || o.k FROM t JOIN o ON o.page_id = t.page_id AND o.parent = t.id WHERE level < 6)"""
+  o AS (SELECT *, concat(lpad(CAST(coalesce(CAST(pos AS BIGINT), 0) + 2147483648 AS VARCHAR), 10, '0'), '.', id) AS k FROM b),
+  t AS (SELECT page_id, id, 0 AS level, k AS path FROM o WHERE parent IS NULL UNION ALL SELECT o.page_id, o.id, level + 1, t.path || '/' || o.k FROM t JOIN o ON o.page_id = t.page_id AND o.parent = t.id)"""
 ORACLES = {
     "audit_share": f"""WITH {_POP} SELECT page_id, pos FROM (SELECT page_id, row_number() OVER (ORDER BY last NULLS FIRST, page_id) - 1 AS pos, count(*) OVER () AS n FROM pop) WHERE pos < ceil(n / 30.0)""",
     "legacy_first": f"""WITH {_POP}, l AS (SELECT page_id FROM pop WHERE page_id IN (SELECT {_ID.format("page_id")} FROM (SELECT page_id, unnest(comments) AS c FROM webhook_captures) WHERE c.id IS NULL) ORDER BY page_id LIMIT 20)
@@ -194,7 +196,8 @@ ORACLES = {
     "ownership": f"WITH RECURSIVE {_TREE} SELECT EXISTS (SELECT 1 FROM t WHERE t.page_id = b.page_id AND t.id = b.id) AS owned, count(*) AS blocks FROM b GROUP BY 1",
     "nesting_depth": f"WITH RECURSIVE {_TREE} SELECT page_id, max(level) AS depth, count(*) AS blocks FROM t GROUP BY 1",
     "reference_closure": f"""WITH RECURSIVE {force_sql("n")}, e AS (SELECT {_ID.format("parent_id")} AS src, page_id AS dst FROM n UNION SELECT {_ID.format("page_id")}, {_ID.format("json_extract_string(payload, '$.page_id')")} FROM blocks WHERE block_type = 'link_to_page'),
-      r AS (SELECT page_id AS id, 0 AS level FROM n WHERE parent_type = 'workspace' UNION SELECT e.dst, level + 1 FROM r JOIN e ON e.src = r.id WHERE level < 6 AND e.dst IS NOT NULL) SELECT id, min(level) AS level FROM r GROUP BY 1""",
+      r(id, level) USING KEY (id) AS (SELECT page_id, 0 FROM n WHERE parent_type = 'workspace' UNION SELECT e.dst, min(r.level) + 1 FROM r JOIN e ON e.src = r.id
+        WHERE e.dst IS NOT NULL AND NOT EXISTS (SELECT 1 FROM recurring.r AS x WHERE x.id = e.dst) GROUP BY 1) SELECT id, level FROM r""",
     "tree_overview": f"""WITH {force_sql("n")}, c AS (SELECT parent_type, {_ID.format("parent_id")} AS parent, count(*) AS pages FROM n GROUP BY ALL)
       SELECT parent_type, parent, pages, rn, greatest(k - 20, 0) AS more FROM (SELECT *, row_number() OVER (PARTITION BY parent_type ORDER BY pages DESC, parent) AS rn, count(*) OVER (PARTITION BY parent_type) AS k FROM c) WHERE rn <= 20""",
 }

@@ -9,7 +9,6 @@ from driftline.core.store import work_dir
 from driftline.functions import cells
 from driftline.functions import text as X
 from driftline.operators import changes as C
-from driftline.operators import markdown as MD
 from driftline.operators import quality as Q
 from driftline.operators import schedule as S
 from driftline.operators import tree as T
@@ -91,56 +90,6 @@ def test_reach_has_no_last_level(spark):
     assert got == {f"n{i}": i for i in range(21)}
 
 
-def test_inline_markdown_round_trip():
-    for seed in range(400):
-        r = random.Random(seed)
-        runs = []
-        for _ in range(r.randint(1, 5)):
-            a = {m: True for m in MD.MARKS if r.random() < 0.3}
-            if r.random() < 0.15:
-                a["code"] = True
-            x = {"type": "text", "plain_text": "".join(r.choice("ab *_~`[]()$\\<>|#-é1") for _ in range(r.randint(1, 6))), "annotations": a}
-            if r.random() < 0.2:
-                x["href"] = "https://x.example/a(b) c"
-            runs.append(x)
-        text = MD.inline(runs)
-        back = MD.parse_inline(text)
-        assert "".join(b["plain_text"] for b in back) == "".join(x["plain_text"] for x in runs), (seed, text)
-        assert MD.normal(MD.parse_inline(MD.inline(back))) == MD.normal(back)
-    styled = [{"type": "text", "plain_text": "bold ", "annotations": {"bold": True}}, {"type": "text", "plain_text": "both", "annotations": {"bold": True, "italic": True}}, {"type": "equation", "equation": {"expression": "x_1"}}]
-    assert MD.inline(styled) == "**bold _both_**$x\\_1$" or MD.normal(MD.parse_inline(MD.inline(styled))) == MD.normal(styled)
-
-
-def _t(s, **a):
-    return [{"type": "text", "plain_text": s, "annotations": a}]
-
-
-@pytest.mark.parametrize(
-    ("kind", "payload", "want"),
-    [
-        ("heading_2", {"rich_text": _t("T")}, "## T"), ("to_do", {"rich_text": _t("x"), "checked": True}, "- [x] x"), ("toggle", {"rich_text": _t("x")}, "- ▸ x"),
-        ("callout", {"rich_text": _t("x"), "icon": {"emoji": "🔥"}}, "> 🔥 x"), ("divider", {}, "---"), ("equation", {"expression": "x"}, "$$\nx\n$$"),
-        ("code", {"rich_text": _t("a\nb"), "language": "sql"}, "```sql\na\nb\n```"), ("image", {"external": {"url": "u"}, "caption": _t("c")}, "![c](u)"),
-        ("pdf", {"type": "file", "file": {"url": "u"}}, "![](ATTACH:u)"), ("bookmark", {"url": "u"}, "- 🔖 [u](u)"), ("child_page", {"title": "P"}, "- 📄 **P** — sub-page `ab`"),
-        ("child_database", {"title": "D"}, "- 🗄️ **D** — database `ab`"), ("link_to_page", {"page_id": "a-b"}, "- 🔗 link to `ab`"), ("template", {"rich_text": _t("x")}, "- 🧩 (template: x)"),
-        ("numbered_list_item", {"rich_text": _t("x")}, "1. x"), ("quote", {"rich_text": _t("x")}, "> x"), ("breadcrumb", {}, ""), ("strange", {}, "<!-- unsupported block: strange -->"),
-        ("table", {"children": [{"type": "table_row", "table_row": {"cells": [_t("a"), _t("b")]}}, {"type": "table_row", "table_row": {"cells": [_t("c|")]}}]}, "| a | b |\n|---|---|\n| c\\| |  |"),
-    ],
-)
-def test_block_types(kind, payload, want):
-    assert MD.render({"blocks": [{"id": "a-b", "type": kind, kind: payload}]}) == want
-
-
-def test_nesting_and_parsing():
-    rec = {"blocks": [{"id": "1", "type": "bulleted_list_item", "bulleted_list_item": {"rich_text": _t("a")}}, {"id": "9", "type": "quote", "quote": {"rich_text": _t("q")}}], "children": {"1": [{"id": "2", "type": "to_do", "to_do": {"rich_text": _t("b")}}], "9": [{"id": "3", "type": "paragraph", "paragraph": {"rich_text": _t("c")}}], "2": [{"id": "1", "type": "divider", "divider": {}}]}}
-    text = MD.render(rec)
-    assert text == "- a\n  - [ ] b\n> q\n>\n> c"
-    got = [(b["type"], b["parent"]) for b in MD.parse_blocks("# T\n\n- a\n  - [x] b\n    1. c\n- d\n```py\n# no\n```\n| a | b |\n|---|---|\n| c | d |\n> 🔥 e\n---\n$$\nx\n$$\n```open")]
-    assert got == [("heading_1", -1), ("bulleted_list_item", -1), ("to_do", 1), ("numbered_list_item", 2), ("bulleted_list_item", -1), ("code", -1), ("table", -1), ("callout", -1), ("divider", -1), ("equation", -1), ("paragraph", -1)]
-    assert [t[0] for t in MD.merge_runs([("a" * 3, "s"), ("b" * 3, "s"), ("c" * 9, "t")], 5)] == ["aaa", "bbb", "ccccc", "cccc"]
-    assert MD.split_icon("🔥 hot") == ("🔥", "hot") and MD.split_icon("plain") == ("", "plain")
-
-
 def test_cells(spark):
     want = {
         '{"type":"number","number":5.0}': "5.0", '{"type":"number","number":null}': "", '{"type":"title","title":[{"plain_text":"a"},{"plain_text":"b"}]}': "ab", '{"type":"rich_text","rich_text":"odd"}': "",
@@ -254,19 +203,6 @@ def test_streamed_throttle_and_queue(spark):
     assert {r.queue for r in spark.read.parquet(root + "/q/batch=0").collect()} == {"comments", "unrouted"}
 
 
-def test_standins_links_and_trimming():
-    i = "a" * 32
-    line = lambda s, n=False: (lambda r: r and (r["type"], r["state"]))(MD.standin(s, n))
-    assert line(f"- 📄 **T** — sub-page `{i}`") == ("child_page", "kept") and line(f"- 🗄️ **D** — database `{i}`", True) == ("child_database", "refused")
-    assert line(f"- 🔗 link to `{i}`", True) == ("link_to_page", "rebuilt") and line("- 🔗 link to `short`") == ("link_to_page", "refused")
-    assert line("- 🔖 [x](https://h/p)") == ("bookmark", "rebuilt") and line("- 🔖 [x](ftp)") == ("bookmark", "refused") and line("- plain") is None
-    assert [b["type"] for b in MD.parse_blocks(f"- 🔗 link to `{i}`\n- a")] == ["link_to_page", "bulleted_list_item"]
-    runs = MD.promote_links([{"type": "text", "plain_text": "see https://h/a"}, {"type": "text", "plain_text": f"b and {i}."}, {"type": "text", "plain_text": "x", "href": "u"}])
-    assert [r["plain_text"] for r in runs] == ["see ", "https://h/ab", " and ", i, ".", "x"]
-    assert MD.trim_payload({"a": ["xyz", ["1", "2", "3"]], "b": 5}, 2, 2) == {"a": ["xy", ["1", "2"]], "b": 5}
-    assert MD.table_width({"blocks": [{"table_row": {"cells": [1, 2, 3]}}, {"table_row": None}]}) == 3
-
-
 def test_paged_restart_and_batches():
     calls = []
 
