@@ -42,7 +42,8 @@ def test_twins_without_id_and_deletions(spark):
     stored = [(None, "h", "same  text", done), (None, "h", "alone", None)]
     caps = [cap(1, "a", "same text", AFTER), cap(2, None, "alone", AFTER), cap(3, None, "nowhere", AFTER)]
     got = fold(spark, stored, caps, deletions=[("a", dt.date(2026, 9, 1)), ("z", dt.date(2026, 9, 1))])
-    assert got == sorted([("a", "h", "same  text", done), (None, "h", "alone", None), (None, "h", "nowhere", None)], key=str)
+    # a newer capture opens its twin again; the deletion closes it on its own day
+    assert got == sorted([("a", "h", "same text", dt.date(2026, 9, 1)), (None, "h", "alone", None), (None, "h", "nowhere", None)], key=str)
     gone = fold(spark, [("a", "h", "t", None)], [cap(1, "a", "t", AFTER)], deletions=[("a", dt.date(2026, 9, 2)), ("a", dt.date(2026, 9, 1))])
     assert gone == [("a", "h", "t", dt.date(2026, 9, 1))]
 
@@ -71,9 +72,59 @@ def test_consuming_join_uses_each_row_once(spark):
 
 
 def test_fuzzy_pairs_match_mentions_of_up_to_four_words(spark):
-    legacy = spark.createDataFrame([("u", 1, "thanks Ann B. Lee for it"), ("u", 2, "thanks for it"), ("u", 3, "thanks Ann Lee for it"), ("w", 4, "thanks Ann Lee for it"), ("u", 9, "hi a b c d e bye")], "who string, no int, text string")
-    ided = spark.createDataFrame([("u", 10, "thanks @Ann Lee for it"), ("u", 11, "hi @Bo bye"), ("w", 12, "other @Ann text")], "who string, no int, text string")
-    assert {(r.legacy_no, r.ided_no) for r in M.fuzzy_pairs(legacy, ided, ["who"]).collect()} == {(1, 10)}
+    ddl = "who string, no int, text string, anchor string"
+    legacy = spark.createDataFrame([("u", 1, "thanks Ann B. Lee for it", None), ("u", 2, "thanks for it", None), ("u", 3, "Thanks, Ann Lee for it", None), ("w", 4, "thanks Ann Lee for it", None), ("u", 9, "hi a b c d e bye", None), ("u", 5, "see [doc](http://x) now please", "A")], ddl)
+    ided = spark.createDataFrame([("u", 10, "thanks @Ann for it", None), ("u", 11, "hi @Bo bye", None), ("w", 12, "other @Ann text", None), ("u", 13, "see The Doc now please", "B")], ddl)
+    # one partner, so the smallest legacy row gets it; a link of the older text stands for words of the newer
+    assert {(r.legacy_no, r.ided_no) for r in M.fuzzy_pairs(legacy, ided, ["who"]).collect()} == {(1, 10), (5, 13)}
+
+
+def test_fuzzy_pairs_are_one_to_one_and_leave_no_free_partner(spark):
+    ddl = "who string, no int, text string, anchor string"
+    legacy = spark.createDataFrame([("u", k, "we met Ann Lee today", None) for k in (1, 2, 3)] + [("u", 4, "we met Bo today", None), ("u", 7, "done", "Plan"), ("u", 8, "done", "Other"), ("u", 9, "done", None)], ddl)
+    ided = spark.createDataFrame([("u", k, "we met @Ann today", None) for k in (10, 11)] + [("u", 12, "We met @Bo today!", None), ("u", 13, "we met Ann Lee today", None), ("u", 20, "done", " plan "), ("u", 21, "done", None)], ddl)
+    got = {(r.legacy_no, r.ided_no) for r in M.fuzzy_pairs(legacy, ided, ["who"]).collect()}
+    # row 4 could have had 12, which 3 as the smaller got; 13 is free, but its words are not those of 4
+    assert got == {(1, 10), (2, 11), (3, 12), (7, 20)}
+    assert M.fuzzy_pairs(legacy.limit(0), ided, ["who"]).count() == 0
+
+
+def test_fold_truth_table(spark):
+    day = lambda d: dt.date(2026, 9, d)
+    at = lambda d: dt.datetime(2026, 9, d)
+    store = spark.createDataFrame(
+        [("same", "h", "old", None), ("edit", "h", "old", None), ("plain", "h", "old", None), ("shut", "h", "old", day(1)), ("late", "h", "old", None), ("noscan", "g", "old", None), ("far", "h", "old", None),
+         (None, "h", "twin new", day(2)), (None, "h", "twin old", day(3)), (None, "h", "lone", None), ("del", "h", "x", None), ("del2", "h", "x", day(4)), (None, "h", "spoken", None)],
+        "cid string, home string, text string, resolved_on date",
+    )
+    row = lambda no, cid, home, text, t, rich=True: (no, 0, home, t, None, cid, None, text, "a", rich, False, "2026-09-01")
+    caps = spark.createDataFrame(
+        [row(1, "same", "h", "old", at(20)), row(2, "edit", "h", "new", at(20)), row(3, "plain", "h", "new", at(20), False), row(4, "shut", "h", "new", at(20)), row(5, "late", "h", "new", at(5)),
+         row(6, "noscan", "g", "new", at(20)), row(7, "far", "g", "new", at(20)), row(8, "a1", "h", "fresh", at(20)), row(9, "a2", "h", "fresh", at(5)), row(10, "a3", "h", "fresh", None), row(11, "a4", "g", "fresh", at(1)),
+         row(12, "a5", "g", "fresh", None), row(13, "t1", "h", "twin new", at(20)), row(14, "t2", "h", "twin old", at(5)), row(15, None, "h", "spoken", at(20)), row(16, None, "h", "unspoken", at(20)), row(17, "out", "nowhere", "x", at(20)),
+         row(18, "two", "g", "x", None), row(19, "two", "h", "x", at(20))],
+        "delivery_no bigint, pos int, home string, at timestamp, anchor string, cid string, thread string, text string, author string, has_rich boolean, resolved boolean, created string",
+    )
+    scans = spark.createDataFrame([("h", at(10))], "home string, scan_at timestamp")
+    gone = spark.createDataFrame([("del", day(12)), ("del2", day(12))], "cid string, day date")
+    homes = spark.createDataFrame([("h",), ("g",)], "home string")
+    out = M.fold_captures(store, caps, scans, "2026-09-24", gone, homes)
+    got = {(r.cid, r.home, r.text): r.resolved_on for r in out.collect()}
+    assert got == {
+        ("same", "h", "old"): None, ("edit", "h", "new"): None, ("plain", "h", "old"): None, ("shut", "h", "old"): day(1), ("late", "h", "old"): None, ("noscan", "g", "old"): None, ("far", "h", "old"): None,
+        ("a1", "h", "fresh"): None, ("a2", "h", "fresh"): day(10), ("a3", "h", "fresh"): day(10), ("a4", "g", "fresh"): None, ("a5", "g", "fresh"): day(24), ("t1", "h", "twin new"): None, ("t2", "h", "twin old"): day(3),
+        (None, "h", "lone"): None, ("del", "h", "x"): day(12), ("del2", "h", "x"): day(4), (None, "h", "spoken"): None, (None, "h", "unspoken"): None, ("two", "h", "x"): None,
+    }
+    again = M.fold_captures(out, caps, scans, "2026-09-25", gone, homes)
+    assert sorted(map(str, again.collect())) == sorted(map(str, out.collect()))
+
+
+def test_ids_come_from_sources_once_each(spark):
+    b = spark.createDataFrame([(1, 0, "h", "Ann", "d", "k"), (2, 0, "h", None, "d", "k"), (3, 0, "h", "Ann", "d", "k"), (4, 0, "h", "Bo", "e", "z"), (5, 0, "g", "Ann", "d", "k")], "delivery_no bigint, pos int, home string, author string, day string, key string")
+    s = spark.createDataFrame([("c1", "capture", 0, "h", "Ann", "d", "k"), ("c2", "backfill", 1, "h", "Ann", "d", "k"), ("c3", "capture", 0, "h", "Cy", "d", "k")], "cid string, src string, rank int, home string, author string, day string, key string")
+    got = {r.delivery_no: (r.cid, r.src, r.level) for r in M.stamp_ids(b, s).collect()}
+    assert got == {1: ("c1", "capture", 0), 3: ("c2", "backfill", 0), 2: ("c3", "capture", 1), 4: (None, "legacy", None), 5: (None, "legacy", None)}
+    assert {r.src: r.bullets for r in M.id_tally(M.stamp_ids(b, s)).collect()} == {"capture": 2, "backfill": 1, "legacy": 2}
 
 
 def test_threads_and_bullets(spark):
