@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from driftline.core.scan import bucket_folds, time_buckets
+
 
 def spread(carriers: DataFrame, key: str, holder: str) -> DataFrame:
     """key, holders: on how many distinct holders a key occurs.
@@ -50,8 +52,8 @@ def census(refs: DataFrame, absent: DataFrame) -> DataFrame:
     return a.join(b, "kind", "left").na.fill(0, ["absent", "occurrences"])
 
 
-#: Reasons an exclusion may have; ``deliberate`` ones also need a note.
-REASONS = ("no_access", "not_a_db", "deliberate", "deleted")
+# fixed values: reasons an exclusion may have; ``deliberate`` ones also need a note
+REASONS = ("deleted", "archived", "not_a_db", "db404", "no_access", "deliberate")
 
 
 def checked_exclusions(exclusions: DataFrame) -> DataFrame:
@@ -82,11 +84,25 @@ def probe_policy(rows: DataFrame, key: str, enriched: Column, least: int = 300,
     return t.withColumn("mode", F.when((F.col("total") >= least) & (F.col("rich") * 100 < F.col("total") * pct), "some").otherwise("all"))
 
 
-def gap_stats(events: DataFrame, key: str, at_us: str, order: list[str]) -> DataFrame:
-    """key, n, max_gap_us: the longest silence between consecutive events."""
-    w = Window.partitionBy(key).orderBy(*order)
-    gaps = events.withColumn("gap", F.col(at_us) - F.lag(at_us).over(w))
-    return gaps.groupBy(key).agg(F.count("*").alias("n"), F.max("gap").alias("max_gap_us"))
+def gap_stats(events: DataFrame, key: str, at_us: str) -> DataFrame:
+    """key, n, max_gap_us, last_us: the longest silence between consecutive events, and the last event.  Events without a time are counted only.
+
+    A key is cut into hours.  The longest silence within hours comes from a window over each, that between
+    hours from the first and last event of each, so no task sorts all events of a key.
+    """
+    rows, _, refined = time_buckets(events.filter(F.col(at_us).isNotNull()).select(key, F.col(at_us).alias("_us")).distinct(), key, "_us")
+    inside = Window.partitionBy(key, "bucket").orderBy("_us")
+    within = rows.withColumn("_gap", F.col("_us") - F.lag("_us").over(inside)).groupBy(key).agg(F.max("_gap").alias("_g"))
+    ends = bucket_folds(rows, key, {"first": F.min("_us"), "last": F.max("_us")}, {"first": F.min, "last": F.max}, refined)
+    between = ends.groupBy(key).agg(F.max(F.col("first") - F.col("before_last")).alias("_h"), F.max("last").alias("last_us"))
+    n = events.groupBy(key).agg(F.count("*").alias("n"))
+    return n.join(within, key, "left").join(between, key, "left").select(key, "n", F.greatest("_g", "_h").alias("max_gap_us"), "last_us")
+
+
+def silent(events: DataFrame, key: str, at_us: str, now_us: int, most_us: int) -> DataFrame:
+    """key, silence_us of the keys that nothing was heard of for longer than they were ever silent before, and ``most_us`` at least."""
+    g = gap_stats(events, key, at_us).withColumn("silence_us", F.lit(now_us) - F.col("last_us"))
+    return g.filter((F.col("silence_us") >= most_us) & (F.col("max_gap_us").isNull() | (F.col("silence_us") > F.col("max_gap_us")))).select(key, "silence_us")
 
 
 def several_homes(holders: DataFrame, key: str, home: str) -> DataFrame:

@@ -68,3 +68,40 @@ def islands(events: DataFrame, key: str, kind: str, order: list[str]) -> DataFra
     start = F.when(F.lag(kind).over(w).eqNullSafe(F.col(kind)) & (F.row_number().over(w) > 1), 0).otherwise(1)
     marked = events.withColumn("_s", start).withColumn("island", F.sum("_s").over(w.rowsBetween(Window.unboundedPreceding, 0)))
     return marked.groupBy(key, kind, "island").agg(F.count("*").alias("n"))
+
+
+def head_of_line(events: DataFrame, order: str, limit: int) -> DataFrame:
+    """Events of a log (order unique; outcome ok, permanent or transient; tries before this one) with the ``verdict`` of this tick.
+
+    A transient failure that was tried fewer than ``limit`` times holds the line: it stays where it is (``held``) and
+    everything behind it waits.  Before it, ok is done, a permanent failure is skipped, and a transient one that has been tried often enough is abandoned.
+    """
+    holds = (F.col("outcome") == "transient") & (F.col("tries") + 1 < limit)
+    at = events.filter(holds).agg(F.min(order)).first()[0]
+    ends = F.when(F.col("outcome") == "ok", "done").when(F.col("outcome") == "permanent", "skipped").otherwise("abandoned")
+    if at is None:
+        return events.withColumn("verdict", ends)
+    return events.withColumn("verdict", F.when(F.col(order) > F.lit(at), "waiting").when(F.col(order) == F.lit(at), "held").otherwise(ends))
+
+
+def drain(left: DataFrame, live: DataFrame, readable: DataFrame) -> DataFrame:
+    """key, turn, asked, outcome: each key of a queue once, those that a crashed drain left over (key, no) first, in order of first request.
+
+    Keys that cannot be read (absent from ``readable``) are dropped; requests without a key ask for nothing.
+    """
+    both = left.select("key", "no", F.lit(0).alias("rank")).unionByName(live.select("key", "no", F.lit(1).alias("rank"))).filter("key IS NOT NULL")
+    first = both.groupBy("key").agg(F.min(F.struct("rank", "no")).alias("_first"), F.count("*").alias("asked"))
+    at = positions(first.select("key", "asked", F.col("_first.rank").alias("rank"), F.col("_first.no").alias("no")), [F.col("rank"), F.col("no"), F.col("key")], "turn")
+    found = at.join(readable.select("key").distinct().withColumn("_there", F.lit(True)), "key", "left")
+    return found.select("key", "turn", "asked", F.when(F.col("_there"), "done").otherwise("dropped").alias("outcome"))
+
+
+def last_events(events: DataFrame, key: str, at: str, event: str) -> DataFrame:
+    """key, event, seeds: the latest event of each key (of several at one time the last by name) and what it seeds."""
+    last = events.groupBy(key).agg(F.max(F.struct(at, event)).getField(event).alias(event))
+    return last.withColumn("seeds", F.when(F.col(event) == "deleted", "strike").otherwise("discovery"))
+
+
+def due_slice(items: DataFrame, settled: DataFrame, key: list[str], order: list[Column], n: int) -> DataFrame:
+    """The next ``n`` items in ``order`` that are not settled, for a run with a budget; the next run takes up where this one's settled items end."""
+    return items.join(settled.select(*key), key, "left_anti").orderBy(*order).limit(n)

@@ -120,12 +120,12 @@ def schema_rows(spark, d):
 
 
 def csv_roundtrip(spark, d):
-    """Rows that differ after documents went to CSV and back: none."""
+    """Documents as they come back from CSV; their texts by digest."""
     docs = table(spark, d, "documents").select(F.col("doc_id").cast("string").alias("_row_id"), "text", F.coalesce("source", F.lit("")).alias("source"))
     path = work_dir(spark, "csv")
     sinks.write_table_csv(docs, path, [F.col("_row_id")])
-    back = files.read_table_csv(spark, path, ["_row_id", "text", "source"]).drop("_pos")
-    return C.multiset_diff(docs, back)
+    back = files.read_table_csv(spark, path, ["_row_id", "text", "source"])
+    return back.select("_row_id", F.sha2("text", 256).alias("sha"), "source")
 
 
 def jsonl_last_wins(spark, d):
@@ -157,7 +157,7 @@ def log_prefilter(spark, d):
 def windowed_scan(spark, d):
     """All events through the paged source, 1,000 rows at a time."""
     spark.dataSource.register(paged.PagedSource)
-    got = spark.read.format("paged").schema("event_id bigint, ts timestamp_ntz, user_id bigint").options(path=f"{d}/events.parquet", key="event_id", at="ts", cap="1000", windows="8").load()
+    got = spark.read.format("paged").schema("event_id bigint, ts timestamp_ntz, user_id bigint").options(path=f"{d}/events.parquet", key="event_id", at="ts", cap="1000", windowRows="2000").load()
     return got.select("event_id", "user_id", micros("ts").alias("us"))
 
 
@@ -169,12 +169,15 @@ def listing_order(spark, d):
     return top_and_more(c.select("entity", "delivery_no", "pos"), "entity", [F.col("delivery_no"), F.col("pos")], 3).select("entity", "delivery_no", "pos", "rn", "more")
 
 
+def _log_lines(spark, d):
+    key = F.concat_ws("/", "user_id", "event_type")
+    return table(spark, d, "events").select(key.alias("key"), micros("ts").alias("at_us"), F.col("event_id").alias("serial"), F.get_json_object("props", "$.k").alias("value"), (F.col("event_type") == "purchase").alias("deleted"))
+
+
 def stream_fold(spark, d):
     """Events as a change log through the streaming fold; purchases are tombstones."""
     root = work_dir(spark, "stream")
-    key = F.concat_ws("/", "user_id", "event_type")
-    log = table(spark, d, "events").select(key.alias("key"), micros("ts").alias("at_us"), F.col("event_id").alias("serial"), F.get_json_object("props", "$.k").alias("value"), (F.col("event_type") == "purchase").alias("deleted"))
-    log.write.json(f"{root}/log")
+    _log_lines(spark, d).write.json(f"{root}/log")
     return fold.fold_stream(spark, f"{root}/log", root).select("key", "at_us", "serial", "value", "deleted")
 
 
@@ -212,7 +215,7 @@ ORACLES = {
       SELECT block_no, CASE WHEN dbs.id IS NOT NULL THEN concat('workspace/_databases/', dbs.name, ' ', t) WHEN page_id IS NOT NULL THEN concat('workspace/', {_NAME.format("r.title")}, ' ', t, '.md') ELSE t END AS link
       FROM l LEFT JOIN dbs ON dbs.id = l.t LEFT JOIN n ON n.page_id = l.t WHERE t IS NOT NULL""",
     "schema_rows": " UNION ALL ".join(f"SELECT '{t}' AS table_name, row_number() OVER () - 1 AS pos, column_name FROM (DESCRIBE SELECT * FROM {t})" for t in ("pages_metadata", "blocks", "databases", "documents")),
-    "csv_roundtrip": "SELECT '' AS _row_id, '' AS text, '' AS source, '' AS side WHERE false",
+    "csv_roundtrip": "SELECT CAST(doc_id AS VARCHAR) AS _row_id, sha256(coalesce(text, '')) AS sha, coalesce(source, '') AS source FROM documents",
     "jsonl_last_wins": f"""SELECT id, max(line_no) AS line_no, arg_max({{'t': title}}, line_no).t AS title, min(line_no) AS first_line FROM (SELECT {_ID.format("id")} AS id, delivery_no AS line_no, title FROM pages_metadata) GROUP BY 1""",
     "path_index": f"""SELECT kind, count(*) AS files, count(DISTINCT id) AS ids FROM (SELECT DISTINCT parent_type = 'database_id' AS p, {_NAME.format("title")} AS name, {_ID.format("id")} AS id, CASE WHEN has_cover THEN 'document' ELSE 'folder' END AS kind FROM pages_metadata) GROUP BY 1""",
     "doc_sections": """SELECT doc_id, i AS section_no, trim(regexp_replace(split_part(p[i + 1], chr(10), 1), '\\s*`[^`]*`\\s*$', '')) AS title FROM (

@@ -81,9 +81,24 @@ def endpoint_counts(spark, d):
 
 
 def row_floor(spark, d):
+    """Parents that lost too many live pages: of the pages that ever lay below them, how many are live there now."""
+    pages = _pages(spark, d, None, ["parent_id", "archived", "in_trash"])
+    live = pages.filter("NOT coalesce(archived, false) AND NOT coalesce(in_trash, false)").select(norm_id("parent_id").alias("db"))
+    was = table(spark, d, "pages_metadata").filter("parent_id <> '' AND id IS NOT NULL").select(norm_id("parent_id").alias("db"), norm_id("id").alias("page")).distinct()
+    return Q.row_floor(was.select("db"), live, "db", 20, 20)
+
+
+def snapshot_floor(spark, d):
+    """Parents that lost too many live pages between two snapshots."""
     live = lambda at: _pages(spark, d, at, ["parent_id", "archived", "in_trash"]).filter("NOT coalesce(archived, false) AND NOT coalesce(in_trash, false)").select(norm_id("parent_id").alias("db"))
-    was = table(spark, d, "pages_metadata").filter("parent_id <> ''").select(norm_id("parent_id").alias("db"))
-    return Q.row_floor(was, live(None), "db", 40, 20)
+    return Q.row_floor(live(EARLIER), live(None), "db", 5, 5)
+
+
+def silent_users(spark, d):
+    """Users of whom nothing was heard for longer than ever before, when the log ended."""
+    e = table(spark, d, "events").select("user_id", micros("ts").alias("us"))
+    now = e.agg(F.max("us")).first()[0]
+    return Q.silent(e, "user_id", "us", now or 0, 3_600_000_000)
 
 
 def probe_policy(spark, d):
@@ -94,7 +109,7 @@ def probe_policy(spark, d):
 
 def gap_stats(spark, d):
     e = table(spark, d, "events").select("user_id", "event_id", micros("ts").alias("us"))
-    return Q.gap_stats(e, "user_id", "us", ["us", "event_id"])
+    return Q.gap_stats(e, "user_id", "us").select("user_id", "n", "max_gap_us")
 
 
 def run_report(spark, d):
@@ -132,7 +147,7 @@ def covered_drop(spark, d):
 QUERIES = {
     f.__name__: f
     for f in (
-        spread_breaches, spread_baseline, ref_absent, ref_census, ref_absent_excluded, referenced_floor, blind_spots, endpoint_counts, row_floor, probe_policy, gap_stats,
+        spread_breaches, spread_baseline, ref_absent, ref_census, ref_absent_excluded, referenced_floor, blind_spots, endpoint_counts, row_floor, snapshot_floor, silent_users, probe_policy, gap_stats,
         run_report, event_routing, path_classes, set_containment, covered_drop,
     )
 }
@@ -163,9 +178,14 @@ ORACLES = {
       WHEN starts_with(line, '>') THEN 'quote' WHEN starts_with(line, '#') THEN 'heading' ELSE 'other' END AS kind, count(*) AS lines FROM lines GROUP BY 1""",
     "endpoint_counts": """SELECT entity_type, CASE entity_type WHEN 'block' THEN 'block_children' WHEN 'page' THEN 'page' ELSE 'other' END AS family, count(*) AS requests
       FROM webhook_captures GROUP BY ROLLUP (entity_type, 2)""",
-    "row_floor": f"""WITH {force_sql("n")}, a AS (SELECT {_ID.format("parent_id")} AS db, count(*) AS was FROM pages_metadata WHERE parent_id <> '' GROUP BY 1),
+    "row_floor": f"""WITH {force_sql("n")}, a AS (SELECT {_ID.format("parent_id")} AS db, count(DISTINCT {_ID.format("id")}) AS was FROM pages_metadata WHERE parent_id <> '' GROUP BY 1),
+      b AS (SELECT {_ID.format("parent_id")} AS db, count(*) AS now FROM n WHERE NOT coalesce(archived, false) AND NOT coalesce(in_trash, false) GROUP BY 1)
+      SELECT db, was, now FROM a JOIN b USING (db) WHERE was >= 20 AND now * 100 < was * 80""",
+    "snapshot_floor": f"""WITH {force_sql("o", EARLIER)}, {force_sql("n")}, a AS (SELECT {_ID.format("parent_id")} AS db, count(*) AS was FROM o WHERE NOT coalesce(archived, false) AND NOT coalesce(in_trash, false) GROUP BY 1),
       b AS (SELECT {_ID.format("parent_id")} AS db, count(*) AS now FROM n WHERE NOT coalesce(archived, false) AND NOT coalesce(in_trash, false) GROUP BY 1)
-      SELECT db, was, now FROM a JOIN b USING (db) WHERE was >= 20 AND now * 100 < was * 60""",
+      SELECT db, was, now FROM a JOIN b USING (db) WHERE was >= 5 AND now * 100 < was * 95""",
+    "silent_users": """WITH g AS (SELECT user_id, max(gap) AS gap, max(us) AS last FROM (SELECT user_id, epoch_us(ts) AS us, epoch_us(ts) - lag(epoch_us(ts)) OVER (PARTITION BY user_id ORDER BY ts) AS gap FROM events) GROUP BY 1)
+      SELECT user_id, (SELECT max(epoch_us(ts)) FROM events) - last AS silence_us FROM g WHERE (SELECT max(epoch_us(ts)) FROM events) - last >= 3600000000 AND (gap IS NULL OR (SELECT max(epoch_us(ts)) FROM events) - last > gap)""",
     "probe_policy": f"""WITH {force_sql("n")}, t AS (SELECT {_ID.format("parent_id")} AS db, count(*) AS total, count(*) FILTER (page_id IN (SELECT {_ID.format("page_id")} FROM webhook_captures)) AS rich FROM n GROUP BY 1)
       SELECT *, CASE WHEN total >= 100 AND rich * 100 < total * 5 THEN 'some' ELSE 'all' END AS mode FROM t""",
     "gap_stats": """SELECT user_id, count(*) AS n, max(gap) AS max_gap_us FROM (SELECT user_id, epoch_us(ts) - lag(epoch_us(ts)) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS gap FROM events) GROUP BY 1""",

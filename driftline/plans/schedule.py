@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from driftline.core.store import work_dir
 from driftline.core.tables import table
 from driftline.functions.keys import micros, norm_id
 from driftline.operators import schedule as S
 from driftline.operators import tree as T
 from driftline.operators.changes import positions
 from driftline.plans.changes import EARLIER, _pages, force_sql
+from driftline.streaming import fold
 
 
 def _population(spark, d):
@@ -66,10 +68,42 @@ def strikes(spark, d):
 
 
 def throttle(spark, d):
+    """Errors that raise an alert when each silences its user for twelve hours, with those held back since the one before."""
+    e = table(spark, d, "events").filter("event_type = 'error'").select(F.col("user_id").cast("string").alias("bucket"), micros("ts").alias("at_us"))
+    sent = fold.throttled(spark, e, work_dir(spark, "throttle"), 43_200)
+    return sent.select(F.col("bucket").cast("bigint").alias("user_id"), "sent_us", "suppressed")
+
+
+def hourly_alerts(spark, d):
+    """One alert a user and hour, and how many that stands for."""
     e = table(spark, d, "events").filter("event_type = 'error'").select("user_id", F.col("ts").cast("timestamp").alias("ts"))
     return S.throttle(e, ["user_id"], "ts").select("user_id", micros("sent_at").alias("sent_us"), "suppressed")
 
 
+def head_of_line(spark, d):
+    """What a tick does with each event of a log when errors of large value fail for good and others for now; an event was tried before as often as its value says."""
+    e = table(spark, d, "events")
+    outcome = F.when((F.col("event_type") == "error") & (F.col("value") >= 50), "permanent").when(F.col("event_type") == "error", "transient").otherwise("ok")
+    tries = F.least(F.floor("value"), F.lit(9)).cast("int")
+    return S.head_of_line(e.select("event_id", outcome.alias("outcome"), tries.alias("tries")), "event_id", 6).groupBy("outcome", "verdict").agg(F.count("*").alias("events"))
+
+
+def drain_queue(spark, d):
+    """Keys that a drain works off: the batch a crashed run left first, then the live queue, each key once; keys of pages the mirror lacks fail and are dropped."""
+    w = table(spark, d, "webhook_captures").select(norm_id("page_id").alias("key"), "delivery_no", "batch_no")
+    left = w.filter("batch_no < 100").select("key", F.col("delivery_no").alias("no"))
+    live = w.filter("batch_no >= 100").select("key", F.col("delivery_no").alias("no"))
+    known = table(spark, d, "pages_metadata").select(norm_id("id").alias("key"))
+    return S.drain(left, live, known)
+
+
+def lifecycle(spark, d):
+    """The last event of each database, consumed once: a deletion seeds a strike, a creation a discovery."""
+    dbs = table(spark, d, "databases")
+    events = dbs.select(norm_id("db_id").alias("id"), F.explode(F.array(F.struct(micros("captured_at").alias("us"), F.lit("created").alias("event")), F.struct(micros("deleted_at").alias("us"), F.lit("deleted").alias("event")))).alias("e"))
+    return S.last_events(events.select("id", "e.us", "e.event").filter("us IS NOT NULL"), "id", "us", "event")
+
+
 def staleness(spark, d):
     e = table(spark, d, "events").select("user_id", "event_type", micros("ts").alias("us"))
     now = e.agg(F.max("us")).first()[0]  # null for an empty log, of which no one is stale
@@ -147,7 +181,7 @@ def tree_overview(spark, d):
 QUERIES = {
     f.__name__: f
     for f in (
-        audit_share, legacy_first, queue_order, top_n_more, batch_split, slice_sample, failure_streak, strikes, throttle, staleness, audit_queue_dedup, run_islands, outcome_islands,
+        audit_share, legacy_first, queue_order, top_n_more, batch_split, slice_sample, failure_streak, strikes, throttle, staleness, hourly_alerts, head_of_line, drain_queue, lifecycle, audit_queue_dedup, run_islands, outcome_islands,
         ancestor_climb, retry_unplaced, tree_order, ownership, nesting_depth, reference_closure, tree_overview,
     )
 }
@@ -184,7 +218,18 @@ ORACLES = {
     "failure_streak": """WITH g AS (SELECT user_id, max(epoch_us(ts)) FILTER (event_type = 'purchase') AS last_ok_us FROM events GROUP BY 1)
       SELECT user_id, last_ok_us, (SELECT count(*) FROM events e WHERE e.user_id = g.user_id AND event_type = 'error' AND (last_ok_us IS NULL OR epoch_us(ts) > last_ok_us)) AS failures FROM g""",
     "strikes": """SELECT user_id, count(*) AS strikes FROM events LEFT JOIN (SELECT user_id, min(ts) AS b FROM events WHERE event_type = 'purchase' GROUP BY 1) USING (user_id) WHERE event_type = 'error' AND (b IS NULL OR ts < b) GROUP BY 1 HAVING count(*) >= 2""",
-    "throttle": "SELECT user_id, epoch_us(min(ts)) AS sent_us, count(*) - 1 AS suppressed FROM events WHERE event_type = 'error' GROUP BY user_id, date_trunc('hour', ts)",
+    "throttle": """WITH RECURSIVE e AS (SELECT user_id, epoch_us(ts) AS us FROM events WHERE event_type = 'error'), nxt AS (SELECT a.user_id, a.us, min(b.us) AS then_us FROM (SELECT DISTINCT user_id, us FROM e) a JOIN e b ON b.user_id = a.user_id AND b.us >= a.us + 43200000000 GROUP BY 1, 2),
+      s AS (SELECT user_id, min(us) AS us FROM e GROUP BY 1 UNION ALL SELECT nxt.user_id, then_us FROM s JOIN nxt ON nxt.user_id = s.user_id AND nxt.us = s.us),
+      o AS (SELECT user_id, us, lag(us) OVER (PARTITION BY user_id ORDER BY us) AS before FROM s)
+      SELECT user_id, us AS sent_us, (SELECT count(*) FROM e WHERE e.user_id = o.user_id AND e.us > o.before AND e.us < o.us) AS suppressed FROM o""",
+    "hourly_alerts": "SELECT user_id, epoch_us(min(ts)) AS sent_us, count(*) - 1 AS suppressed FROM events WHERE event_type = 'error' GROUP BY user_id, date_trunc('hour', ts)",
+    "head_of_line": """WITH e AS (SELECT event_id, CASE WHEN event_type = 'error' AND value >= 50 THEN 'permanent' WHEN event_type = 'error' THEN 'transient' ELSE 'ok' END AS outcome, least(CAST(floor(value) AS INT), 9) AS tries FROM events),
+      h AS (SELECT min(event_id) AS at FROM e WHERE outcome = 'transient' AND tries + 1 < 6)
+      SELECT outcome, CASE WHEN event_id > h.at THEN 'waiting' WHEN event_id = h.at THEN 'held' WHEN outcome = 'ok' THEN 'done' WHEN outcome = 'permanent' THEN 'skipped' ELSE 'abandoned' END AS verdict, count(*) AS events FROM e, h GROUP BY ALL""",
+    "drain_queue": f"""WITH w AS (SELECT {_ID.format("page_id")} AS key, delivery_no, batch_no FROM webhook_captures), f AS (SELECT key, min(row(CASE WHEN batch_no < 100 THEN 0 ELSE 1 END, delivery_no)) AS o, count(*) AS asked FROM w GROUP BY 1)
+      SELECT key, row_number() OVER (ORDER BY o) - 1 AS turn, asked, CASE WHEN key IN (SELECT {_ID.format("id")} FROM pages_metadata) THEN 'done' ELSE 'dropped' END AS outcome FROM f WHERE key IS NOT NULL""",
+    "lifecycle": f"""SELECT {_ID.format("db_id")} AS id, CASE WHEN deleted_at IS NOT NULL AND (captured_at IS NULL OR deleted_at >= captured_at) THEN 'deleted' ELSE 'created' END AS event, CASE WHEN deleted_at IS NOT NULL AND (captured_at IS NULL OR deleted_at >= captured_at) THEN 'strike' ELSE 'discovery' END AS seeds
+      FROM databases WHERE captured_at IS NOT NULL OR deleted_at IS NOT NULL""",
     "staleness": "SELECT user_id, epoch_us(max(ts)) AS last_us FROM events WHERE event_type = 'view' GROUP BY 1 HAVING (SELECT max(ts) FROM events) - max(ts) >= INTERVAL 6 HOUR",
     "audit_queue_dedup": f"SELECT {_ID.format('entity_id')} AS entity, min(delivery_no) AS first_no, count(*) AS asked FROM webhook_captures GROUP BY 1",
     "run_islands": """SELECT user_id, event_type, island, count(*) AS n FROM (SELECT *, CAST(sum(s) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS BIGINT) AS island FROM (SELECT *, CASE WHEN lag(event_type) OVER (PARTITION BY user_id ORDER BY ts, event_id) = event_type THEN 0 ELSE 1 END AS s FROM events)) GROUP BY ALL""",

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import random
 import time
+from bisect import bisect_right
 from collections.abc import Callable, Iterator
 
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
@@ -99,43 +100,76 @@ def complete_scan(query: Callable[[object], list], cap: int, key: Callable, at:
 
 
 class Window_(InputPartition):
-    def __init__(self, lo: int, hi: int):
-        self.lo, self.hi = lo, hi
+    def __init__(self, lo: int, hi: int | None, fragments: list[str]):
+        self.lo, self.hi, self.fragments = lo, hi, fragments
+
+
+#: Rows that a window is to hold; the last one is open at its end.
+WINDOW_ROWS = 1_000_000
 
 
 class PagedReader(DataSourceReader):
     def __init__(self, schema, options):
         self.path, self.key, self.at = options["path"], options["key"], options["at"]
-        self.cap, self.windows = int(options.get("cap", 10_000)), int(options.get("windows", 8))
+        self.cap, self.rows = int(options.get("cap", 10_000)), int(options.get("windowrows", WINDOW_ROWS))
         self.columns = [f.name for f in schema.fields]
 
-    def partitions(self):
-        import pyarrow.compute as pc
+    def _groups(self):
+        """(low, high, rows, file) of every row group, from the files' footers alone; low is null without statistics."""
         import pyarrow.dataset as ds
+        import pyarrow.parquet as pq
 
-        low = high = None
-        for batch in ds.dataset(self.path).to_batches(columns=[self.at]):
-            if batch.num_rows:
-                m = pc.min_max(batch.column(0).cast("int64")).as_py()
-                low = m["min"] if low is None else min(low, m["min"])
-                high = m["max"] if high is None else max(high, m["max"])
-        if low is None:
-            return []
-        step = (high - low) // self.windows + 1
-        return [Window_(low + k * step, min(high + 1, low + (k + 1) * step)) for k in range(self.windows) if low + k * step <= high]
+        for file in ds.dataset(self.path).files:
+            meta = pq.ParquetFile(file).metadata
+            at = meta.schema.names.index(self.at)
+            for k in range(meta.num_row_groups):
+                group = meta.row_group(k)
+                stats = group.column(at).statistics
+                known = stats is not None and stats.has_min_max
+                yield (_us(stats.min), _us(stats.max), group.num_rows, file) if known else (None, None, group.num_rows, file)
+
+    def partitions(self):
+        """Windows of time of about WINDOW_ROWS rows, cut where row groups begin and within wide ones; each knows the files it may find rows in."""
+        groups = list(self._groups())
+        timed = [g for g in groups if g[0] is not None]
+        blind = sorted({g[3] for g in groups if g[0] is None and g[2]})
+        # a row group is so many pieces of equal length in time; windows are runs of pieces
+        pieces = []
+        for low, high, rows, _ in timed:
+            n = max(1, -(-rows // self.rows))
+            pieces += [(low + (high - low) * k // n, rows // n) for k in range(n)]
+        starts, held = [], 0
+        for edge, rows in sorted(pieces):
+            if not starts or (held + rows > self.rows and edge > starts[-1]):
+                starts.append(edge)
+                held = 0
+            held += rows
+        if not starts:
+            return [Window_(-(2**63), None, blind)] if blind else []
+        files: list[set[str]] = [set(blind) for _ in starts]
+        for low, high, _, file in timed:
+            for k in range(max(0, bisect_right(starts, low) - 1), bisect_right(starts, high)):
+                files[k].add(file)
+        ends = [*starts[1:], None]
+        return [Window_(lo if k else -(2**63), hi, sorted(files[k])) for k, (lo, hi) in enumerate(zip(starts, ends, strict=True))]
 
     def read(self, partition: Window_):
-        """One scan of a window, asking for at most ``cap`` rows at a time."""
+        """One scan of a window, asking for at most ``cap`` rows at a time, as Arrow batches."""
+        import pyarrow as pa
         import pyarrow.compute as pc
         import pyarrow.dataset as ds
 
-        data = ds.dataset(self.path)
+        if partition is None or not partition.fragments:  # Spark reads None where there are no partitions
+            return
+        data = ds.dataset(partition.fragments)
         type_ = data.schema.field(self.at).type
-        import pyarrow as pa
-
-        stamp = lambda us: pa.scalar(us, pa.int64()).cast(type_)
-        inside = (pc.field(self.at) >= stamp(partition.lo)) & (pc.field(self.at) < stamp(partition.hi))
-        held = data.to_table(columns=self.columns, filter=inside).sort_by([(self.at, "ascending"), (self.key, "ascending")])
+        stamp = lambda us: pa.scalar(us, pa.int64()).cast(pa.timestamp("us")).cast(type_) if pa.types.is_timestamp(type_) else pa.scalar(us, type_)
+        inside = pc.field(self.at).is_valid()
+        if partition.lo > -(2**63):
+            inside = inside & (pc.field(self.at) >= stamp(partition.lo))
+        if partition.hi is not None:
+            inside = inside & (pc.field(self.at) < stamp(partition.hi))
+        held = data.to_table(columns=list(dict.fromkeys([*self.columns, self.at, self.key])), filter=inside).sort_by([(self.at, "ascending"), (self.key, "ascending")])
         times = held.column(self.at).cast("int64").to_numpy()
         ids = held.column(self.key).to_pylist()
 
@@ -143,12 +177,32 @@ class PagedReader(DataSourceReader):
             first = 0 if since is None else int(times.searchsorted(since, "left"))
             return list(range(first, min(len(ids), first + self.cap)))
 
+        chosen = held.select(self.columns)
+        some: list[int] = []
         for i in complete_scan(query, self.cap, lambda i: ids[i], lambda i: int(times[i])):
-            yield tuple(held.column(c)[i].as_py() for c in self.columns)
+            some.append(i)
+            if len(some) >= 10_000:
+                yield from chosen.take(some).to_batches()
+                some = []
+        if some:
+            yield from chosen.take(some).to_batches()
+
+
+def _us(x) -> int:
+    """Microseconds of a statistic of a time column."""
+    import datetime as dt
+
+    if isinstance(x, dt.datetime):
+        x = x.replace(tzinfo=dt.timezone.utc) if x.tzinfo is None else x
+        return round((x - dt.datetime(1970, 1, 1, tzinfo=dt.timezone.utc)) / dt.timedelta(microseconds=1))
+    return int(x)
 
 
 class PagedSource(DataSource):
-    """``spark.read.format("paged")`` with options path, key, at, cap, windows and a schema; a Parquet table stands in for the server."""
+    """``spark.read.format("paged")`` with options path, key, at, cap, windowRows and a schema; a Parquet table stands in for the server.
+
+    Rows without a time are in no window.
+    """
 
     @classmethod
     def name(cls):
