@@ -16,8 +16,20 @@ from pyspark.sql.types import StringType
 from driftline.functions.keys import _col
 
 
-def _list(value: Column, element: str) -> Column:
-    return F.from_json(value, f"array<{element}>")
+_TEXTS, _NAMED = "array<struct<plain_text:string>>", "array<struct<name:string>>"
+_PERSON = "struct<name:string,id:string>"
+#: All that a cell may need of a property, whatever its type: one reading of its JSON text.
+PARTS = (
+    f"type string, title {_TEXTS}, rich_text {_TEXTS}, number string, select struct<name:string>, status struct<name:string>, multi_select {_NAMED}, date struct<start:string,end:string>, "
+    f"people array<{_PERSON}>, files array<struct<name:string,external:struct<url:string>,file:struct<url:string>>>, checkbox string, url string, email string, phone_number string, "
+    f"created_time string, last_edited_time string, relation array<struct<id:string>>, created_by {_PERSON}, last_edited_by {_PERSON}, unique_id struct<prefix:string,number:string>, "
+    "verification struct<state:string>, button string"
+)
+
+
+def parts_of(prop: Column | str) -> Column:
+    """The parts of a property; all null where it is not JSON, a part null where it has another shape."""
+    return F.from_json(_col(prop), PARTS)
 
 
 def _form(v) -> str:
@@ -63,57 +75,51 @@ def nested_cell(raw: pd.Series) -> pd.Series:
     return raw.map(one, na_action="ignore")
 
 
-def cell(prop: Column | str, kind: Column | str | None = None) -> Column:
+def cell(prop: Column | str, parts: Column | str | None = None) -> Column:
     """The cell text of one property; empty for null values, the raw text for what cannot be read.
 
-    ``kind`` is the property's type where a projection before this one has taken it already.
+    ``parts`` are the property's parts where a projection before this one has read them already.
     """
-    p = _col(prop)
-    at = lambda path: F.get_json_object(p, path)
-    kind = at("$.type") if kind is None else _col(kind)
-    raw = lambda *names: F.coalesce(*[at(f"$.{n}") for n in names], F.lit(""))
-    value = F.coalesce(*[F.when(kind == k, at(f"$.{k}")) for k in ("title", "rich_text", "multi_select", "people", "files", "relation")])
-    texts = F.array_join(F.transform(_list(value, "struct<plain_text:string>"), lambda x: F.coalesce(x["plain_text"], F.lit(""))), "")
-    names = F.array_join(F.transform(_list(value, "struct<name:string>"), lambda x: x["name"]), ", ")
-    people = F.array_join(F.transform(_list(value, "struct<id:string,name:string>"), lambda x: F.coalesce(F.nullif(x["name"], F.lit("")), x["id"])), ", ")
-    file = "struct<name:string,external:struct<url:string>,file:struct<url:string>>"
-    files = F.array_join(F.transform(_list(value, file), lambda x: F.coalesce(F.nullif(x["name"], F.lit("")), x["external"]["url"], x["file"]["url"])), ", ")
-    ids = F.array_join(F.transform(_list(value, "struct<id:string>"), lambda x: x["id"]), ", ")
-    who = F.coalesce(*[F.when(kind == k, F.coalesce(F.nullif(at(f"$.{k}.name"), F.lit("")), at(f"$.{k}.id"))) for k in ("created_by", "last_edited_by")], F.lit(""))
-    number = at("$.unique_id.number")
-    simple = ("number", "url", "email", "phone_number", "created_time", "last_edited_time")
-    out = F.when(kind.isin("title", "rich_text"), F.coalesce(texts, F.lit("")))
-    for k in simple:
-        out = out.when(kind == k, raw(k))
+    p, v = _col(prop), parts_of(prop) if parts is None else _col(parts)
+    kind, none = v["type"], F.lit("")
+    joined = lambda xs, one, by: F.coalesce(F.array_join(F.transform(xs, one), by), none)
+    text = lambda c: F.coalesce(c, none)
+    named = lambda x: F.coalesce(F.nullif(x["name"], none), x["id"])
+    plain = lambda c: joined(v[c], lambda x: text(x["plain_text"]), "")
+    unique = v["unique_id"]
+    out = F.when(kind == "title", plain("title")).when(kind == "rich_text", plain("rich_text"))
+    for k in ("number", "url", "email", "phone_number", "created_time", "last_edited_time", "button"):
+        out = out.when(kind == k, text(v[k]))
+    for k in ("select", "status"):
+        out = out.when(kind == k, text(v[k]["name"]))
+    for k in ("created_by", "last_edited_by"):
+        out = out.when(kind == k, text(named(v[k])))
     return (
-        out.when(kind.isin("select", "status"), raw("select.name", "status.name"))
-        .when(kind == "multi_select", F.coalesce(names, F.lit("")))
-        .when(kind == "date", F.concat_ws(" → ", at("$.date.start"), at("$.date.end")))
-        .when(kind == "people", F.coalesce(people, F.lit("")))
-        .when(kind == "files", F.coalesce(files, F.lit("")))
-        .when(kind == "checkbox", F.when(at("$.checkbox") == "true", "true").otherwise("false"))
-        .when(kind == "relation", F.coalesce(ids, F.lit("")))
-        .when(kind.isin("created_by", "last_edited_by"), who)
-        .when(kind == "unique_id", F.when(number.isNull(), "").otherwise(F.concat_ws("-", F.nullif(at("$.unique_id.prefix"), F.lit("")), number)))
-        .when(kind == "verification", raw("verification.state"))
-        .when(kind == "button", raw("button"))
-        .when(kind.isNull(), F.coalesce(p, F.lit("")))
-        .otherwise(F.coalesce(F.regexp_extract(p, r'"type"\s*:\s*"[^"]*"\s*,\s*"[^"]*"\s*:\s*(.*)\}\s*$', 1), F.lit("")))
+        out.when(kind == "multi_select", joined(v["multi_select"], lambda x: x["name"], ", "))
+        .when(kind == "date", F.concat_ws(" → ", v["date"]["start"], v["date"]["end"]))
+        .when(kind == "people", joined(v["people"], named, ", "))
+        .when(kind == "files", joined(v["files"], lambda x: F.coalesce(F.nullif(x["name"], none), x["external"]["url"], x["file"]["url"]), ", "))
+        .when(kind == "checkbox", F.when(v["checkbox"] == "true", "true").otherwise("false"))
+        .when(kind == "relation", joined(v["relation"], lambda x: x["id"], ", "))
+        .when(kind == "unique_id", F.when(unique["number"].isNull(), "").otherwise(F.concat_ws("-", F.nullif(unique["prefix"], none), unique["number"])))
+        .when(kind == "verification", text(v["verification"]["state"]))
+        .when(kind.isNull(), text(p))
+        .otherwise(text(F.regexp_extract(p, r'"type"\s*:\s*"[^"]*"\s*,\s*"[^"]*"\s*:\s*(.*)\}\s*$', 1)))
     )
 
 
-def full_cell(prop: Column | str, kind: Column | str | None = None) -> Column:
+def full_cell(prop: Column | str, parts: Column | str | None = None) -> Column:
     """As ``cell``, with formulas and rollups."""
     p = _col(prop)
-    nested = (F.get_json_object(p, "$.type") if kind is None else _col(kind)).isin("formula", "rollup")
-    return F.when(nested, nested_cell(F.when(nested, p))).otherwise(cell(p, kind))
+    nested = (F.get_json_object(p, "$.type") if parts is None else _col(parts)["type"]).isin("formula", "rollup")
+    return F.when(nested, nested_cell(F.when(nested, p))).otherwise(cell(p, parts))
 
 
 def flatten_cells(rows: DataFrame, keep: list[str], props: dict[str, Column], nested: set[str] = frozenset()) -> DataFrame:
-    """``keep`` and one cell per property.  Types are read once, in a projection of their own.
+    """``keep`` and one cell per property.  Every property is parsed once, in a projection of its own.
 
     Properties that may be formulas or rollups are named in ``nested``.
     """
     first = rows.select(*keep, *[c.alias(f"_p_{k}") for k, c in props.items()])
-    typed = first.select("*", *[F.get_json_object(f"_p_{k}", "$.type").alias(f"_t_{k}") for k in props])
-    return typed.select(*keep, *[(full_cell if k in nested else cell)(f"_p_{k}", f"_t_{k}").alias(k) for k in props])
+    read = first.select("*", *[parts_of(f"_p_{k}").alias(f"_v_{k}") for k in props])
+    return read.select(*keep, *[(full_cell if k in nested else cell)(f"_p_{k}", f"_v_{k}").alias(k) for k in props])

@@ -33,6 +33,25 @@ def cell_flatten(spark, d):
     return cells.flatten_cells(p, ["delivery_no"], made, {"sum"})
 
 
+def cell_types(spark, d):
+    """The other property types: what each record would hold in them, and their cells."""
+    p = table(spark, d, "pages_metadata")
+    opt = {"ignoreNullFields": "false"}
+    prop = lambda kind, v: F.to_json(F.struct(F.lit(kind).alias("type"), v.alias(kind)), opt)
+    run = lambda c: F.struct(c.alias("plain_text"))
+    file = lambda n, e, f: F.struct(n.alias("name"), F.struct(e.alias("url")).alias("external"), F.struct(f.alias("url")).alias("file"))
+    none = F.lit(None).cast("string")
+    made = {
+        "rich": prop("rich_text", F.array(run(F.col("title")), run(F.lit(" / ")), run(F.col("icon")))), "mail": prop("email", F.concat("parent_type", F.lit("@mail.example"))), "phone": prop("phone_number", F.col("delivery_no").cast("string")),
+        "state": prop("status", F.struct(F.col("parent_type").alias("name"))), "files": prop("files", F.array(file(F.col("icon"), F.col("url"), none), file(F.lit(""), none, F.col("public_url")))), "by": prop("last_edited_by", F.struct(none.alias("name"), F.col("id"))),
+        "made_at": prop("created_time", F.col("created_time")), "edited_at": prop("last_edited_time", F.col("last_edited_time")), "checked": prop("verification", F.struct(F.col("parent_type").alias("state"))), "press": prop("button", none),
+        "day": prop("date", F.struct(F.substring("created_time", 1, 10).alias("start"), none.alias("end"))), "half": prop("number", F.col("delivery_no") % 1000 / 2), "odd": prop("location", F.struct(F.col("delivery_no").alias("n"))),
+        "total": prop("rollup", F.struct(F.lit("number").alias("type"), F.col("delivery_no").alias("number"))), "list": prop("rollup", F.struct(F.lit("array").alias("type"), F.array(F.struct(F.lit("select").alias("type"), F.struct(F.col("parent_type").alias("name")).alias("select"))).alias("array"))),
+        "says": prop("formula", F.struct(F.lit("string").alias("type"), F.col("title").alias("string"))), "broken": F.concat(F.lit("{"), F.col("delivery_no").cast("string")),
+    }
+    return cells.flatten_cells(p, ["delivery_no"], made, {"total", "list", "says"})
+
+
 def table_render(spark, d):
     """Records per parent type as a pipe table, archived and live; a null ``archived`` is read as false."""
     p = table(spark, d, "pages_metadata").withColumn("archived", F.coalesce("archived", F.lit(False)))
@@ -184,7 +203,7 @@ def stream_fold(spark, d):
 QUERIES = {
     f.__name__: f
     for f in (
-        cell_flatten, table_render, blocks_render, md_parse, md_headings, roundtrip, text_scalars, plain_runs, url_clean, link_rewrite, page_document, schema_rows, csv_roundtrip,
+        cell_flatten, cell_types, table_render, blocks_render, md_parse, md_headings, roundtrip, text_scalars, plain_runs, url_clean, link_rewrite, page_document, schema_rows, csv_roundtrip,
         jsonl_last_wins, path_index, doc_sections, log_prefilter, windowed_scan, listing_order, stream_fold,
     )
 }
@@ -197,6 +216,10 @@ ORACLES = {
     "cell_flatten": """SELECT delivery_no, coalesce(title, '') AS title, coalesce(parent_type, '') AS kind, CAST(delivery_no AS VARCHAR) AS number, concat_ws(' → ', left(created_time, 10), left(last_edited_time, 10)) AS span,
       coalesce(nullif(last_edited_by, ''), id) AS editor, CASE WHEN has_cover THEN 'true' ELSE 'false' END AS cover, coalesce(url, '') AS url, coalesce(parent_id, '') AS parent,
       concat_ws(', ', parent_type, icon) AS tags, 'REC-' || delivery_no AS no, coalesce(nullif(created_by, ''), id) AS author, CASE WHEN has_cover THEN 'True' WHEN NOT has_cover THEN 'False' ELSE 'None' END AS sum FROM pages_metadata""",
+    "cell_types": """SELECT delivery_no, concat(title, ' / ', icon) AS rich, coalesce(parent_type || '@mail.example', '') AS mail, CAST(delivery_no AS VARCHAR) AS phone, coalesce(parent_type, '') AS state,
+      concat_ws(', ', coalesce(nullif(icon, ''), url), public_url) AS files, coalesce(id, '') AS by, coalesce(created_time, '') AS made_at, coalesce(last_edited_time, '') AS edited_at, coalesce(parent_type, '') AS checked, '' AS press,
+      coalesce(left(created_time, 10), '') AS day, CAST((delivery_no % 1000) / 2 AS VARCHAR) AS half, concat('{"n":', delivery_no, '}') AS odd, CAST(delivery_no AS VARCHAR) AS total,
+      coalesce(parent_type, '') AS list, coalesce(title, 'None') AS says, concat('{', delivery_no) AS broken FROM pages_metadata""",
     "table_render": """SELECT '| parent | archived | live |' || chr(10) || '|---|---|---|' || chr(10) || string_agg(l, chr(10) ORDER BY l) AS markdown FROM (
       SELECT concat('| ', parent_type, ' | ', count(*) FILTER (coalesce(archived, false)), ' | ', count(*) FILTER (NOT coalesce(archived, false)), ' |') AS l FROM pages_metadata GROUP BY parent_type)""",
     "md_headings": r"""WITH l AS (SELECT doc_id, trim(l, ' ') AS t FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS l FROM documents)),
