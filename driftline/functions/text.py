@@ -39,17 +39,40 @@ def md_cell(c: Column | str) -> Column:
 
 
 def escape_md(c: Column | str) -> Column:
-    """Backslash before the characters that Markdown reads as inline marks."""
-    return F.regexp_replace(_col(c), r"([\\`*_\[\]<>~])", r"\\$1")
+    """Backslash before every character that Markdown may read as an inline mark."""
+    return F.regexp_replace(_col(c), r"([\\`*~<\[\]])", r"\\$1")
 
 
 def unescape_md(c: Column | str) -> Column:
-    return F.regexp_replace(_col(c), r"\\([\\`*_\[\]<>~])", "$1")
+    return F.regexp_replace(_col(c), r"\\([\\`*~<\[\]])", "$1")
+
+
+# fixed values: what begins a block at the start of a line
+_MARKER = r"(?:#{1,6}(?: |$)|-(?: |$)|\d+\.(?: |$)|>(?: |$)|\||\$\$|!\[|---\s*$)"
 
 
 def starts_block(c: Column | str) -> Column:
     """Whether a line begins a block of its own rather than going on with a paragraph."""
-    return _col(c).rlike(r"^\s*(?:#{1,6} |[-*+] |\d+[.)] |>|```|\||---\s*$|\$\$)")
+    return _col(c).rlike(rf"^\s*(?:{_MARKER}|```|<!--|<details)")
+
+
+def guard_lines(c: Column | str) -> Column:
+    """Text whose lines begin no block: those that would get a backslash, also before backslashes of their own."""
+    return F.regexp_replace(_col(c), rf"(?m)^(\\*{_MARKER})", r"\\$1")
+
+
+def unguard_lines(c: Column | str) -> Column:
+    return F.regexp_replace(_col(c), rf"(?m)^\\(?=\\*{_MARKER})", "")
+
+
+def relative_path(target: Column | str, source: Column | str) -> Column:
+    """The path of ``target`` as seen from the folder of the file ``source``: up to where both part, and down from there."""
+    t, s = F.split(_col(target), "/"), F.split(_col(source), "/")
+    up = F.slice(s, F.lit(1), F.size(s) - 1)  # the folder
+    n = F.least(F.size(up), F.size(t) - 1)
+    # folders that both begin with: those before the first that differs
+    same = F.aggregate(F.sequence(F.lit(0), F.greatest(n, F.lit(1)) - 1), F.lit(0), lambda k, i: F.when((k == i) & (i < n) & (F.get(t, i) == F.get(up, i)), k + 1).otherwise(k))
+    return F.concat(F.repeat(F.lit("../"), F.size(up) - same), F.array_join(F.slice(t, same + 1, F.size(t)), "/"))
 
 
 def mask_stamps(c: Column | str) -> Column:

@@ -295,3 +295,17 @@ def reconcile(rows: DataFrame, order: list[str], block: list[str]) -> DataFrame:
     more = ["anchor"] if "anchor" in rows.columns else []
     pairs = fuzzy_pairs(first.filter("cid IS NULL").select("no", "text", *more, *block), first.filter("cid IS NOT NULL").select("no", "text", *more, *block), block)
     return first.join(pairs.select(F.col("legacy_no").alias("no")), "no", "left_anti")
+
+
+def thread_homes(rows: DataFrame) -> DataFrame:
+    """thread, owner: the home of a thread, that of its first live capture, else of its first."""
+    return home_of(rows.filter("thread IS NOT NULL"), "thread", "home", F.when(F.col("at").isNull(), 1).otherwise(0), ["delivery_no", "pos"]).withColumnRenamed("home", "owner")
+
+
+def repair_homes(rows: DataFrame, owners: DataFrame) -> DataFrame:
+    """Rows (cid, thread, home, ...) with ``owner`` and ``fate``: keep at home or without an owner, elsewhere drop if the owner holds the same id, else move there."""
+    both = rows.join(owners, "thread", "left")
+    held = rows.filter("cid IS NOT NULL").select(F.col("home").alias("owner"), "cid").distinct().withColumn("_held", F.lit(True))
+    found = both.join(held, ["owner", "cid"], "left")
+    fate = F.when(F.col("owner").isNull() | (F.col("owner") == F.col("home")), "keep").when(F.col("_held"), "drop").otherwise("move")
+    return found.withColumn("fate", fate).drop("_held")

@@ -105,3 +105,32 @@ def last_events(events: DataFrame, key: str, at: str, event: str) -> DataFrame:
 def due_slice(items: DataFrame, settled: DataFrame, key: list[str], order: list[Column], n: int) -> DataFrame:
     """The next ``n`` items in ``order`` that are not settled, for a run with a budget; the next run takes up where this one's settled items end."""
     return items.join(settled.select(*key), key, "left_anti").orderBy(*order).limit(n)
+
+
+def audit_pool(clock: DataFrame, alive: DataFrame, key: str, last: str) -> DataFrame:
+    """A rescan clock (key, last) for the keys that are alive: dead ones go, new ones were never seen."""
+    return alive.select(key).distinct().join(clock.groupBy(key).agg(F.max(last).alias(last)), key, "left")
+
+
+def carried_over(pending: DataFrame, found: DataFrame, settled: DataFrame, key: str) -> DataFrame:
+    """What is pending after a run: what was pending or was found, without what is settled."""
+    return pending.select(key).union(found.select(key)).distinct().join(settled.select(key), key, "left_anti")
+
+
+def run_alarms(runs: DataFrame, now_us: int, ok_s: int, nightly_s: int, streak: int) -> DataFrame:
+    """alarm, since_us of a job whose runs (run_no, started_us, ended_us, outcome) are known: no success for ``ok_s``, no start for
+    ``nightly_s``, a last run that never ended, and ``streak`` failures in a row.  A history without runs raises the first two."""
+    last = runs.agg(
+        F.max(F.when(F.col("outcome") == "ok", F.col("ended_us"))).alias("ok_us"), F.max("started_us").alias("start_us"), F.max(F.struct("started_us", "run_no", "ended_us")).alias("last"),
+        F.max(F.when(F.col("outcome") == "ok", F.col("run_no"))).alias("ok_no"),
+    )
+    failed = runs.join(last.select("ok_no"), F.col("ok_no").isNull() | (F.col("run_no") > F.col("ok_no"))).agg(F.count("*").alias("failed"), F.min("started_us").alias("first_us"))
+    alarm = lambda name, since, on: F.struct(F.lit(name).alias("alarm"), F.col(since).alias("since_us"), on.alias("on"))
+    late = lambda c, s: F.col(c).isNull() | (F.lit(now_us) - F.col(c) >= s * 1_000_000)
+    one = last.join(failed).select(  # one row each
+        F.array(
+            alarm("no success", "ok_us", late("ok_us", ok_s)), alarm("no start", "start_us", late("start_us", nightly_s)),
+            alarm("never ended", "last.started_us", F.col("last.started_us").isNotNull() & F.col("last.ended_us").isNull()), alarm("failures", "first_us", F.col("failed") >= streak),
+        ).alias("all")
+    )
+    return one.select(F.explode("all").alias("a")).filter("a.on").select("a.alarm", "a.since_us")

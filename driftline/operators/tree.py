@@ -49,19 +49,32 @@ def tree_paths(nodes: DataFrame, key: list[str], order: Column) -> DataFrame:
     return out
 
 
+#: Steps that a round of a closure takes before it writes what it found.
+HOPS = 3
+
+
 def reachable(edges: DataFrame, start: DataFrame) -> DataFrame:
     """id, level: what can be reached from ``start`` (id) over edges (src, dst), at the least number of steps.
 
-    Each round expands only what is new, until nothing is; cycles end as what was seen is never expanded again.
+    A round takes HOPS steps from what was new at the last step of the one before, until nothing is; cycles end
+    as what was seen is never expanded again.
     """
     e = cut(edges.filter("src IS NOT NULL AND dst IS NOT NULL").select("src", "dst").distinct(), "edges")
     seen = cut(start.select("id").distinct().withColumn("level", F.lit(0)), "seen")
-    frontier, k = seen, 0
-    while not frontier.isEmpty():
-        k += 1
-        step = e.join(frontier.select(F.col("id").alias("src")), "src").select(F.col("dst").alias("id")).distinct()
-        frontier = cut(step.join(seen.select("id"), "id", "left_anti").withColumn("level", F.lit(k)), "frontier")
-        seen = seen.unionByName(frontier)
-        if k % 16 == 0:  # a long chain must not make a long plan
+    edge, k = seen, 0
+    while not edge.isEmpty():
+        at, steps = edge.select("id"), []
+        for hop in range(1, HOPS + 1):
+            at = e.join(at.select(F.col("id").alias("src")), "src").select(F.col("dst").alias("id")).distinct().join(seen.select("id"), "id", "left_anti")
+            steps.append(at.withColumn("level", F.lit(k + hop)))
+        found = steps[0]
+        for step in steps[1:]:
+            found = found.unionByName(step)
+        # what is met again within the round keeps its first step
+        found = cut(found.groupBy("id").agg(F.min("level").alias("level")), "frontier")
+        k += HOPS
+        edge = found.filter(F.col("level") == k)
+        seen = seen.unionByName(found)
+        if k % (5 * HOPS) == 0:  # a long chain must not make a long plan
             seen = cut(seen, "seen")
     return seen

@@ -120,9 +120,10 @@ def watermark(spark, d):
 
 
 def page_meta(spark, d):
-    m = _pages(spark, d, None, ["title", "parent_type", "parent_id", "url", "icon", "has_cover", "archived", "in_trash"])
+    m = _pages(spark, d, None, ["title", "parent_type", "parent_id", "created_time", "last_edited_time", "created_by", "last_edited_by", "url", "public_url", "icon", "has_cover", "archived", "in_trash"])
     return m.select(
-        "page_id", X.dashed("page_id").alias("dashed_id"), X.file_name("title").alias("file_name"), X.slug("title").alias("slug"),
+        "page_id", F.coalesce("title", F.lit("")).alias("title"), "parent_type", micros(instant("created_time")).alias("created_us"), micros(instant("last_edited_time")).alias("edited_us"), "created_by", "last_edited_by",
+        "url", F.coalesce("public_url", F.lit("")).alias("public_url"), F.coalesce("has_cover", F.lit(False)).alias("has_cover"), X.time_span("created_time", "last_edited_time").alias("span"), X.dashed("page_id").alias("dashed_id"), X.file_name("title").alias("file_name"), X.slug("title").alias("slug"),
         F.when(F.col("parent_type") == "workspace", "workspace").otherwise(norm_id("parent_id")).alias("parent"),
         F.substring_index("url", "/", -1).alias("url_tail"), F.coalesce(F.nullif(F.col("icon"), F.lit("")), F.lit("none")).alias("icon"),
         F.coalesce("archived", F.lit(False)).alias("archived"), F.coalesce("in_trash", F.lit(False)).alias("in_trash"),
@@ -174,7 +175,8 @@ def force_sql(name: str, at: str | None = None) -> str:
     """A common table expression with the record in force of every page."""
     when = f"WHERE swept_at <= TIMESTAMPTZ '{at}+00'" if at else ""
     return f"""{name} AS (SELECT page_id, r.* FROM (SELECT lower(replace(id, '-', '')) AS page_id, arg_max({{'title': title, 'parent_type': parent_type, 'parent_id': parent_id,
-      'last_edited_time': last_edited_time, 'archived': archived, 'in_trash': in_trash, 'url': url, 'swept_at': swept_at, 'icon': icon, 'has_cover': has_cover, 'created_time': created_time}}, {_ORD}) AS r
+      'last_edited_time': last_edited_time, 'archived': archived, 'in_trash': in_trash, 'url': url, 'swept_at': swept_at, 'icon': icon, 'has_cover': has_cover, 'created_time': created_time,
+      'public_url': public_url, 'created_by': created_by, 'last_edited_by': last_edited_by}}, {_ORD}) AS r
       FROM pages_metadata {when} GROUP BY 1))"""
 
 
@@ -225,7 +227,10 @@ ORACLES = {
       coalesce(nullif(rtrim(left(regexp_replace(regexp_replace(regexp_replace(trim(title), '[\\\\/:*?"<>|\\x00-\\x1f]', ' ', 'g'), '^[. ]+|[. ]+$', '', 'g'), ' +', ' ', 'g'), 150)), ''), 'untitled') AS file_name,
       left(regexp_replace(regexp_replace(lower(title), '[^a-z0-9]+', '-', 'g'), '^-+|-+$', '', 'g'), 50) AS slug,
       CASE WHEN parent_type = 'workspace' THEN 'workspace' ELSE {_ID.format("parent_id")} END AS parent, split_part(url, '/', -1) AS url_tail, coalesce(nullif(icon, ''), 'none') AS icon,
-      coalesce(archived, false) AS archived, coalesce(in_trash, false) AS in_trash FROM n""",
+      coalesce(archived, false) AS archived, coalesce(in_trash, false) AS in_trash, coalesce(title, '') AS title, parent_type, epoch_us(TRY_CAST(created_time AS TIMESTAMPTZ)) AS created_us,
+      epoch_us(TRY_CAST(last_edited_time AS TIMESTAMPTZ)) AS edited_us, created_by, last_edited_by, url, coalesce(public_url, '') AS public_url, coalesce(has_cover, false) AS has_cover,
+      CASE WHEN last_edited_time IS NULL THEN created_time WHEN left(created_time, 10) = left(last_edited_time, 10) AND length(last_edited_time) > 11 THEN concat(created_time, ' → ', substring(last_edited_time, 12))
+        ELSE created_time || ' → ' || last_edited_time END AS span FROM n""",
     "id_dash": f"""SELECT block_no, CASE WHEN length(b) = 32 THEN concat(b[1:8], '-', b[9:12], '-', b[13:16], '-', b[17:20], '-', b[21:32]) ELSE block_id END AS dashed, lower(b) AS bare,
       regexp_full_match(lower(b), '[0-9a-f]{{32}}') AS valid FROM (SELECT block_no, block_id, replace(block_id, '-', '') AS b FROM blocks)""",
     "user_dim": """SELECT delivery_no, pos, coalesce(p.full_name, CASE WHEN p.kind = 'bot' THEN '(bot)' END, u) AS who FROM (

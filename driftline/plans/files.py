@@ -85,12 +85,13 @@ def roundtrip(spark, d):
 
 
 def text_scalars(spark, d):
+    """Scalar functions over whole texts: slugs, cells, escapes and their inverses, lines that begin a block."""
     docs = table(spark, d, "documents")
-    first = F.substring_index("text", "\n", 1)
+    guarded = X.guard_lines("text")
     return docs.select(
-        "doc_id", X.slug(first).alias("slug"), X.md_cell(first).alias("cell"), X.starts_block(first).alias("starts"), X.escape_md(first).alias("escaped"),
-        (X.unescape_md(X.escape_md(first)) == first).alias("same"), F.length(X.mask_stamps("text")).alias("masked_len"), X.comment_mark("text").alias("mark"),
-        F.sha2("text", 256).alias("sha"),
+        "doc_id", X.slug("text").alias("slug"), F.sha2(X.md_cell("text"), 256).alias("cell"), F.size(F.filter(F.split("text", "\n"), X.starts_block)).alias("starts"),
+        F.sha2(X.escape_md("text"), 256).alias("escaped"), F.sha2(X.unescape_md(X.escape_md("text")), 256).alias("unescaped"), F.length(guarded).alias("guarded_len"),
+        F.sha2(X.unguard_lines(guarded), 256).alias("unguarded"), F.length(X.mask_stamps("text")).alias("masked_len"), X.comment_mark("text").alias("mark"), F.sha2("text", 256).alias("sha"),
     )
 
 
@@ -211,7 +212,7 @@ QUERIES = {
 _ID = "lower(replace({}, '-', ''))"
 _NAME = """coalesce(nullif(rtrim(left(regexp_replace(regexp_replace(regexp_replace(trim({0}), '[\\\\/:*?"<>|\\x00-\\x1f]', ' ', 'g'), '^[. ]+|[. ]+$', '', 'g'), ' +', ' ', 'g'), 150)), ''), 'untitled')"""
 _FORCE = f"""n AS (SELECT {_ID.format("id")} AS page_id, arg_max({{'title': title}}, row(coalesce(epoch_us(TRY_CAST(last_edited_time AS TIMESTAMPTZ)), -9000000000000000000), swept_at, delivery_no)) AS r FROM pages_metadata GROUP BY 1)"""
-_FIRST = "split_part(text, chr(10), 1)"
+_LEAD = r"(?:#{1,6}(?: |$)|-(?: |$)|\d+\.(?: |$)|>(?: |$)|\||\$\$|!\[|---\s*$)"
 ORACLES = {
     "cell_flatten": """SELECT delivery_no, coalesce(title, '') AS title, coalesce(parent_type, '') AS kind, CAST(delivery_no AS VARCHAR) AS number, concat_ws(' → ', left(created_time, 10), left(last_edited_time, 10)) AS span,
       coalesce(nullif(last_edited_by, ''), id) AS editor, CASE WHEN has_cover THEN 'true' ELSE 'false' END AS cover, coalesce(url, '') AS url, coalesce(parent_id, '') AS parent,
@@ -226,9 +227,10 @@ ORACLES = {
       k AS (SELECT doc_id, CASE WHEN regexp_matches(t, '^#( |$)') THEN 'heading_1' WHEN regexp_matches(t, '^##( |$)') THEN 'heading_2' WHEN regexp_matches(t, '^#{3,6}( |$)') THEN 'heading_3'
         WHEN regexp_matches(t, '^- \[[ xX]\]( |$)') THEN 'to_do' WHEN t = '---' THEN 'divider' WHEN regexp_matches(t, '^-( |$)') THEN 'bulleted_list_item' WHEN regexp_matches(t, '^\d+\.( |$)') THEN 'numbered_list_item' END AS type FROM l)
       SELECT type, count(*) AS blocks, count(DISTINCT doc_id) AS docs FROM k WHERE type IS NOT NULL GROUP BY 1""",
-    "text_scalars": f"""SELECT doc_id, left(regexp_replace(regexp_replace(lower({_FIRST}), '[^a-z0-9]+', '-', 'g'), '^-+|-+$', '', 'g'), 50) AS slug, replace(replace({_FIRST}, chr(13), ''), '|', '\\|') AS cell,
-      regexp_matches({_FIRST}, '^\\s*(?:#{{1,6}} |[-*+] |\\d+[.)] |>|```|\\||---\\s*$|\\$\\$)') AS starts, regexp_replace({_FIRST}, '([\\\\`*_\\[\\]<>~])', '\\\\\\1', 'g') AS escaped, true AS same,
-      length(regexp_replace(text, '\\d{{4}}-\\d{{2}}-\\d{{2}}(?:[T ]\\d{{2}}:\\d{{2}}(?::\\d{{2}}(?:\\.\\d+)?)?(?:Z|[+-]\\d{{2}}:?\\d{{2}})?)?', '<stamp>', 'g')) AS masked_len,
+    "text_scalars": rf"""SELECT doc_id, left(regexp_replace(regexp_replace(lower(text), '[^a-z0-9]+', '-', 'g'), '^-+|-+$', '', 'g'), 50) AS slug, sha256(replace(replace(replace(text, chr(13), ''), chr(10), ' '), '|', '\|')) AS cell,
+      len(list_filter(string_split(text, chr(10)), lambda l: regexp_matches(l, '^\s*(?:{_LEAD}|```|<!--|<details)'))) AS starts, sha256(regexp_replace(text, '([\\`*~<\[\]])', '\\\1', 'g')) AS escaped, sha256(text) AS unescaped,
+      length(text) + len(list_filter(string_split(text, chr(10)), lambda l: regexp_matches(l, '^\\*{_LEAD}'))) AS guarded_len, sha256(text) AS unguarded,
+      length(regexp_replace(text, '\d{{4}}-\d{{2}}-\d{{2}}(?:[T ]\d{{2}}:\d{{2}}(?::\d{{2}}(?:\.\d+)?)?(?:Z|[+-]\d{{2}}:?\d{{2}})?)?', '<stamp>', 'g')) AS masked_len,
       nullif(regexp_extract(text, '`c:([0-9a-f]+)`', 1), '') AS mark, sha256(text) AS sha FROM documents""",
     "plain_runs": """SELECT delivery_no, pos, array_to_string([x.plain_text for x in c.rich_text], '') = c.text AS agrees, len(c.rich_text) AS runs FROM (
       SELECT delivery_no, unnest(comments) AS c, generate_subscripts(comments, 1) - 1 AS pos FROM webhook_captures) WHERE c.rich_text IS NOT NULL""",

@@ -83,3 +83,30 @@ def write_metadata(meta: DataFrame, path: str, order: list[Column], content: Col
 def append_log(df: DataFrame, path: str) -> None:
     """Append rows to a log of JSON lines."""
     df.write.mode("append").json(path)
+
+
+def document_changes(before: DataFrame, after: DataFrame, key: str) -> DataFrame:
+    """key, verdict of documents (key, path, document) against those of the last run: write, rename (another path, the same text),
+    move (another path and text), remove, or keep.  Only the verdicts but the last touch a file."""
+    a = before.select(key, F.struct("path", "document").alias("_a"))
+    b = after.select(key, F.struct("path", "document").alias("_b"))
+    same_path, same_text = F.col("_a.path").eqNullSafe(F.col("_b.path")), F.col("_a.document").eqNullSafe(F.col("_b.document"))
+    verdict = F.when(F.col("_a").isNull(), "write").when(F.col("_b").isNull(), "remove").when(same_path & same_text, "keep").when(same_path, "write").when(same_text, "rename").otherwise("move")
+    return a.join(b, key, "full_outer").select(key, verdict.alias("verdict"))
+
+
+def with_stamp(document: Column, stamp: Column, marker: str, enrichment: Column) -> Column:
+    """A document with its stamp line, the marker, and below it the enrichment carried over as it is."""
+    return F.concat(F.lit("<!-- generated "), stamp, F.lit(" -->\n"), document, F.lit(f"\n\n{marker}\n"), F.coalesce(enrichment, F.lit("")))
+
+
+def without_stamp(document: Column) -> Column:
+    """The document that a stamp line does not change: what two runs are compared by."""
+    return F.regexp_replace(document, r"^<!-- generated [^>]* -->\n", "")
+
+
+def schema_document(columns: DataFrame, table: str, pos: str, name: str) -> DataFrame:
+    """table, document: a section with a pipe table of each table's columns in order."""
+    line = F.concat(F.lit("| "), (F.col(pos) + 1).cast("string"), F.lit(" | "), F.replace(F.col(name), F.lit("|"), F.lit("\\|")), F.lit(" |"))
+    rows = columns.groupBy(table).agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct(pos, line.alias("line")))), lambda x: x["line"]), "\n").alias("body"))  # a table's columns
+    return rows.select(table, F.concat(F.lit("## "), F.col(table), F.lit("\n\n| # | column |\n|---|---|\n"), "body").alias("document"))
