@@ -27,7 +27,7 @@ from __future__ import annotations
 import hashlib
 import zlib
 from collections.abc import Callable, Iterable, Iterator
-from itertools import combinations
+from itertools import combinations, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -114,9 +114,7 @@ class ItemIndex:
             self.tables.append((order, np.concatenate([[0], np.cumsum(np.bincount(blocks[:, b], minlength=1 << 16))])))
 
     def codes(self, ws: list[str]) -> np.ndarray:
-        none = len(self.vocabulary)
-        get = self.vocabulary.get
-        return np.fromiter((get(w, none) for w in ws), np.int64, len(ws))
+        return np.fromiter(map(self.vocabulary.get, ws, repeat(len(self.vocabulary))), np.int64, len(ws))
 
     def fingerprints(self, codes: np.ndarray, places: np.ndarray | None = None) -> np.ndarray:
         """The four blocks of the SimHash of the windows at these places, or of all."""
