@@ -119,7 +119,7 @@ def mix(
     block = F.pmod(F.col("place"), F.lit(blocks)).cast("int")
     sub = F.pmod(F.shiftrightunsigned("place", 20), F.lit(SUB_BLOCKS)).cast("int")
     rows = counted.withColumns({"block": block, "sub": sub})
-    size = {(r.source, r.block): (r.t, r.n) for r in rows.groupBy("source", "block").agg(F.sum("n_tokens").alias("t"), F.count("*").alias("n")).toLocalIterator()}
+    size = {(r.source, r.block): (r.t, r.n) for r in rows.groupBy("source", "block").agg(F.sum("n_tokens").alias("t"), F.count("*").alias("n")).collect()}
     tokens = {s: np.array([size.get((s, b), (0, 0))[0] for b in range(blocks)], np.int64) for s in names}
     records = sum(n for _, n in size.values())
     rng = np.random.default_rng(seed)
