@@ -108,6 +108,7 @@ class ItemIndex:
         blocks = np.vstack([self.fingerprints(c) for c in codes]) if codes else np.zeros((0, BLOCKS), np.uint16)
         self.prints = _joined(blocks)
         self.tables = []
+        self._near: dict[tuple[int, int], np.ndarray] = {}
         for b in range(BLOCKS):
             # the windows in order of the block's value, and where each value begins
             order = np.argsort(blocks[:, b], kind="stable").astype(np.int32)
@@ -128,20 +129,30 @@ class ItemIndex:
     def candidates(self, blocks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(index of the fingerprint, index of the item window) for all pairs within RADIUS bits."""
         prints, left, right = _joined(blocks), [], []
-        for b, (entries, starts) in enumerate(self.tables):
-            # all values near the block's own, and the windows that stand under them
-            near = (blocks[:, b].astype(np.int32)[:, None] ^ _MASKS[None, :]).ravel()
-            n = starts[near + 1] - starts[near]
-            some = np.nonzero(n)[0]
-            near, n = near[some], n[some]
-            first = np.cumsum(n) - n
-            mine = np.repeat(some // len(_MASKS), n)
-            hits = entries[np.repeat(starts[near] - first, n) + np.arange(len(mine))]
+        for b in range(BLOCKS):
+            values, which = np.unique(blocks[:, b], return_inverse=True)
+            lists = [self._neighbours(b, v) for v in values.tolist()]
+            n = np.array([len(x) for x in lists])[which]
+            mine = np.repeat(np.arange(len(blocks)), n)
+            hits = np.concatenate([lists[k] for k in which.tolist()])
             close = np.bitwise_count(prints[mine] ^ self.prints[hits]) <= RADIUS
             left.append(mine[close])
             right.append(hits[close])
         return np.concatenate(left), np.concatenate(right)
 
+    def _neighbours(self, b: int, value: int) -> np.ndarray:
+        """The item windows whose block b is within SUB_RADIUS bits of a value; copies of a passage ask for the same values again."""
+        got = self._near.get((b, value))
+        if got is None:
+            if len(self._near) > 50_000:
+                self._near.clear()
+            entries, starts = self.tables[b]
+            near = _MASKS ^ np.int32(value)
+            n = starts[near + 1] - starts[near]
+            first = np.cumsum(n) - n
+            got = self._near[b, value] = entries[np.repeat(starts[near] - first, n) + np.arange(n.sum())]
+        return got
+
     def _holds(self, ws: list[str], item: list[str], shift: int) -> bool:
         """Whether the document words hold a passage of the item on this diagonal (document place - item place)."""
         a, b = max(0, shift), min(len(ws), len(item) + shift)
