@@ -76,13 +76,18 @@ def p4_runs(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+def p4_block_rows(spark: SparkSession, d: str) -> DataFrame:
+    """The block table without its row numbers: what each block says of itself, and where it stands."""
+    return p4_blocks(spark, d).select("tree_no", "block_id", "parent_id", "pos", "block_type", "has_children")
+
+
 def p4_links(spark: SparkSession, d: str) -> DataFrame:
     """Every table of the shredded records with its parent tables, and how many rows have no parent row (none may)."""
     trees = table(spark, d, "block_trees")
     return nested.links(nested.shred(trees, nested.analysed_plan(trees)))
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_report, p1_current, p2_found, p3_found, p3_kept, p4_found, p4_blocks, p4_runs, p4_links)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_report, p1_current, p2_found, p3_found, p3_kept, p4_found, p4_blocks, p4_block_rows, p4_runs, p4_links)}
 
 _REFS = """refs AS (
   SELECT block_no, listed_at, target_table, needs_db, lower(replace(ref, '-', '')) AS key FROM (
@@ -140,7 +145,13 @@ _BLOCKS = """b AS (SELECT tree_no, CAST(body AS JSON) AS j FROM block_trees WHER
 _P4 = f"""WITH RECURSIVE {_BLOCKS}, runs AS (SELECT tree_no, parent, lower(replace(coalesce(x ->> '$.id', ''), '-', '')) AS id, p, json_extract(x, '$.' || p) AS r FROM block, (VALUES {", ".join(f"('{p}')" for p in RUN_PATHS)}) AS v(p)),
   each_run AS (SELECT tree_no, parent, id, p, unnest(from_json(r, '["JSON"]')) AS one, generate_subscripts(from_json(r, '["JSON"]'), 1) - 1 AS i FROM runs WHERE json_type(r) = 'ARRAY')
 SELECT tree_no, id AS block_id, parent AS parent_id, p AS field_path, i AS run_pos FROM each_run WHERE coalesce(one ->> '$.plain_text', '') <> ''"""
+_AT = "generate_subscripts(from_json({0}, '[\"JSON\"]'), 1) - 1"
+_P4_ROWS = f"""WITH RECURSIVE {_BLOCKS.partition("block AS (")[0]}block AS (SELECT tree_no, parent, unnest(from_json(blocks, '["JSON"]')) AS x, {_AT.format("blocks")} AS pos FROM listed WHERE json_type(blocks) = 'ARRAY'
+    UNION ALL SELECT tree_no, parent, unnest(from_json(kids, '["JSON"]')), {_AT.format("kids")} FROM (SELECT tree_no, lower(replace(coalesce(x ->> '$.id', ''), '-', '')) AS parent, json_extract(x, '$."' || (x ->> '$.type') || '".children') AS kids FROM block)
+      WHERE json_type(kids) = 'ARRAY')
+SELECT tree_no, lower(replace(coalesce(x ->> '$.id', ''), '-', '')) AS block_id, parent AS parent_id, pos, x ->> '$.type' AS block_type, x ->> '$.has_children' AS has_children FROM block WHERE json_type(x) = 'OBJECT'"""
 ORACLES = {
+    "p4_block_rows": _P4_ROWS,
     "p4_found": _P4,
     "p1_found": _P1,
     "p1_report": f"SELECT target_table, period, count(*) AS orphans FROM ({_P1}) GROUP BY ALL",
