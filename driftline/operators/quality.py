@@ -115,3 +115,26 @@ def not_covered(left: DataFrame, right: DataFrame, key: str, words: str) -> Data
     both = left.select(key, F.col(words).alias("_a")).join(right.select(key, F.col(words).alias("_b")), key, "left")
     missing = F.size(F.array_except("_a", F.coalesce("_b", F.array().cast("array<string>"))))
     return both.select(key, missing.alias("missing")).filter("missing > 0")
+
+
+def word_set(c: Column) -> Column:
+    """The distinct words of a text in small letters."""
+    return F.array_distinct(F.filter(F.split(F.lower(c), r"[^\p{L}\p{N}]+"), lambda w: w != ""))
+
+
+def uncovered_properties(properties: DataFrame, documents: DataFrame, key: str) -> DataFrame:
+    """Properties (key, name, value) that the document of their key does not cover: it has no table row of that name, and not all words of the value.
+
+    A key without a document covers nothing but values without words; empty values need no cover.
+    """
+    docs = documents.select(key, "document", word_set(F.col("document")).alias("_words"))
+    both = properties.filter("value <> ''").join(docs, key, "left")
+    named = F.coalesce(F.contains("document", F.concat(F.lit("| "), F.col("name"), F.lit(" |"))), F.lit(False))
+    there = F.size(F.array_except(word_set(F.col("value")), F.coalesce("_words", F.array().cast("array<string>")))) == 0
+    return both.filter(~(named | there)).select(*properties.columns)
+
+
+def replaced_documents(old: DataFrame, properties: DataFrame, documents: DataFrame, probed: DataFrame, key: str) -> DataFrame:
+    """Keys of ``old`` documents that may go: probed, with a document now that covers every property the old one had."""
+    missing = uncovered_properties(properties, documents, key).select(key).distinct()
+    return old.select(key).distinct().join(probed.select(key), key, "left_semi").join(documents.select(key), key, "left_semi").join(missing, key, "left_anti")

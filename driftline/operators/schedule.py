@@ -7,6 +7,8 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from driftline.core.scan import bucket_folds, time_buckets
+from driftline.core.store import cut
 from driftline.operators.changes import positions
 
 
@@ -62,12 +64,23 @@ def throttle(alerts: DataFrame, bucket: list[str], at: str, every: str = "1 hour
     return w.select(*bucket, "sent_at", "suppressed")
 
 
-def islands(events: DataFrame, key: str, kind: str, order: list[str]) -> DataFrame:
-    """Runs of consecutive events of one kind: key, kind, island (from 1), n."""
-    w = Window.partitionBy(key).orderBy(*order)
-    start = F.when(F.lag(kind).over(w).eqNullSafe(F.col(kind)) & (F.row_number().over(w) > 1), 0).otherwise(1)
-    marked = events.withColumn("_s", start).withColumn("island", F.sum("_s").over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    return marked.groupBy(key, kind, "island").agg(F.count("*").alias("n"))
+def islands(events: DataFrame, key: str, kind: str, at: str, tie: str) -> DataFrame:
+    """Runs of consecutive events of one kind, in order of the number ``at`` (microseconds), then ``tie``: key, kind, island (from 1), n.
+
+    A key is cut into buckets of ``at`` (see core.scan): what a bucket inherits is the last event and the number
+    of runs before it, so no task sorts all events of a key.  Events without a key or ``at`` are left out.
+    """
+    rows, _, refined = time_buckets(events.filter(F.col(at).isNotNull()).select(key, kind, at, tie), key, at)
+    last = bucket_folds(rows, key, {"last": F.max(F.struct(at, tie, kind))}, {"last": F.max}, refined).select(key, "bucket", F.col("before_last").alias("_before"))
+    inside = Window.partitionBy(key, "bucket").orderBy(at, tie)
+    both = rows.join(last, [key, "bucket"])
+    # a run begins where the event before is of another kind, or there is none
+    before = F.coalesce(F.lag(F.struct(F.col(kind).alias("k"))).over(inside), F.when(F.col("_before").isNotNull(), F.struct(F.col(f"_before.{kind}").alias("k"))))
+    marked = cut(both.select(key, "bucket", kind, at, tie, F.when(before.isNull() | ~before["k"].eqNullSafe(F.col(kind)), 1).otherwise(0).alias("_s")), "islands")
+    runs = bucket_folds(marked, key, {"runs": F.sum("_s")}, {"runs": F.sum}, refined).select(key, "bucket", F.coalesce("before_runs", F.lit(0)).alias("_past"))
+    running = F.sum("_s").over(inside.rowsBetween(Window.unboundedPreceding, 0))
+    numbered = marked.join(runs, [key, "bucket"]).withColumn("island", F.col("_past") + running)
+    return numbered.groupBy(key, kind, "island").agg(F.count("*").alias("n"))
 
 
 def head_of_line(events: DataFrame, order: str, limit: int) -> DataFrame:

@@ -65,6 +65,27 @@ def document_sync(spark, d):
     return sinks.document_changes(_row_documents(spark, d, EARLIER), _row_documents(spark, d, None), "page_id").groupBy("verdict").agg(F.count("*").alias("documents"))
 
 
+def _old_properties(spark, d):
+    p = _pages(spark, d, EARLIER, ["title", "parent_type", "url", "public_url"])
+    one = lambda c: F.struct(F.lit(c).alias("name"), F.coalesce(c, F.lit("")).alias("value"))
+    return p.select("page_id", F.explode(F.array(*[one(c) for c in ("title", "parent_type", "url", "public_url")])).alias("x")).select("page_id", "x.*").filter("value <> ''")
+
+
+def uncovered_properties(spark, d):
+    """Properties of the earlier documents that the documents of today do not cover."""
+    from driftline.operators.quality import uncovered_properties as uncovered
+
+    return uncovered(_old_properties(spark, d), _row_documents(spark, d, None), "page_id").select("page_id", "name")
+
+
+def replaced_documents(spark, d):
+    """Earlier documents that today's replace: their page was fetched, and every property is covered."""
+    from driftline.operators.quality import replaced_documents as replaced
+
+    probed = table(spark, d, "block_trees").select(norm_id("page_id").alias("page_id"))
+    return replaced(_row_documents(spark, d, EARLIER), _old_properties(spark, d), _row_documents(spark, d, None), probed, "page_id")
+
+
 def tree_levels(spark, d):
     """Folders of three levels (kind of parent, parent, page) with the pages below, twenty a folder, equal names told apart by id."""
     p = _pages(spark, d, None, ["title", "parent_type", "parent_id"]).select("page_id", "parent_type", norm_id("parent_id").alias("parent"), F.lower(X.file_name("title")).alias("name"))
@@ -163,7 +184,7 @@ def endpoint_families(spark, d):
 QUERIES = {
     f.__name__: f
     for f in (
-        block_listing, comment_documents, schema_documents, document_sync, tree_levels, relative_links, thread_repair, multi_home_ids, audit_pool, pending_discovery, run_alarms, breach_order, probe_rows, endpoint_families,
+        block_listing, comment_documents, schema_documents, document_sync, uncovered_properties, replaced_documents, tree_levels, relative_links, thread_repair, multi_home_ids, audit_pool, pending_discovery, run_alarms, breach_order, probe_rows, endpoint_families,
     )
 }
 
@@ -171,10 +192,16 @@ _ID = "lower(replace({}, '-', ''))"
 _NAME = """coalesce(nullif(rtrim(left(regexp_replace(regexp_replace(regexp_replace(trim({0}), '[\\\\/:*?"<>|\\x00-\\x1f]', ' ', 'g'), '^[. ]+|[. ]+$', '', 'g'), ' +', ' ', 'g'), 150)), ''), 'untitled')"""
 _DOC = """concat_ws(chr(10), '# ' || coalesce(nullif(trim({0}.title), ''), 'untitled'), '| property | value |' || chr(10) || '|---|---|',
   nullif(concat_ws(chr(10), CASE WHEN {0}.parent_type <> '' THEN '| parent_type | ' || {0}.parent_type || ' |' END, CASE WHEN {0}.url <> '' THEN '| url | ' || replace({0}.url, '|', '\\|') || ' |' END), ''))"""
+_WORDS = "list_distinct(list_filter(regexp_split_to_array(lower({0}), '[^\\p{{L}}\\p{{N}}]+'), lambda w: w <> ''))"
+_UNCOVERED = f"""{force_sql("o", EARLIER)}, {force_sql("n")}, p AS (SELECT page_id, unnest(['title', 'parent_type', 'url', 'public_url']) AS name, unnest([coalesce(title, ''), coalesce(parent_type, ''), coalesce(url, ''), coalesce(public_url, '')]) AS value FROM o),
+  doc AS (SELECT page_id, {_DOC.format("n")} || chr(10) || chr(10) || '<!-- enrichment -->' || chr(10) AS document FROM n),
+  miss AS (SELECT p.page_id, name FROM p LEFT JOIN doc USING (page_id) WHERE value <> '' AND NOT (coalesce(contains(document, '| ' || name || ' |'), false) OR len(list_filter({_WORDS.format("value")}, lambda w: NOT list_contains({_WORDS.format("coalesce(document, '')")}, w))) = 0))"""
 _THREADS = f"""{PC._ROWS}, filed AS (SELECT delivery_no, pos, cid, thread, home, seen FROM rows WHERE home IS NOT NULL UNION ALL
     SELECT delivery_no + 1000000000000, pos, CASE WHEN delivery_no % 2 = 0 THEN cid ELSE 'x' || cid END, thread, reverse(home), seen FROM rows WHERE home IS NOT NULL AND delivery_no % 3 = 0),
   owners AS (SELECT thread, arg_min(home, row(CASE WHEN seen IS NULL THEN 1 ELSE 0 END, delivery_no, pos)) AS owner FROM filed WHERE thread IS NOT NULL GROUP BY 1)"""
 ORACLES = {
+    "uncovered_properties": f"WITH {_UNCOVERED} SELECT * FROM miss",
+    "replaced_documents": f"""WITH {_UNCOVERED} SELECT page_id FROM o WHERE page_id IN (SELECT {_ID.format("page_id")} FROM block_trees) AND page_id IN (SELECT page_id FROM n) AND page_id NOT IN (SELECT page_id FROM miss)""",
     "block_listing": f"""WITH RECURSIVE {PS._TREE}, ord AS (SELECT *, row_number() OVER (PARTITION BY page_id ORDER BY path) AS rn FROM t),
       has AS (SELECT page_id, {_ID.format("block_id")} AS id, arg_min(has_children, block_no) AS has FROM blocks WHERE block_id IS NOT NULL GROUP BY 1, 2), kid AS (SELECT DISTINCT page_id, parent AS id FROM b WHERE parent IS NOT NULL)
       SELECT ord.page_id, count(*) FILTER (rn <= {MOST_BLOCKS}) AS listed, coalesce(bool_or(rn <= {MOST_BLOCKS} AND has.has AND kid.id IS NULL), false) AS partial, count(*) > {MOST_BLOCKS} AS truncated

@@ -117,12 +117,12 @@ def audit_queue_dedup(spark, d):
 
 
 def run_islands(spark, d):
-    return S.islands(table(spark, d, "events").select("user_id", "event_type", "ts", "event_id"), "user_id", "event_type", ["ts", "event_id"])
+    return S.islands(table(spark, d, "events").select("user_id", "event_type", micros("ts").alias("us"), "event_id"), "user_id", "event_type", "us", "event_id")
 
 
 def outcome_islands(spark, d):
     """Runs of equal outcomes of the nightly runs."""
-    return S.islands(table(spark, d, "sweep_runs").select(F.lit("nightly").alias("job"), "outcome", "run_no"), "job", "outcome", ["run_no"])
+    return S.islands(table(spark, d, "sweep_runs").select(F.lit("nightly").alias("job"), "outcome", F.col("run_no").cast("bigint").alias("no"), "run_no"), "job", "outcome", "no", "run_no")
 
 
 def _nodes(spark, d, at=None):

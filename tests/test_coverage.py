@@ -130,3 +130,29 @@ def test_clocks_and_pending_sets(spark):
     assert {tuple(r) for r in S.audit_pool(clock, alive, "k", "last").collect()} == {("a", 5), ("new", None)}
     one = lambda *ks: spark.createDataFrame([(k,) for k in ks], "k string")
     assert sorted(r.k for r in S.carried_over(one("a", "b"), one("b", "c"), one("a"), "k").collect()) == ["b", "c"]
+
+
+def test_runs_of_one_kind_across_buckets(spark, monkeypatch):
+    from itertools import groupby
+
+    from driftline.core import scan
+
+    h = 3_600_000_000
+    rows = [(k, kind, at, n) for k in "ab" for n, (kind, at) in enumerate([("x", 0), ("x", 5), (None, h), (None, 3 * h), ("x", 3 * h + 1), ("y", 3 * h + 1), ("y", 9 * h), ("y", 9 * h + 2), ("x", 9 * h + 2)])]
+    rows += [("hot", "xy"[(i // 7) % 2], 20 * h + i, i) for i in range(50)] + [("a", "x", None, 99), (None, "x", 1, 1)]
+    df = spark.createDataFrame(rows, "k string, kind string, us bigint, no int")
+    want = set()
+    for key in ("a", "b", "hot"):
+        mine = sorted(((r[2], r[3], r[1]) for r in rows if r[0] == key and r[2] is not None), key=lambda r: r[:2])
+        want |= {(key, kind, i + 1, len(list(g))) for i, (kind, g) in enumerate(groupby(mine, key=lambda r: r[2]))}
+    for limit in (50_000, 5):
+        monkeypatch.setattr(scan, "HOT_ROWS", limit)
+        assert {tuple(r) for r in S.islands(df, "k", "kind", "us", "no").collect()} == want
+
+
+def test_properties_that_a_document_covers(spark):
+    p = spark.createDataFrame([("a", "t", "Blue sky"), ("a", "u", "not there"), ("a", "named", "zzz"), ("a", "e", ""), ("b", "t", "x"), ("b", "n", None), ("c", "t", "--")], "k string, name string, value string")
+    d = spark.createDataFrame([("a", "# The SKY is blue\n| named | y |"), ("c", None)], "k string, document string")
+    assert {tuple(r) for r in Q.uncovered_properties(p, d, "k").collect()} == {("a", "u", "not there"), ("b", "t", "x")}
+    old, probed = spark.createDataFrame([("a",), ("b",), ("c",), ("c",)], "k string"), spark.createDataFrame([("a",), ("c",)], "k string")
+    assert [r.k for r in Q.replaced_documents(old, p, d, probed, "k").collect()] == ["c"]
