@@ -104,3 +104,15 @@ def split_matched(left: DataFrame, right: DataFrame, key: str, flag: str = "matc
 def unanswered(candidates: DataFrame, key: str, answered: list[DataFrame]) -> DataFrame:
     """Distinct candidates that none of the sets of already answered keys holds."""
     return reduce(lambda a, b: a.join(b.select(key), key, "left_anti"), answered, candidates.select(key).distinct())
+
+
+def completed_lists(short: DataFrame, full: DataFrame, key: str, items: str, cap: int) -> DataFrame:
+    """key, items, state of lists of which a first look returned ``cap`` items at most (short: key, items, has_more; full: key, items).
+
+    Lists that say they go on, or have exactly ``cap`` items, are looked up: ``refetched`` with what the lookup has,
+    ``short`` (as they were, and to be reported) where it fails.  The others are ``complete``.
+    """
+    asked = F.coalesce("has_more", F.lit(False)) | (F.size(items) == cap)
+    both = short.join(full.select(key, F.col(items).alias("_full")), key, "left")
+    state = F.when(~F.coalesce(asked, F.lit(False)), "complete").when(F.col("_full").isNotNull(), "refetched").otherwise("short")
+    return both.select(key, F.when(state == "refetched", F.col("_full")).otherwise(F.col(items)).alias(items), state.alias("state"))

@@ -113,16 +113,16 @@ def union_missing(fresh: DataFrame, captured: DataFrame, key: str, today: str) -
 
 
 def consuming_join(left: DataFrame, right: DataFrame, keys: list[str], left_order: list[str], right_order: list[str], columns: list[str]) -> DataFrame:
-    """Pairs of the n-th left with the n-th right row of a key; each row is used once.
+    """Pairs of the n-th left with the n-th right row of a key; each row is used once.  Null keys pair with nothing.
 
-    Ranking needs the rows of a key in one place: a key with very many rows is first cut to what its smaller
-    side can pair, which loses no pair since only the first min(n, m) of either side can meet.
+    Rows are numbered within their key by one distributed order (see schedule.group_positions), so a key with
+    a third of all rows is no task's alone.
     """
-    n = left.groupBy(*keys).agg(F.count("*").alias("_n")).join(right.groupBy(*keys).agg(F.count("*").alias("_m")), keys).select(*keys, F.least("_n", "_m").alias("_k"))
+    held = " AND ".join(f"{k} IS NOT NULL" for k in keys)
+    both = left.filter(held).select(*keys).distinct().join(right.filter(held).select(*keys).distinct(), keys)  # the others pair with nothing
 
     def ranked(df: DataFrame, order: list[str]) -> DataFrame:
-        w = Window.partitionBy(*keys).orderBy(*order)
-        return df.join(n, keys).withColumn("_r", F.row_number().over(w)).filter("_r <= _k").drop("_k")
+        return group_positions(df.join(both, keys, "left_semi"), keys, order, "_r")
 
     return ranked(left, left_order).join(ranked(right, right_order).select(*keys, "_r", *columns), [*keys, "_r"]).drop("_r")
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from driftline.core.tables import table
 from driftline.functions import text as X
 from driftline.functions.keys import norm_id
+from driftline.operators import changes as C
 from driftline.operators import comments as M
 from driftline.plans.changes import EARLIER, _pages, force_sql
 
@@ -225,10 +226,13 @@ def sticky_date(spark, d):
 
 
 def capped_list(spark, d):
-    """Threads whose listing was cut at three comments, completed by a lookup of the full one."""
-    per = _rows(spark, d).filter("thread IS NOT NULL AND cid IS NOT NULL").groupBy("thread").agg(F.countDistinct("cid").alias("full_n"))
-    cut = per.select("thread", F.least("full_n", F.lit(3)).alias("short_n"), "full_n")
-    return cut.filter("short_n = 3").select("thread", "short_n", "full_n", (F.col("full_n") > F.col("short_n")).alias("was_cut"))
+    """The comment ids of each thread, first as a listing of three gives them, then completed by a lookup that knows the pages of the mirror only."""
+    rows = _rows(spark, d).filter("thread IS NOT NULL AND cid IS NOT NULL")
+    full = rows.groupBy("thread").agg(F.array_sort(F.collect_set("cid")).alias("ids"), F.min("home").alias("home"))  # a thread's own comments
+    short = full.select("thread", F.slice("ids", 1, 3).alias("ids"), (F.size("ids") > 3).alias("has_more"))
+    pages = table(spark, d, "pages_metadata").filter("NOT coalesce(archived, false)").select(norm_id("id").alias("home")).distinct()
+    done = C.completed_lists(short, full.join(pages, "home", "left_semi").select("thread", "ids"), "thread", "ids", 3)
+    return done.select("thread", F.size("ids").alias("n"), F.array_join("ids", ",").alias("ids"), "state")
 
 
 QUERIES = {
@@ -322,5 +326,7 @@ ORACLES = {
       SELECT delivery_no, pos, CASE WHEN home = owner THEN 'keep' ELSE 'drop' END AS fate FROM k JOIN o USING (key)""",
     "sticky_date": """SELECT user_id, strftime(min(ts), '%Y-%m-%d') AS missed_on FROM events LEFT JOIN (SELECT user_id, max(ts) AS ok FROM events WHERE event_type = 'purchase' GROUP BY 1) USING (user_id)
       WHERE event_type = 'error' AND (ok IS NULL OR ts > ok) GROUP BY 1""",
-    "capped_list": f"""WITH {_ROWS} SELECT thread, 3 AS short_n, count(DISTINCT cid) AS full_n, count(DISTINCT cid) > 3 AS was_cut FROM rows WHERE thread IS NOT NULL AND cid IS NOT NULL GROUP BY 1 HAVING count(DISTINCT cid) >= 3""",
+    "capped_list": f"""WITH {_ROWS}, f AS (SELECT thread, list_sort(list_distinct(list(cid))) AS ids, min(home) AS home FROM rows WHERE thread IS NOT NULL AND cid IS NOT NULL GROUP BY 1),
+      s AS (SELECT *, CASE WHEN len(ids) < 3 THEN 'complete' WHEN home IN (SELECT {_ID.format("id")} FROM pages_metadata WHERE NOT coalesce(archived, false) AND id IS NOT NULL) THEN 'refetched' ELSE 'short' END AS state FROM f)
+      SELECT thread, CAST(len(CASE state WHEN 'short' THEN ids[1:3] ELSE ids END) AS INT) AS n, array_to_string(CASE state WHEN 'short' THEN ids[1:3] ELSE ids END, ',') AS ids, state FROM s""",
 }
