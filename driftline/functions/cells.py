@@ -13,9 +13,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-from driftline.functions.keys import _col
-
-
 _TEXTS, _NAMED = "array<struct<plain_text:string>>", "array<struct<name:string>>"
 _PERSON = "struct<name:string,id:string>"
 #: All that a cell may need of a property, whatever its type: one reading of its JSON text.
@@ -27,15 +24,13 @@ PARTS = (
 )
 
 
-def parts_of(prop: Column | str) -> Column:
-    """The parts of a property; all null where it is not JSON, a part null where it has another shape."""
-    return F.from_json(_col(prop), PARTS)
+def parts_of(prop: str) -> str:
+    """SQL text of the parts of a property's column; all null where it is not JSON, a part null where it has another shape."""
+    return f"from_json({prop}, '{PARTS}')"
 
 
 def _form(v) -> str:
     """The textual form of a value: None, True, numbers as they print, objects with single quotes."""
-    if isinstance(v, dict):
-        return str(v)
     return str(v)
 
 
@@ -75,44 +70,44 @@ def nested_cell(raw: pd.Series) -> pd.Series:
     return raw.map(one, na_action="ignore")
 
 
-def cell(prop: Column | str, parts: Column | str | None = None) -> Column:
-    """The cell text of one property; empty for null values, the raw text for what cannot be read.
-
-    ``parts`` are the property's parts where a projection before this one has read them already.
+_PLAIN_KINDS = ("number", "url", "email", "phone_number", "created_time", "last_edited_time", "button")
+
+
+def _cell_text(p: str, v: str) -> str:
+    """SQL text of a cell, from the columns of a property's JSON text and of its parts.  Text, as it is read much faster than a tree of columns is built."""
+    joined = lambda xs, one, by: f"coalesce(array_join(transform({v}.{xs}, x -> {one}), '{by}'), '')"
+    named = lambda x: f"coalesce(nullif({x}.name, ''), {x}.id)"
+    cases = {
+        **{k: joined(k, "coalesce(x.plain_text, '')", "") for k in ("title", "rich_text")},
+        **{k: f"coalesce({v}.{k}, '')" for k in _PLAIN_KINDS},
+        **{k: f"coalesce({v}.{k}.name, '')" for k in ("select", "status")},
+        **{k: f"coalesce({named(f'{v}.{k}')}, '')" for k in ("created_by", "last_edited_by")},
+        "multi_select": joined("multi_select", "x.name", ", "),
+        "date": f"concat_ws(' → ', {v}.date.start, {v}.date.end)",
+        "people": joined("people", named("x"), ", "),
+        "files": joined("files", "coalesce(nullif(x.name, ''), x.external.url, x.file.url)", ", "),
+        "checkbox": f"if({v}.checkbox <=> 'true', 'true', 'false')",
+        "relation": joined("relation", "x.id", ", "),
+        "unique_id": f"if({v}.unique_id.number IS NULL, '', concat_ws('-', nullif({v}.unique_id.prefix, ''), {v}.unique_id.number))",
+        "verification": f"coalesce({v}.verification.state, '')",
+    }
+    other = rf"""coalesce(regexp_extract({p}, r'"type"\s*:\s*"[^"]*"\s*,\s*"[^"]*"\s*:\s*(.*)\}}\s*$', 1), '')"""
+    when = " ".join(f"WHEN '{k}' THEN {text}" for k, text in cases.items())
+    return f"CASE WHEN {v}.type IS NULL THEN coalesce({p}, '') ELSE CASE {v}.type {when} ELSE {other} END END"
+
+
+def cell(prop: str, parts: str | None = None) -> Column:
+    """The cell text of a property's column; empty for null values, the raw text for what cannot be read.
+
+    ``parts`` is the column of the property's parts where a projection before this one has read them already.
     """
-    p, v = _col(prop), parts_of(prop) if parts is None else _col(parts)
-    kind, none = v["type"], F.lit("")
-    joined = lambda xs, one, by: F.coalesce(F.array_join(F.transform(xs, one), by), none)
-    text = lambda c: F.coalesce(c, none)
-    named = lambda x: F.coalesce(F.nullif(x["name"], none), x["id"])
-    plain = lambda c: joined(v[c], lambda x: text(x["plain_text"]), "")
-    unique = v["unique_id"]
-    out = F.when(kind == "title", plain("title")).when(kind == "rich_text", plain("rich_text"))
-    for k in ("number", "url", "email", "phone_number", "created_time", "last_edited_time", "button"):
-        out = out.when(kind == k, text(v[k]))
-    for k in ("select", "status"):
-        out = out.when(kind == k, text(v[k]["name"]))
-    for k in ("created_by", "last_edited_by"):
-        out = out.when(kind == k, text(named(v[k])))
-    return (
-        out.when(kind == "multi_select", joined(v["multi_select"], lambda x: x["name"], ", "))
-        .when(kind == "date", F.concat_ws(" → ", v["date"]["start"], v["date"]["end"]))
-        .when(kind == "people", joined(v["people"], named, ", "))
-        .when(kind == "files", joined(v["files"], lambda x: F.coalesce(F.nullif(x["name"], none), x["external"]["url"], x["file"]["url"]), ", "))
-        .when(kind == "checkbox", F.when(v["checkbox"] == "true", "true").otherwise("false"))
-        .when(kind == "relation", joined(v["relation"], lambda x: x["id"], ", "))
-        .when(kind == "unique_id", F.when(unique["number"].isNull(), "").otherwise(F.concat_ws("-", F.nullif(unique["prefix"], none), unique["number"])))
-        .when(kind == "verification", text(v["verification"]["state"]))
-        .when(kind.isNull(), text(p))
-        .otherwise(text(F.regexp_extract(p, r'"type"\s*:\s*"[^"]*"\s*,\s*"[^"]*"\s*:\s*(.*)\}\s*$', 1)))
-    )
-
-
-def full_cell(prop: Column | str, parts: Column | str | None = None) -> Column:
+    return F.expr(_cell_text(prop, parts or parts_of(prop)))
+
+
+def full_cell(prop: str, parts: str | None = None) -> Column:
     """As ``cell``, with formulas and rollups."""
-    p = _col(prop)
-    nested = (F.get_json_object(p, "$.type") if parts is None else _col(parts)["type"]).isin("formula", "rollup")
-    return F.when(nested, nested_cell(F.when(nested, p))).otherwise(cell(p, parts))
+    nested = F.coalesce(F.expr(f"{parts or parts_of(prop)}.type IN ('formula', 'rollup')"), F.lit(False))
+    return F.when(nested, nested_cell(F.when(nested, F.col(prop)))).otherwise(cell(prop, parts))
 
 
 def flatten_cells(rows: DataFrame, keep: list[str], props: dict[str, Column], nested: set[str] = frozenset()) -> DataFrame:
@@ -121,5 +116,5 @@ def flatten_cells(rows: DataFrame, keep: list[str], props: dict[str, Column], ne
     Properties that may be formulas or rollups are named in ``nested``.
     """
     first = rows.select(*keep, *[c.alias(f"_p_{k}") for k, c in props.items()])
-    read = first.select("*", *[parts_of(f"_p_{k}").alias(f"_v_{k}") for k in props])
+    read = first.select("*", *[F.expr(parts_of(f"_p_{k}")).alias(f"_v_{k}") for k in props])
     return read.select(*keep, *[(full_cell if k in nested else cell)(f"_p_{k}", f"_v_{k}").alias(k) for k in props])
