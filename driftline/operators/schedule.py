@@ -133,17 +133,13 @@ def carried_over(pending: DataFrame, found: DataFrame, settled: DataFrame, key:
 def run_alarms(runs: DataFrame, now_us: int, ok_s: int, nightly_s: int, streak: int) -> DataFrame:
     """alarm, since_us of a job whose runs (run_no, started_us, ended_us, outcome) are known: no success for ``ok_s``, no start for
     ``nightly_s``, a last run that never ended, and ``streak`` failures in a row.  A history without runs raises the first two."""
-    last = runs.agg(
-        F.max(F.when(F.col("outcome") == "ok", F.col("ended_us"))).alias("ok_us"), F.max("started_us").alias("start_us"), F.max(F.struct("started_us", "run_no", "ended_us")).alias("last"),
-        F.max(F.when(F.col("outcome") == "ok", F.col("run_no"))).alias("ok_no"),
-    )
-    failed = runs.join(last.select("ok_no"), F.col("ok_no").isNull() | (F.col("run_no") > F.col("ok_no"))).agg(F.count("*").alias("failed"), F.min("started_us").alias("first_us"))
-    alarm = lambda name, since, on: F.struct(F.lit(name).alias("alarm"), F.col(since).alias("since_us"), on.alias("on"))
-    late = lambda c, s: F.col(c).isNull() | (F.lit(now_us) - F.col(c) >= s * 1_000_000)
-    one = last.join(failed).select(  # one row each
-        F.array(
-            alarm("no success", "ok_us", late("ok_us", ok_s)), alarm("no start", "start_us", late("start_us", nightly_s)),
-            alarm("never ended", "last.started_us", F.col("last.started_us").isNotNull() & F.col("last.ended_us").isNull()), alarm("failures", "first_us", F.col("failed") >= streak),
-        ).alias("all")
-    )
-    return one.select(F.explode("all").alias("a")).filter("a.on").select("a.alarm", "a.since_us")
+    ok = F.col("outcome") == "ok"
+    last = runs.agg(F.max(F.when(ok, F.col("ended_us"))).alias("ok_us"), F.max("started_us").alias("start_us"), F.max(F.struct("started_us", "run_no", "ended_us")).alias("last"), F.max(F.when(ok, F.col("run_no"))).alias("ok_no")).first()
+    since = runs if last.ok_no is None else runs.filter(F.col("run_no") > last.ok_no)
+    failed = since.agg(F.count("*").alias("n"), F.min("started_us").alias("first_us")).first()
+    late = lambda us, s: us is None or now_us - us >= s * 1_000_000
+    raised = [
+        ("no success", last.ok_us, late(last.ok_us, ok_s)), ("no start", last.start_us, late(last.start_us, nightly_s)),
+        ("never ended", last.last.started_us if last.last else None, bool(last.last) and last.last.ended_us is None), ("failures", failed.first_us, failed.n >= streak),
+    ]
+    return runs.sparkSession.createDataFrame([(name, at) for name, at, on in raised if on], "alarm string, since_us bigint")
