@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from driftline.core.scan import SMALL_ROWS
 from driftline.core.store import cut
 from driftline.functions.keys import instant, norm_id
 from driftline.functions.text import text_key
@@ -212,18 +213,31 @@ def open_homes(stored: DataFrame) -> DataFrame:
     return n.filter("open > 0")
 
 
-def child_copies(rows: DataFrame, titles: DataFrame) -> DataFrame:
+def child_copies(rows: DataFrame, titles: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """Rows (home, anchor, key columns cid, author, day, key) anchored on the title of another page that holds the same comment.
 
-    The same comment has the same id or, where either has none, the same author, day and text.
+    The same comment has the same id or, where either has none, the same author, day and text.  Gives the distinct
+    ``columns`` (all if absent).  Any number of pages may share a title, so rows and pages never meet by title alone:
+    what is held is folded to the least and the greatest page of each title and comment, and if another page than
+    the row's own holds it, one of these two is another.
     """
-    t = titles.filter("trim(title) <> ''").select(F.substring(F.trim("title"), 1, 90).alias("_anchor"), F.col("home").alias("_child"))
-    at = rows.filter("trim(anchor) <> ''").withColumn("_anchor", F.substring(F.trim("anchor"), 1, 90)).join(t, "_anchor").filter("home <> _child")
-    held = rows.select(F.col("home").alias("_child"), F.col("cid").alias("_cid"), F.col("author").alias("_author"), F.col("day").alias("_day"), F.col("key").alias("_key"))
-    by_id = at.join(held.filter("_cid IS NOT NULL"), (at["_child"] == held["_child"]) & (at["cid"] == held["_cid"]), "left_semi")
-    same = (at["_child"] == held["_child"]) & (at["author"] == held["_author"]) & (at["day"] == held["_day"]) & (at["key"] == held["_key"])
-    by_text = at.join(held, same & (at["cid"].isNull() | held["_cid"].isNull()), "left_semi")
-    return by_id.unionByName(by_text).select(*rows.columns).distinct()
+    columns = columns or rows.columns
+    short = lambda c: F.substring(F.trim(c), 1, 90)
+    named = titles.filter("trim(title) <> ''").select(F.col("home").alias("_child"), short("title").alias("_anchor"))
+    at = rows.filter("trim(anchor) <> ''").withColumn("_anchor", short("anchor"))
+    anchors = cut(named.select("_anchor").distinct(), "child-anchors")
+    if anchors.count() <= SMALL_ROWS:  # only saves shuffling rows that no title can match
+        at = at.join(F.broadcast(anchors), "_anchor", "left_semi")
+    held = rows.select(F.col("home").alias("_child"), "cid", "author", "day", "key").join(named, "_child")
+    ends = lambda c, n: [F.min(c).alias(f"_{n}_least"), F.max(c).alias(f"_{n}_most")]
+    other = lambda n: (F.col(f"_{n}_least") != F.col("home")) | (F.col(f"_{n}_most") != F.col("home"))
+    by_id, by_text = ["_anchor", "cid"], ["_anchor", "author", "day", "key"]
+    ids = held.filter("cid IS NOT NULL").groupBy(*by_id).agg(*ends(F.col("_child"), "any"))
+    bare = F.when(F.col("cid").isNull(), F.col("_child"))
+    texts = held.filter("author IS NOT NULL AND day IS NOT NULL AND key IS NOT NULL").groupBy(*by_text).agg(*ends(F.col("_child"), "any"), *ends(bare, "bare"))
+    same_id = at.filter("cid IS NOT NULL").join(ids, by_id).filter(other("any"))
+    same_text = at.join(texts, by_text).filter(F.when(F.col("cid").isNull(), other("any")).otherwise(other("bare")))
+    return same_id.select(*columns).unionByName(same_text.select(*columns)).distinct()
 
 
 #: Words of a comment; links, addresses, mentions and the sign an older writer put for any mention stand for a mention.

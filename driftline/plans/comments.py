@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from driftline.core.store import cut
 from driftline.core.tables import table
 from driftline.functions import text as X
 from driftline.functions.keys import norm_id
@@ -127,10 +128,10 @@ def id_tally(spark, d):
 def child_copies(spark, d):
     """Comments that a parent lists too, anchored on the child's title: every third one here has such a copy beside it, on a page of the spelling turned round."""
     rows = _keyed(_rows(spark, d).filter("text IS NOT NULL")).select("delivery_no", "pos", "home", "anchor", "cid", "author", "day", "key")
-    titles = _pages(spark, d, None, ["title"]).select(F.col("page_id").alias("home"), "title")
+    titles = cut(_pages(spark, d, None, ["title"]).select(F.col("page_id").alias("home"), "title"), "titles")
     copies = rows.filter("delivery_no % 3 = 0").join(titles, "home").withColumns({"anchor": F.col("title"), "home": F.reverse("home"), "cid": F.when(F.col("delivery_no") % 2 == 0, F.col("cid"))})
     both = rows.unionByName(copies.select(*rows.columns))
-    return M.child_copies(both, titles).select("delivery_no", "pos", "home")
+    return M.child_copies(both, titles, ["delivery_no", "pos", "home"])
 
 
 def _both_writers(spark, d):

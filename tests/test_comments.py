@@ -1,4 +1,5 @@
 import datetime as dt
+import random
 
 from driftline.operators import comments as M
 
@@ -141,3 +142,55 @@ def test_threads_and_bullets(spark):
 def test_reconcile(spark):
     rows = spark.createDataFrame([(1, "a", "hi @Ann Lee ok", "u"), (2, "a", "hi @Ann Lee ok", "u"), (3, None, "hi Ann Lee ok", "u"), (4, None, "same", "u"), (5, "b", "same", "u"), (8, None, "the same words", "u"), (9, "c", "The same, words", "u"), (6, None, "alone", "u"), (7, None, "alone", "u")], "no int, cid string, text string, who string")
     assert sorted(r.no for r in M.reconcile(rows, ["no"], ["who"]).collect()) == [1, 4, 5, 6, 7, 9]  # a text of one or two words needs an equal anchor
+
+
+HELD = "no bigint, home string, anchor string, cid string, author string, day string, key string"
+
+
+def copies(spark, rows, titles, *columns):
+    return M.child_copies(spark.createDataFrame(rows, HELD), spark.createDataFrame(titles, "home string, title string"), *columns)
+
+
+def most_rows(df):
+    """The most rows that any step of the plan gave."""
+    df.collect()
+    todo, most = [df._jdf.queryExecution().executedPlan()], 0
+    while todo:
+        p = todo.pop()
+        name, rows = p.getClass().getSimpleName(), p.metrics().get("numOutputRows")
+        most = max(most, rows.get().value() if rows.isDefined() else 0)
+        inner = p.executedPlan() if name == "AdaptiveSparkPlanExec" else p.plan() if name.endswith("QueryStageExec") else None
+        todo += [inner] if inner is not None else [p.children().apply(i) for i in range(p.children().size())]
+    return most
+
+
+def test_child_copies_never_pair_rows_with_all_pages_of_a_title(spark):
+    pages = [(f"p{n}", "Notes") for n in range(400)]
+    rows = [(n, f"p{n}", "Notes", f"c{n // 2}", "u", "d", f"k{n // 2}") for n in range(300)]
+    df = copies(spark, rows, pages)
+    assert 300 <= most_rows(df) <= 4 * (300 + 400)  # not 300 * 400
+    assert df.count() == 300  # each has its twin on the neighbour's page
+
+
+def test_child_copies_are_those_of_a_search_over_all_pairs(spark, monkeypatch):
+    rnd = random.Random(4)
+    some = lambda *v: rnd.choice(v)
+    long = "x" * 90
+    titles = [(f"p{n}", some("A", " A ", "B", long + "1", long + "2", "", "  ", None)) for n in range(12)]
+    anchor = lambda: some("A", "A ", "B", "C", long, long + "3", "", " ", None)
+    rows = [(n, some(*[f"p{k}" for k in range(14)], None), anchor(), some(None, *"abcdefgh"), some(None, "u", "v"), some("d", "e", None), some("k", "l", None)) for n in range(150)]
+    title = {h: t.strip()[:90] for h, t in titles if t and t.strip()}
+
+    def same(a, b):
+        return a[3] == b[3] if a[3] and b[3] else None not in a[4:] and a[4:] == b[4:]
+
+    want = {a for a in rows if a[2] and a[2].strip() and a[1] for b in rows if b[1] != a[1] and title.get(b[1]) == a[2].strip()[:90] and same(a, b)}
+    assert 10 < len(want) < 140
+    assert sorted(map(tuple, copies(spark, rows, titles).collect())) == sorted(want)
+    monkeypatch.setattr(M, "SMALL_ROWS", 0)  # as with very many titles
+    assert sorted(map(tuple, copies(spark, rows, titles).collect())) == sorted(want)
+
+
+def test_child_copies_give_distinct_columns(spark):
+    rows = [(1, "h", "A", "a", None, None, None), (1, "h", " A", "a", None, None, None), (2, "p", None, "a", None, None, None)]
+    assert copies(spark, rows, [("p", "A")], ["no", "home"]).collect() == [(1, "h")]
